@@ -224,7 +224,24 @@ def _content(order: list[Node]) -> Node:
             return node
         node = node.parent
     inner = [x for x in order if x.tag == "article"] or [x for x in order if x.tag == "main"]
-    return inner[0] if len(inner) == 1 and 2 * inner[0].chars >= top.chars else top
+    if len(inner) == 1 and 2 * inner[0].chars >= top.chars:
+        return inner[0]
+    return _with_heading(top, order)
+
+
+def _with_heading(top: Node, order: list[Node]) -> Node:
+    """The subtree that also spans the page's first main heading, if little else comes with it."""
+    heading = next((x for x in order if x.tag == "h1"), None)
+    if heading is None:
+        return top
+    above, node = set(), heading
+    while node is not None:
+        above.add(id(node))
+        node = node.parent
+    wider = top
+    while id(wider) not in above:
+        wider = wider.parent
+    return wider if wider.chars - top.chars - heading.chars <= 0.1 * top.chars else top
 
 
 def _is_menu(node: Node) -> bool:

@@ -6,6 +6,8 @@ from tidemark.llm.common import read
 from tidemark.llm.decontamination import decontamination
 from tidemark.llm.html_text import html_text
 from tidemark.llm.oracles import ORACLES
+from tidemark.llm.pii import find
+from tidemark.llm.quality_rules import quality_rules
 from tidemark.llm.token_counts import token_counts
 from tidemark.llm.warc import warc
 
@@ -18,6 +20,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_pii(spark, sf_dir):
+    return find(read(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -26,6 +32,10 @@ def op4_warc(spark, sf_dir):
     return warc(read(spark, sf_dir, "pages"))
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_html_extraction(spark, sf_dir):
     return html_text(read(spark, sf_dir, "pages"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.common import read
 from tidemark.llm.decontamination import decontamination
 from tidemark.llm.html_text import html_text
+from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.pii import find
 from tidemark.llm.quality_rules import quality_rules
@@ -40,6 +41,10 @@ def op8_html_extraction(spark, sf_dir):
     return html_text(read(spark, sf_dir, "pages"))
 
 
+def op9_ngram_join(spark, sf_dir):
+    return ngram_join(read(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 

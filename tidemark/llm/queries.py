@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.common import read
 from tidemark.llm.decontamination import decontamination
+from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.html_text import html_text
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.oracles import ORACLES
@@ -25,6 +26,10 @@ def op1_pii(spark, sf_dir):
     return find(read(spark, sf_dir, "documents"))
 
 
+def op2_lm_scoring(spark, sf_dir):
+    return hmm_scores(read(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm.mixing import oracle as mixing_sql
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLES = {
+    "op5_mixing": mixing_sql(),
     "op4_warc": """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS d FROM pages

@@ -6,6 +6,7 @@ from tidemark.llm.common import read
 from tidemark.llm.decontamination import decontamination
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.html_text import html_text
+from tidemark.llm.mixing import mixing
 from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.pii import find
@@ -38,6 +39,10 @@ def op4_warc(spark, sf_dir):
     return warc(read(spark, sf_dir, "pages"))
 
 
+def op5_mixing(spark, sf_dir):
+    return mixing(read(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 

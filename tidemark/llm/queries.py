@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.common import read
+from tidemark.llm.cotraining import cotraining
 from tidemark.llm.decontamination import decontamination
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.html_text import html_text
@@ -47,6 +48,10 @@ def op6_quality_rules(spark, sf_dir):
     return quality_rules(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_quality_classifier(spark, sf_dir):
+    return cotraining(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_html_extraction(spark, sf_dir):
     return html_text(read(spark, sf_dir, "pages"))
 

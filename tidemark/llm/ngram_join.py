@@ -295,8 +295,8 @@ def _multiply(width: int, percent: int):
     return run
 
 
-def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+    """One row per document: doc_id, key (digest of the text), n_shingles, component_id."""
     spark = docs.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
@@ -323,4 +323,22 @@ def ngram_join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", widt
     reached = staged(reached.select("key", F.coalesce("component", "key").alias("component"), "least"), "ngram-reached")
     smallest = staged(reached.groupBy("component").agg(F.min("least").alias("component_id")), "ngram-smallest")
     shared = staged(reached.join(smallest, "component").select("key", "component_id"), "ngram-shared")
-    return found.join(shared, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.join(shared, "key", "left").select("doc_id", "key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def ngram_join(docs: DataFrame, **options) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return linked(docs, **options).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of every component, that of the smallest id; repeated rows are one.
+
+    A component whose documents all have no id keeps one row of each text.
+    """
+    found = staged(linked(docs, **options), "ngram-found")
+    stay = found.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    lone = found.where("doc_id is null and component_id is null").select(F.col("key").alias("__tm_key")).distinct()
+    nameless = docs.where("doc_id is null").withColumn("__tm_key", F.expr("substring(unhex(sha2(coalesce(text, ''), 256)), 1, 16)")).join(lone, "__tm_key", "left_semi").drop("__tm_key").dropDuplicates(["text"])
+    return named.unionByName(nameless)

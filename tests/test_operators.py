@@ -1,0 +1,128 @@
+"""Filters, deduplication, cursors and joins on small tables."""
+
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import cursor, dedup, filters, joins, stats
+
+
+def rows(df, *columns):
+    return sorted(tuple(r) for r in df.select(*columns).collect())
+
+
+def test_group_visibility(spark):
+    groups = spark.createDataFrame([(1, "open", "active"), (2, "open", "expired"), (3, "closed", None), (4, "open", None), (5, None, "suspended")], "id int, state string, sub string")
+    assert rows(groups.where(filters.group_visible(F.col("state"), F.col("sub"))), "id") == [(1,), (3,)]
+    assert rows(groups.where(filters.group_visible(F.col("state"), F.col("sub"), True)), "id") == [(1,), (2,), (3,), (5,)]
+
+
+def test_member_filters(spark):
+    m = spark.createDataFrame([("1", "a", "NO"), ("46", "g", "NO"), ("10001", "h", "NO"), ("2", "", "NO"), (None, "x", "NO"), ("3", "c", "YES"), ("4", "d", None)], "code string, name string, graduation string")
+    assert rows(m.where(filters.active_member(F.col("code"), F.col("name"), F.col("graduation"))), "code") == [("1",)]
+    a = spark.createDataFrame([("山下 瞳月", "山下瞳月"), ("山下　瞳月", "山下 瞳月"), ("", "x"), ("x", None), ("a", "b")], "a string, b string")
+    assert [r[0] for r in a.select(filters.same_author(F.col("a"), F.col("b"))).collect()] == [True, True, True, True, False]
+
+
+def test_empty_messages(spark):
+    m = spark.createDataFrame([("text", None, None), ("text", "", ""), ("text", " ", None), ("text", "", "u"), ("picture", "", None)], "t string, c string, u string")
+    assert [r[0] for r in m.select(filters.not_empty(F.col("t"), F.col("c"), F.col("u"))).collect()] == [False, False, True, True, True]
+
+
+def test_last_and_first_wins(spark):
+    m = spark.createDataFrame([(1, "a", 0, 0), (1, "b", 1, 0), (2, "c", 0, 1), (1, None, 1, 1)], "id int, v string, page int, pos int")
+    assert rows(dedup.last_wins(m, ["id"], ["page", "pos"]), "id", "v") == [(1, None), (2, "c")]
+    assert rows(dedup.first_wins(m, ["id"], ["page", "pos"]), "id", "v") == [(1, "a"), (2, "c")]
+
+
+def test_upsert_keeps_known_media(spark):
+    old = spark.createDataFrame([(1, "old", 640), (2, "stay", None)], "id int, v string, width int")
+    new = spark.createDataFrame([(1, None, None), (3, "new", 10)], "id int, v string, width int")
+    merged = dedup.upsert(old, new, ["id"], keep=("width",))
+    assert sorted(map(tuple, merged.collect()), key=lambda r: r[0]) == [(1, None, 640), (2, "stay", None), (3, "new", 10)]
+    again = dedup.upsert(merged, new, ["id"], keep=("width",))
+    assert sorted(map(tuple, again.collect()), key=lambda r: r[0]) == sorted(map(tuple, merged.collect()), key=lambda r: r[0])
+
+
+def test_ordered_union_and_main_image(spark):
+    a = spark.createDataFrame([("1", "x", 0)], "id string, n string, pos int")
+    b = spark.createDataFrame([("1", "y", 0), ("2", "z", 1)], "id string, n string, pos int")
+    assert rows(dedup.ordered_union(a, b, ["id"], ["pos"]), "id", "n") == [("1", "x"), ("2", "z")]
+    images = spark.createDataFrame([("m", ["a"]), ("a", ["a"]), ("", ["a"]), (None, [])], "m string, i array<string>")
+    assert [r[0] for r in images.select(dedup.with_main_image(F.col("m"), F.col("i"))).collect()] == [["m", "a"], ["a"], ["a"], []]
+
+
+MESSAGES = [(1, 1, 10, "2024-01-01T00:00:00Z"), (1, 1, 11, "2024-01-01T00:00:00.500Z"), (1, 1, 12, "2024-01-02T00:00:00Z"), (1, 1, 13, None), (1, 2, 20, "2023-01-01T00:00:00Z"), (1, 2, 21, None)]
+
+
+def test_cursor_is_inclusive_and_typed(spark):
+    m = spark.createDataFrame(MESSAGES, "group_id int, member_id int, id int, published_at string")
+    state = spark.createDataFrame([(1, 1, "2024-01-01T00:00:00.500Z")], "group_id int, member_id int, last_sync_ts string")
+    assert rows(cursor.after_cursor(m, state), "id") == [(11,), (12,), (20,), (21,)]
+    empty = spark.createDataFrame([(1, 1, "")], "group_id int, member_id int, last_sync_ts string")
+    assert len(rows(cursor.after_cursor(m, empty), "id")) == 6
+
+
+def test_id_cursor(spark):
+    m = spark.createDataFrame([(100, "2024-03-01"), (50, "2024-02-01"), (30, "2024-01-01")], "id int, published_at string")
+    assert rows(cursor.after_id(m, 60), "id") == [(100,)]
+    assert rows(cursor.after_id(m, 50), "id") == [(50,), (100,)]
+
+
+def test_take_while_is_no_filter(spark):
+    posts = spark.createDataFrame([("a", 0, 0, 5), ("a", 0, 1, 1), ("a", 0, 2, 9), ("b", 0, 0, 9), ("b", 0, 1, None)], "m string, page int, pos int, day int")
+    kept = cursor.take_while(posts, ["m"], ["page", "pos"], F.col("day") < 3)
+    assert sorted(map(tuple, kept.select("m", "pos").collect())) == [("a", 0), ("b", 0), ("b", 1)]
+
+
+def test_stopping_by_day(spark):
+    at = datetime.datetime(2024, 1, 5, 12)
+    posts = spark.createDataFrame([(datetime.datetime(2024, 1, 5), True), (datetime.datetime(2024, 1, 5), False), (datetime.datetime(2024, 1, 4), True)], "p timestamp, d boolean")
+    assert [r[0] for r in posts.select(cursor.older_than(F.col("p"), F.lit(at), F.col("d"))).collect()] == [False, True, True]
+
+
+def test_clamp(spark):
+    c = spark.createDataFrame([(5, 3), (5, 7), (5, None), (None, 3), (None, None)], "n int, f int")
+    assert [r[0] for r in c.select(cursor.clamp(F.col("n"), F.col("f"))).collect()] == [3, 5, 5, None, None]
+
+
+def test_integrity(spark):
+    state = spark.createDataFrame([(1, 1, 3), (1, 2, 1), (1, 3, 2), (1, 4, 0)], "group_id int, member_id int, total_messages int")
+    stored = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (1, 2)], "group_id int, member_id int")
+    assert rows(cursor.lost_rows(state, stored), "member_id", "needs_full_refetch") == [(1, True), (2, False), (3, True), (4, False)]
+
+
+def test_report_and_observation(spark):
+    m = spark.createDataFrame([(1, 5, "text", "2024"), (1, 6, None, "2025"), (1, 7, "odd", None), (2, 1, "voice", None)], "member int, id int, type string, timestamp string")
+    found = stats.member_report(m, ["member"]).orderBy("member").collect()
+    assert tuple(found[0]) == (1, 2, 0, 0, 0, 3, 7, "2025")
+    assert tuple(found[1]) == (2, 0, 0, 0, 1, 1, 1, None)
+    seen, observation = stats.observed(m, "progress", F.col("type").isNotNull())
+    seen.collect()
+    assert observation.get == {"total": 4, "completed": 3}
+
+
+def test_joins(spark):
+    m = spark.createDataFrame([(1, "https://h/a.jpg", "image"), (2, "", "image"), (3, "https://h/b", "movie"), (4, "https://h/c", "odd")], "id int, media_url string, raw_type string")
+    present = spark.createDataFrame([("d/picture/1.jpg",)], "path string")
+    assert rows(joins.media_queue(m, present, F.lit("d")), "path") == [("d/other/4.bin",), ("d/video/3.mp4",)]
+    listed = spark.createDataFrame([("1",), ("2",), ("3",)], "id string")
+    details = spark.createDataFrame([("1", "ok"), ("2", "gone")], "id string, outcome string")
+    good, bad = joins.list_to_detail(listed, details)
+    assert rows(good, "id") == [("1",)]
+    assert rows(bad, "id", "reason") == [("2", "gone"), ("3", "missing")]
+    header = joins.member_header(spark.createDataFrame([(1, 9), (2, 8)], "id int, group_id int"), spark.createDataFrame([(9, "g", None)], "id int, name string, thumbnail string"))
+    assert sorted((r["id"], r["group_name"]) for r in header.collect()) == [(1, "g"), (2, None)]
+    names = spark.createDataFrame([(1, 1, "old", 1), (1, 1, "new", 2)], "group_id int, member_id int, name string, seen_at int")
+    assert rows(joins.latest_name(names), "name") == [("new",)]
+
+
+def test_state_join_is_broadcast(spark):
+    m = spark.createDataFrame(MESSAGES, "group_id int, member_id int, id int, published_at string")
+    state = spark.createDataFrame([(1, 1, "2024-01-01")], "group_id int, member_id int, last_sync_ts string").coalesce(1)
+    state.write.mode("overwrite").saveAsTable("state_table")
+    plan = cursor.after_cursor(m, spark.table("state_table"))._jdf.queryExecution().executedPlan().toString()
+    spark.sql("drop table state_table")
+    assert "BroadcastHashJoin" in plan

@@ -20,13 +20,14 @@ from tidemark.sources import schemas
 
 def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    reader = spark.read.schema(whole).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").option("recursiveFileLookup", True)
-    return reader.json(path).withColumn("page", F.col("_metadata.file_path"))
+    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    parsed = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return rows.select(F.col("_metadata.file_path").alias("page"), parsed.alias("file")).select("file.*", "page")
 
 
 def corrupt(spark: SparkSession, path: str) -> DataFrame:
     """(page) of the files that are not JSON."""
-    return _files(spark, path, T.StructType([])).where("_corrupt is not null").select("page").distinct()
+    return _files(spark, path, T.StructType([T.StructField("none", T.StringType())])).where("_corrupt is not null").select("page").distinct()
 
 
 def items(spark: SparkSession, path: str, key: str, item: T.StructType) -> DataFrame:

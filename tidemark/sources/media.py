@@ -2,7 +2,7 @@
 
 Images are read by their own headers (PNG, GIF, JPEG); nothing else is
 installed that reads video or audio, so their measures are null, as they are for
-files that can't be read.
+files that can't be read.  Files without bytes are left out: they are not there yet.
 """
 
 from __future__ import annotations

@@ -203,11 +203,14 @@ def _content(order: list[Node]) -> Node:
     for x in reversed(blocks):  # children first: the largest sum in each subtree
         found = max([x, *(best[id(c)] for c in x.parts if type(c) is Node and id(c) in best)], key=lambda y: y.total)
         best[id(x)] = found
-    chosen, todo = [core], [body]
+    chosen, todo, above = [core], [body], {id(x) for x in path} | {id(body)}
     while todo:
         x = todo.pop()
-        if x.density >= threshold and id(x) in best and best[id(x)].total > 0 and x is not body:
-            chosen.append(best[id(x)])
+        if x is core:
+            continue
+        content = best[id(x)] if id(x) in best and best[id(x)].total > 0 else x if x.tag in ("p", "blockquote", "pre") else None
+        if content is not None and id(x) not in above and x.density >= threshold:
+            chosen.append(content)
         else:
             todo.extend(c for c in x.parts if type(c) is Node and not c.cut)
     spans = None

@@ -68,6 +68,23 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_count_batches, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def _most_frequent(words: DataFrame, most: int) -> list:
+    """The most frequent words, at most ``most``, by whole steps of an eighth of a power of two of their count.
+
+    A histogram of counts gives the least step that still fits, so only words
+    that are kept leave the executors, and nothing is sorted there.
+    """
+    stepped = words.withColumn("step", F.floor(8 * F.log2("n")))
+    least, room = None, most
+    for r in sorted(stepped.groupBy("step").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["step"]):
+        room -= r["words"]
+        if room < 0:
+            break
+        least = r["step"]
+    kept = stepped.where(F.col("step") >= least).collect() if least is not None else []
+    return sorted(kept, key=lambda r: (-r["n"], bytes(r["token"])))
+
+
 class Vocabulary:
     """What tasks need to know of the counts; of bounded size."""
 
@@ -76,7 +93,7 @@ class Vocabulary:
         whole = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.col("token").isNull(), F.col("n")))).first()
         self.total, self.distinct, self.ends = whole[0] or 0, whole[1], whole[2] or 0
         words = counts.where("token is not null")
-        top = words.where(F.octet_length("token") <= COMMON_BYTES).orderBy(F.desc("n"), "token").limit(common).collect()
+        top = _most_frequent(words.where(F.octet_length("token") <= COMMON_BYTES), common)
         self.common = {bytes(r["token"]): (k if k < own else None, r["n"]) for k, r in enumerate(top)}
         alone = {w for w, (k, _) in self.common.items() if k is not None}
 

@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+
+import pytest
+
+from tidemark.llm import warc as w
+
+
+def plain(rows):
+    best = {}
+    for page, _, html in rows:
+        best.setdefault(html or "", []).append(page)
+    top = {h: max((p for p in pages if p is not None), default=None) for h, pages in best.items()}
+    out = []
+    for page, _, html in rows:
+        h = html or ""
+        digest = base64.b32encode(hashlib.sha1(h.encode()).digest()).decode()
+        revisit = top[h] is not None and page != top[h]
+        out.append((page, len(h.encode()), digest, "revisit" if revisit else "response", top[h] if revisit else None))
+    return out
+
+
+ROWS = [(1, "http://a/", "<p>x</p>"), (2, "http://b/", "<p>x</p>"), (3, None, None), (4, "u\r\nWARC-Type: fake", ""), (5, "http://c/", "É\r\n\r\nWARC/1.1\r\nWARC-Type: revisit\r\n"), (5, "http://c/", "É\r\n\r\nWARC/1.1\r\nWARC-Type: revisit\r\n"), (None, "n", "lonely"), (None, "n", "<p>x</p>"), (7, "z", "y" * 300_000)]
+
+
+def test_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string").selectExpr("*", "1 as page", "2 as payload", "3 as kind", "4 as best").repartition(3)
+    found = sorted(map(tuple, w.warc(pages, str(tmp_path / "a")).collect()), key=str)
+    assert found == sorted(plain(ROWS), key=str)
+    assert spark.read.parquet(str(tmp_path / "a/payloads")).count() == len({h or "" for _, _, h in ROWS})
+    records = {}
+    for r in w.records(spark, str(tmp_path / "a")).collect():
+        records.setdefault(r["page_id"], []).append(bytes(r["record"]))
+    head, _, rest = records[5][0].partition(b"\r\n\r\n")
+    assert rest == ROWS[4][2].encode() + b"\r\n\r\n" and f"Content-Length: {len(ROWS[4][2].encode())}".encode() in head
+    assert records[1][0].endswith(b"Content-Length: 0\r\n\r\n\r\n\r\n") and b"WARC-Refers-To: <urn:page:2>" in records[1][0]
+    assert b"WARC-Target-URI" not in records[3][0] and records[4][0].count(b"\r\nWARC-Type: ") == 1
+
+
+def test_minimum_size(spark):
+    pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
+    found = {r["page_id"]: r["record_type"] for r in w.warc(pages, min_bytes=3).collect()}
+    assert found == {1: "response", 2: "response", 3: "revisit", 4: "response"}
+
+
+def test_damage_is_noticed(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "ab")], "page_id long, url string, html string")
+    w.archive(pages, str(tmp_path / "a"))
+    bad = spark.read.parquet(str(tmp_path / "a/payloads")).selectExpr("sha256", "cast('tampered' as binary) as payload")
+    bad.write.parquet(str(tmp_path / "b/payloads"))
+    spark.read.parquet(str(tmp_path / "a/headers")).write.parquet(str(tmp_path / "b/headers"))
+    with pytest.raises(Exception, match="does not match"):
+        w.read_back(spark, str(tmp_path / "b")).collect()
+
+
+def test_empty(spark):
+    assert w.warc(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []

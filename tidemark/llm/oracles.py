@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.mixing import oracle as mixing_sql
+from tidemark.llm.quality_rules import oracle as quality_sql
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,6 +19,22 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
   CASE WHEN best IS NULL OR page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> best THEN best END AS refers_to
 FROM p JOIN g ON payload = gp
+""",
+    "op6_quality_rules": quality_sql(),
+    "op9_ngram_join": rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS u(i) WHERE len(w) > 0
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), e AS MATERIALIZED (
+  SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)
+), both_ways AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a AS doc_id, b AS other FROM both_ways UNION SELECT r.doc_id, t.b FROM r JOIN both_ways AS t ON t.a = r.other)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id) AS c USING (doc_id)
 """,
     "op10_decontamination": rf"""
 WITH d AS (
@@ -27,13 +44,14 @@ WITH d AS (
 ), b AS (
   SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark
-), win AS (
-  SELECT DISTINCT item_id, least(13, len(w)) AS m, array_to_string(w[s:s + least(13, len(w)) - 1], ' ') AS k
+), win AS MATERIALIZED (
+  SELECT DISTINCT item_id, w[s] AS head, w[s + least(13, len(w)) - 1] AS tail, least(13, len(w)) AS m, w[s:s + least(13, len(w)) - 1] AS k
   FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS u(s) WHERE len(w) > 0
-), occ AS (
-  SELECT rid, s, m, k FROM d, (SELECT DISTINCT m FROM win) AS lengths, unnest(range(1, len(w) - m + 2)) AS u(s),
-    LATERAL (SELECT array_to_string(w[s:s + m - 1], ' ') AS k)
-), hit AS (SELECT rid, s, occ.m, item_id FROM occ JOIN win ON occ.m = win.m AND occ.k = win.k),
+), places AS MATERIALIZED (SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS s FROM d),
+begun AS MATERIALIZED (
+  SELECT x.rid, x.s, m, k, item_id FROM places AS x JOIN win ON x.word = head JOIN places AS y ON y.rid = x.rid AND y.s = x.s + m - 1 AND y.word = tail
+),
+hit AS MATERIALIZED (SELECT rid, s, m, item_id FROM begun JOIN d USING (rid) WHERE w[s:s + m - 1] = k),
 pos AS (SELECT rid, count(DISTINCT s + o) AS n_hit FROM hit, unnest(range(0, m)) AS u(o) GROUP BY rid),
 it AS (SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,

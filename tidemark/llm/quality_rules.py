@@ -148,3 +148,38 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     counted = staged(with_counts(whole).drop("text"), "quality-counts")
     judged = with_verdict(counted, cutoffs(counted.drop("doc"), labels, **options))
     return judged.where("kept").select(*(F.col("doc")[c].alias(c) for c in names))
+
+
+def oracle(risk: float = RISK, alpha: float = ALPHA, price: float = PRICE) -> str:
+    """DuckDB SQL for ``quality_rules``; the binomial tail is summed by log-gamma."""
+    share = risk / len(RULES)
+    value = {"symbols": "n_symbols / greatest(word_chars, 1)", "dup_lines": "n_dup_lines / greatest(n_lines, 1)", "repeats": "n_repeat_words / greatest(n_words, 1)", "capitals": "n_capitals / greatest(word_chars, 1)", "word_length": "word_chars / greatest(n_words, 1)"}
+    grid = ", ".join(f"('{rule}', {k}, CAST({c} AS DOUBLE))" for rule, (_, values) in RULES.items() for k, c in enumerate(values))
+    signals = " UNION ALL ".join(f"SELECT rid, doc_id, stratum, base_failed, '{rule}' AS rule, {v} AS value FROM c" for rule, v in value.items())
+    term = f"exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share!r}) + (n - j) * ln(1 - {share!r}))"
+    return rf"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), win AS (SELECT rid, s, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS k FROM d, unnest(range(1, len(w) - {WINDOW - 2})) AS u(s)),
+twice AS (SELECT rid, s FROM (SELECT rid, s, count(*) OVER (PARTITION BY rid, k) AS times FROM win) WHERE times > 1),
+hit AS (SELECT rid, count(DISTINCT s + o) AS hits FROM twice, unnest(range(0, {WINDOW})) AS u(o) GROUP BY rid),
+f AS MATERIALIZED (
+  SELECT rid, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+    coalesce(hits, 0) AS n_repeat_words, len(l) AS n_lines, len(regexp_extract_all(t, '[A-Z]')) AS n_capitals
+  FROM d LEFT JOIN hit USING (rid)
+), c AS MATERIALIZED (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed FROM f),
+v AS MATERIALIZED ({signals}),
+truth AS (SELECT doc_id, min(quality) >= 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+h AS MATERIALIZED (SELECT stratum, rule, value, good FROM v JOIN truth USING (doc_id) WHERE NOT base_failed),
+grid(rule, k, cutoff) AS (VALUES {grid}),
+counted AS (SELECT stratum, rule, k, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good AND value > cutoff) AS bad, count(*) FILTER (good AND value > cutoff) AS lost FROM h JOIN grid USING (rule) GROUP BY ALL),
+tested AS (SELECT *, lost < n * {share!r} AND list_sum(list_transform(range(0, lost + 1), lambda j: {term})) <= {alpha} / ({len(RULES)} * (SELECT count(DISTINCT stratum) FROM h)) AS sure FROM counted),
+certified AS (SELECT *, bool_and(sure) OVER (PARTITION BY stratum, rule ORDER BY k) AS held FROM tested),
+cuts AS (SELECT stratum, rule, arg_max(cutoff, (bad - {price} * lost, cutoff)) AS cut FROM certified WHERE held AND bad > {price} * lost GROUP BY stratum, rule),
+rejected AS (SELECT rid FROM v JOIN cuts USING (stratum, rule) WHERE value > cut GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected.rid IS NULL AS kept
+FROM c LEFT JOIN rejected USING (rid)"""

@@ -17,7 +17,7 @@ def plain_set(text):
 
 def plain_components(rows):
     sets = [plain_set(t) for _, t in rows]
-    up = list(range(len(rows)))
+    up, number = list(range(len(rows))), [0] * len(rows)
 
     def root(x):
         while up[x] != x:
@@ -28,11 +28,13 @@ def plain_components(rows):
         for b in range(a):
             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
                 up[max(root(a), root(b))] = min(root(a), root(b))
+                number[a] += 1
+                number[b] += 1
     members = {}
     for k in range(len(rows)):
         members.setdefault(root(k), []).append(rows[k][0])
     least = {r: min((i for i in ids if i is not None), default=None) for r, ids in members.items()}
-    return sorted(((str(i), len(sets[k]), str(least[root(k)]) if sets[k] else str(i)) for k, (i, _) in enumerate(rows)))
+    return sorted(((str(i), len(sets[k]), str(least[root(k)]) if sets[k] else str(i), number[k]) for k, (i, _) in enumerate(rows)))
 
 
 def near(words, rng, text, edits):
@@ -80,7 +82,10 @@ def test_product_is_the_plain_overlap(words, monkeypatch):
     base = words(40)
     texts = [" ".join(near(words, rng, base, rng.randint(0, 6))) for _ in range(20)]
     plain = [plain_set(t) for t in texts]
-    assert (n.overlaps(shingle_sets(pa.array(texts), 3)) + np.diag([0] * 20) == [[len(a & b) if a is not b or True else 0 for b in plain] for a in plain]).all()
+    sets = shingle_sets(pa.array(texts), 3)
+    expected = np.array([[len(a & b) for b in plain] for a in plain])
+    assert (n.overlaps(sets, sets) == expected).all()
+    assert (n.overlaps(sets[:7], sets[7:]) == expected[:7, 7:]).all()
 
 
 def test_join_against_all_pairs(spark, words):
@@ -96,18 +101,18 @@ def test_join_against_all_pairs(spark, words):
     rng.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     for block in (256, 5):
-        found = sorted(((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in n.ngram_join(docs, block=block).collect()))
+        found = sorted(((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["n_links"]) for r in n.ngram_join(docs, block=block).collect()))
         assert found == plain_components(rows)
 
 
 def test_odd_rows(odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
-    found = sorted(((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in n.ngram_join(odd).collect()))
+    found = sorted(((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["n_links"]) for r in n.ngram_join(odd).collect()))
     assert found == plain_components(rows)
     assert n.ngram_join(none).collect() == []
     kept = n.one_of_each(odd)
     assert kept.columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({i for i, _, c in found if i == c})
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted({i for i, _, c, _ in found if i == c})
     assert n.one_of_each(none).collect() == []
 
 

@@ -18,11 +18,12 @@ multiplied:
 2. *Groups.*  Documents that share signatures, directly or over others, form
    groups.  A map-side combine keeps one document a signature and task and links
    the rest to it, so a signature of very many documents makes no hot task.
-3. *Product.*  A group is cut into blocks of about ``block`` documents; every
-   pair of blocks is one task's work.  It multiplies the blocks' incidence
-   matrices, a block of columns at a time, accumulating overlap counts, discards
-   pairs below the bounds, and returns a spanning forest of the links, never all
-   pairs.  Groups of one block (nearly all) meet once.
+3. *Product.*  A group is cut into blocks of about ``block`` texts; every pair of
+   blocks is one run, and runs are dealt to tasks in equal shares.  A run
+   multiplies the blocks' incidence matrices, a block of columns at a time,
+   accumulating overlap counts, discards pairs below the bounds, and returns a
+   spanning forest of the links and each text's number of links, never all pairs.
+   Groups of one block (nearly all) are one run.
 
 Equal texts are one row of the matrix: copies are found by a digest and carry
 the links of their text.  N-grams are compared by 64-bit hash, texts by the
@@ -49,7 +50,7 @@ from tidemark.llm.components import components
 from tidemark.llm.words import chunks, mix, shingle_sets
 
 WIDTH, PERCENT = 3, 90
-BLOCK, COLUMNS = 256, 4096
+BLOCK, COLUMNS = 128, 4096
 FILTER_BITS = 24
 
 
@@ -223,36 +224,39 @@ def _texts_of(bitmap):
     return run
 
 
-def overlaps(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections: the product of the incidence matrix and its transpose, a block of columns at a time."""
-    sizes = [len(s) for s in sets]
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections: the product of one incidence matrix and the other's transpose, a block of columns at a time."""
+    sets = [*left, *right]
     column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
     shared = np.flatnonzero(count > 1)
     number = np.full(len(count), -1, np.int64)
     number[shared] = np.arange(len(shared))
-    column, row = number[column], np.repeat(np.arange(len(sets)), sizes)
+    column, row = number[column], np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     row, column = row[column >= 0], column[column >= 0]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.zeros((len(sets), len(sets)), np.int64)
+    out = np.zeros((len(left), len(right)), np.int64)
     for start in range(0, len(shared), COLUMNS):
         lo, hi = np.searchsorted(column, [start, start + COLUMNS])
         block = np.zeros((len(sets), min(COLUMNS, len(shared) - start)), np.float32)
         block[row[lo:hi], column[lo:hi] - start] = 1
-        out += (block @ block.T).astype(np.int64)
+        out += (block[: len(left)] @ block[len(left) :].T).astype(np.int64)
     return out
 
 
-def linked_components(sets: list[np.ndarray], percent: int) -> list[list[int]]:
-    """Index lists of more than one set that links join."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    common = overlaps(sets)
-    link = (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)) & (sizes > 0)
-    left, out = np.ones(len(sets), bool), []
-    for k in range(len(sets)):
+def links_between(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    a, b = (np.array([len(s) for s in x], np.int64) for x in (left, right))
+    common = overlaps(left, right)
+    return (100 * common >= percent * (a[:, None] + b[None, :] - common)) & (common > 0)
+
+
+def joined_by(link: np.ndarray) -> list[list[int]]:
+    """Index lists of more than one row that the symmetric ``link`` joins."""
+    left, out = np.ones(len(link), bool), []
+    for k in range(len(link)):
         if left[k]:
-            member = np.zeros(len(sets), bool)
-            front = np.zeros(len(sets), bool)
+            member = np.zeros(len(link), bool)
+            front = np.zeros(len(link), bool)
             front[k] = True
             while front.any():
                 member |= front
@@ -263,40 +267,65 @@ def linked_components(sets: list[np.ndarray], percent: int) -> list[list[int]]:
     return out
 
 
+_LINK = "u binary, v binary, n long"
+
+
 def _multiply(width: int, percent: int):
-    """Rows come sorted by (g, i, j); yields (u, v), a forest of the links of each run."""
+    """Rows (g, i, j, own, key, copies, text) come sorted by (g, i, j), all of a run together.
 
-    def finish(keys, texts):
-        if len(keys) < 2:
+    Yields a forest of the links of each run as (u, v, null), and for every
+    text with links (u, null, number of documents it links with).
+    """
+
+    def finish(place, rows):
+        if len(rows) < 2:
+            return []
+        _, i, j = place
+        sides = [[r for r in rows if r[0] == i], [r for r in rows if r[0] == j]] if i != j else [rows, rows]
+        if not sides[0] or not sides[1]:
             return []
+        sets = []
+        for side in sides if i != j else sides[:1]:
+            text = pa.array([r[3] for r in side], pa.string())
+            sets.append([s for a, b in chunks(text) for s in shingle_sets(text.slice(a, b - a), width)])
+        link = links_between(sets[0], sets[-1], percent)
+        if i == j:
+            np.fill_diagonal(link, False)
+            both = link
+        else:
+            a, b = link.shape
+            both = np.zeros((a + b, a + b), bool)
+            both[:a, a:], both[a:, :a] = link, link.T
+            rows = sides[0] + sides[1]
         out = []
-        text = pa.array(texts, pa.string())
-        sets = [s for a, b in chunks(text) for s in shingle_sets(text.slice(a, b - a), width)]
-        for members in linked_components(sets, percent):
-            own = sorted(keys[m] for m in members)
-            out += [(k, own[0]) for k in own[1:]]
-        return out
+        for members in joined_by(both):
+            keys = sorted(rows[m][1] for m in members)
+            out += [(k, keys[0], None) for k in keys[1:]]
+        number = both @ np.array([r[2] for r in rows], np.int64)
+        return out + [(rows[k][1], None, int(number[k])) for k in np.flatnonzero(number)]
+
+    def batch_of(found):
+        columns = list(zip(*found, strict=True)) if found else [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.binary()), pa.array(columns[2], pa.int64())], names=["u", "v", "n"])
 
     def run(batches):
-        current, keys, texts = None, [], []
+        current, rows = None, []
         for batch in batches:
             found = []
-            at = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
-            for place, key, text in zip(at, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                if place != current:
-                    found += finish(keys, texts)
-                    current, keys, texts = place, [], []
-                keys.append(key)
-                texts.append(text)
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.binary()), pa.array([v for _, v in found], pa.binary())], names=["u", "v"])
-        found = finish(keys, texts)
-        yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.binary()), pa.array([v for _, v in found], pa.binary())], names=["u", "v"])
+            columns = [batch.column(k).to_pylist() for k in range(7)]
+            for g, i, j, *row in zip(*columns, strict=True):
+                if (g, i, j) != current:
+                    found += finish(current, rows)
+                    current, rows = (g, i, j), []
+                rows.append(row)
+            yield batch_of(found)
+        yield batch_of(finish(current, rows))
 
     return run
 
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, key (digest of the text), n_shingles, component_id."""
+    """One row per document: doc_id, key (digest of the text), n_shingles, component_id, n_links (other documents that it links with)."""
     spark = docs.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
@@ -306,29 +335,32 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     met = staged(dealt.mapInArrow(_match, _ROW), "ngram-filed")
     groups = components(met.where("octet_length(key) = 0").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-groups")
 
+    found = met.where("octet_length(key) > 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
+    classes = staged(found.where("n_shingles > 0").groupBy("key", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "ngram-classes")
+
     bitmap = spark.sparkContext.broadcast(_bitmap(groups))  # of fixed size
     texts = rows.select("text").mapInArrow(_texts_of(bitmap), "node long, key binary, text string")
-    sized = groups.join(staged(groups.groupBy("component").agg(F.ceil(F.count("*") / block).alias("n")), "ngram-sizes"), "component").select("node", F.col("component").alias("g"), "n")
-    members = texts.join(staged(sized, "ngram-members"), "node").groupBy("node", "key", "g", "n").agg(F.first("text").alias("text"))
-    own = F.pmod(F.xxhash64("key"), "n")
-    placed = members.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
-    placed = placed.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key", "text")
-    runs = placed.repartition(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j")
-    links = staged(runs.mapInArrow(_multiply(width, percent), "u binary, v binary"), "ngram-links")
-    joined = components(links, "ngram-components")
-
-    found = met.where("octet_length(key) > 0").select(F.col("a").alias("doc_id"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
-    classes = staged(found.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "ngram-classes")
-    reached = classes.join(joined.withColumnRenamed("node", "key"), "key", "left").where("n > 1 or component is not null")
-    reached = staged(reached.select("key", F.coalesce("component", "key").alias("component"), "least"), "ngram-reached")
+    placed = classes.join(groups, "node").select("node", "key", "copies", F.col("component").alias("g"))
+    counted = placed.join(staged(placed.groupBy("g").agg(F.ceil(F.count("*") / block).alias("blocks")), "ngram-sizes"), "g")
+    members = texts.join(staged(counted, "ngram-members"), ["node", "key"]).groupBy("node", "key", "g", "blocks", "copies").agg(F.first("text").alias("text"))
+    own = members.withColumn("own", F.pmod(F.xxhash64("key"), "blocks"))
+    paired = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    paired = paired.select("g", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "copies", "text")
+    runs = paired.repartitionByRange(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j")
+    links = staged(runs.mapInArrow(_multiply(width, percent), _LINK), "ngram-links")
+    joined = components(links.where("v is not null").select("u", "v"), "ngram-components").withColumnRenamed("node", "key")
+    numbers = links.where("v is null").groupBy(F.col("u").alias("key")).agg(F.sum("n").alias("other_links"))
+
+    reached = classes.join(joined, "key", "left").join(numbers, "key", "left").where("copies > 1 or component is not null")
+    reached = staged(reached.select("key", F.coalesce("component", "key").alias("component"), "least", (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "ngram-reached")
     smallest = staged(reached.groupBy("component").agg(F.min("least").alias("component_id")), "ngram-smallest")
-    shared = staged(reached.join(smallest, "component").select("key", "component_id"), "ngram-shared")
-    return found.join(shared, "key", "left").select("doc_id", "key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    shared = staged(reached.join(smallest, "component").select("key", "component_id", "n_links"), "ngram-shared")
+    return found.join(shared, "key", "left").select("doc_id", "key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def ngram_join(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
-    return linked(docs, **options).select("doc_id", "n_shingles", "component_id")
+    """One row per document: doc_id, n_shingles, component_id, n_links."""
+    return linked(docs, **options).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, **options) -> DataFrame:

@@ -33,8 +33,8 @@ o AS MATERIALIZED (
   SELECT a, b FROM o JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * o >= 90 * (x.n + y.n - o)
 ), both_ways AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r AS (SELECT a AS doc_id, b AS other FROM both_ways UNION SELECT r.doc_id, t.b FROM r JOIN both_ways AS t ON t.a = r.other)
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id
-FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id) AS c USING (doc_id)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(c.low, d.doc_id)) AS component_id, coalesce(k.n_links, 0) AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM both_ways GROUP BY a) AS k USING (doc_id) LEFT JOIN (SELECT doc_id, min(other) AS low FROM r GROUP BY doc_id) AS c USING (doc_id)
 """,
     "op10_decontamination": rf"""
 WITH d AS (

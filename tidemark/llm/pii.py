@@ -160,10 +160,12 @@ def patterns(analysed: DataFrame, confidence: float = CONFIDENCE, support: int =
     edges = staged(found.select(F.explode("x.contexts").alias("pattern"), F.col("x.instance").alias("instance"), F.col("x.seed").alias("seed")).groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-edges")
     seeds = staged(edges.groupBy("instance").agg(F.max("seed").alias("seed")).where("seed").select("instance"), "pii-seeds")
     beliefs, accepted = seeds.withColumn("belief", F.lit(1.0)), None
-    for _ in range(rounds):
+    for k in range(rounds):
         joined = edges.select("pattern", "instance").join(beliefs, "instance", "left")
         scored = joined.groupBy("pattern").agg((F.sum(F.coalesce("belief", F.lit(0.0))) / (F.count("*") + 1)).alias("confidence"), F.sum(F.when(F.col("belief") >= 0.5, 1).otherwise(0)).alias("support"))
         accepted = staged(scored.where((F.col("confidence") >= confidence) & (F.col("support") >= support)), "pii-patterns")
+        if k + 1 == rounds:
+            break
         reached = edges.join(accepted, "pattern").groupBy("instance").agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))))).alias("belief"), F.count("*").alias("n")).where("n > 1").drop("n")
         grown = reached.join(seeds, "instance", "left_anti").unionByName(seeds.withColumn("belief", F.lit(1.0)))
         beliefs = staged(grown, "pii-beliefs")
@@ -210,21 +212,25 @@ def redacted(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars", min_digits: int = MIN_DIGITS, **graph) -> DataFrame:
-    """``docs`` with the spans in ``text`` replaced, and ``n_chars`` (where there is one) counted anew; null texts stay null."""
+    """``docs`` with the spans in ``text`` replaced, and ``n_chars`` (where there is one) counted anew where that changed it; null texts stay null."""
     analysed = _analysed(docs, text, True, min_digits)
     spans = _all_spans(analysed, patterns(analysed, **graph)).select(*(f"`{c}`" for c in docs.columns), "__tm_all")
     at = docs.columns.index(text)
+    size = docs.columns.index(n_chars) if n_chars in docs.columns else None
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
+            columns = list(batch.columns[:-1])
+            texts = columns[at].to_pylist()
+            sizes = columns[size].to_pylist() if size is not None else None
             for k, row in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 if row and texts[k] is not None:
                     texts[k] = redacted(texts[k], [(x["start"], x["rank"], x["stop"]) for x in row])
-            columns = [pa.array(texts, pa.string()) if k == at else batch.column(k) for k in range(batch.num_columns - 1)]
+                    if sizes is not None:
+                        sizes[k] = len(texts[k])
+            columns[at] = pa.array(texts, pa.string())
+            if sizes is not None:
+                columns[size] = pa.array(sizes, columns[size].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    out = spans.mapInArrow(run, ", ".join(f"`{f.name}` {'string' if f.name == text else f.dataType.simpleString()}" for f in docs.schema))
-    if n_chars in docs.columns:
-        out = out.withColumn(n_chars, F.when(F.col(text).isNull(), F.col(n_chars)).otherwise(F.length(text).cast(docs.schema[n_chars].dataType)))
-    return out
+    return spans.mapInArrow(run, ", ".join(f"`{f.name}` {'string' if f.name == text else f.dataType.simpleString()}" for f in docs.schema))

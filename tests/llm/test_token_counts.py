@@ -41,3 +41,11 @@ def test_only_distinct_misses_are_encoded(spark, tmp_path):
     other = str(public_tokenizers.path("byte_bpe_50k.json"))
     assert {r["n_tokens"] for r in t.token_counts(docs, other, cache).collect()} == set(plain("byte_bpe_50k.json", ["text 0 </s> <s>", "text 1 </s> <s>", "text 2 </s> <s>"]))
     assert len(table()) == 7
+
+
+def test_a_text_that_two_runs_appended_counts_once(spark, tmp_path):
+    path, cache = str(public_tokenizers.path("piece_bpe_32k.model")), str(tmp_path / "cache")
+    docs = spark.createDataFrame([(1, "one text"), (2, "one text")], "doc_id long, text string")
+    first = sorted(map(tuple, t.token_counts(docs, path, cache).collect()))
+    spark.createDataFrame(spark.read.parquet(cache).collect(), t._CACHE).write.mode("append").parquet(cache)
+    assert sorted(map(tuple, t.token_counts(docs, path, cache).collect())) == first

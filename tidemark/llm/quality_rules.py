@@ -112,12 +112,12 @@ def cutoffs(counted: DataFrame, labels: DataFrame, risk: float = RISK, alpha: fl
     hits += [F.count_if(F.col("good") & (F.col(rule) > c)).alias(f"g_{rule}_{k}") for rule, (_, grid) in RULES.items() for k, c in enumerate(grid)]
     table = staged(joined.groupBy("stratum").agg(F.count_if("good").alias("n"), *hits), "quality-holdout")
     share, level = risk / len(RULES), alpha / (len(RULES) * max(1, table.count()))
-    out = table.select("stratum", "n")
+    cuts = []
     for rule, (_, grid) in RULES.items():
         tested = F.array(*(F.struct(F.lit(float(c)).alias("cutoff"), F.col(f"b_{rule}_{k}").alias("bad"), F.col(f"g_{rule}_{k}").alias("lost"), (binomial_cdf(F.col(f"g_{rule}_{k}"), F.col("n"), share) <= level).alias("sure")) for k, c in enumerate(grid)))
         held = F.transform(F.filter(_certified(tested), lambda x: x["bad"] > price * x["lost"]), lambda x: F.struct((x["bad"] - price * x["lost"]).alias("net"), x["cutoff"].alias("cutoff")))
-        out = out.join(table.select("stratum", F.array_max(held)["cutoff"].alias(f"cut_{rule}")), "stratum")
-    return staged(out, "quality-cutoffs")
+        cuts.append(F.array_max(held)["cutoff"].alias(f"cut_{rule}"))
+    return staged(table.select("stratum", *cuts), "quality-cutoffs")
 
 
 def _certified(tested: Column) -> Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import binary, shared_dir, whole_text
+from tidemark.llm.common import binary, shared_dir, staged, whole_text
 
 LIMIT = 4096
 _CACHE = "content binary, tokenizer binary, n_tokens long"
@@ -96,14 +96,15 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * n, pa.binary()), pa.array(counts, pa.int64())], names=["content", "tokenizer", "n_tokens"])
 
-    dealt = texts.mapInArrow(_first_of_batch, "content binary, text string")
-    misses = dealt.join(known().select("content"), "content", "left_anti")
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    distinct = misses.repartition(parts, "content").mapInArrow(_unseen, "content binary, text string")
+    dealt = texts.mapInArrow(_first_of_batch, "content binary, text string").repartition(parts, "content")
+    misses = dealt.join(known().select("content"), "content", "left_anti")  # dealt as the join needs it: texts move once
+    distinct = misses.mapInArrow(_unseen, "content binary, text string")
     distinct.mapInArrow(encode_misses, _CACHE).write.mode("append").parquet(cache)
 
     rows = docs.select("doc_id", whole_text("text").alias("text")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("content"))
-    return rows.join(known(), "content", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counts = staged(known().groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")  # runs side by side may append a text twice
+    return rows.join(counts, "content", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def _unseen(batches):

@@ -68,15 +68,17 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None, t
     """``cells`` (source, lang, topic, tokens, docs) with ``share``, fitted to the targets of every margin."""
     cells = staged(cells, "mixing-cells")
     total = cells.agg(F.sum("tokens")).first()[0] or 1
-    goals = {m: _targets(cells, m, (targets or {}).get(m), temperature) for m in MARGINS}
     fitted = cells.withColumn("share", F.col("tokens") / F.lit(float(total)))
+    for m in MARGINS:
+        goal = _targets(cells, m, (targets or {}).get(m), temperature)
+        fitted = fitted.join(goal, m, "left").withColumn(f"goal_{m}", F.coalesce("target", F.lit(0.0))).drop("target")
+    fitted = staged(fitted, "mixing-raked")
     for _ in range(sweeps):
-        for m in MARGINS:
-            factor = fitted.groupBy(m).agg(F.sum("share").alias("have")).join(goals[m], m, "left")
-            factor = factor.select(m, F.when(F.col("have") > 0, F.coalesce("target", F.lit(0.0)) / F.col("have")).otherwise(0.0).alias("factor"))
-            fitted = fitted.join(factor, m).withColumn("share", F.col("share") * F.col("factor")).drop("factor")
-        fitted = staged(fitted, "mixing-sweep")
-    return fitted
+        for m in MARGINS:  # a table for each step: a plan that reads its own input twice would double at every step
+            have = fitted.groupBy(m).agg(F.sum("share").alias("have"))
+            scaled = F.when(F.col("have") > 0, F.col("share") * (F.col(f"goal_{m}") / F.col("have"))).otherwise(0.0)
+            fitted = staged(fitted.join(have, m).withColumn("share", scaled).drop("have"), "mixing-raked")
+    return fitted.drop(*(f"goal_{m}" for m in MARGINS))
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def test_page_without_article_tag():
 
 
 def test_an_article_s_own_header_is_text():
-    body = f"{CHROME}<div class='site-header'><p>The site's own name and motto, of some words</p></div><div class='post'><div class='entry-header'><h1>A title</h1></div><p>Words of the text that go on for a while, as words do.</p><p>More words of the text that go on for a while.</p><div id='ad1'>Buy!</div></div>"
+    body = f"{CHROME}<div class='site-header'><p>The site's own name and motto, of some words</p></div><div class='post no-sidebar with-comments'><div class='entry-header'><h1>A title</h1></div><p>Words of the text that go on for a while, as words do.</p><p>More words of the text that go on for a while.</p><div id='ad1'>Buy!</div></div>"
     assert main_text(page(body)) == "A title\nWords of the text that go on for a while, as words do.\nMore words of the text that go on for a while."
 
 

@@ -41,7 +41,8 @@ CUT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?\d*|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|aside|widget|footer|foot|header|masthead|topbar|toolbar|comments?|commentlist|disqus|respond|replies|cookies?|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|pagination|pager|tags|copyright|legal|skip|hidden)(?:$|[\s_-])",
     re.IGNORECASE,
 )
-_OWN_HEADER = re.compile(r"(?:article|post|entry|story|content|title)[\s_-]*(?:header|head)|(?:header|head)[\s_-]*title", re.IGNORECASE)
+#: Parts of names that say nothing against an element: a text's own header, and what a layout is said to have or lack.
+_HARMLESS = re.compile(r"(?:article|post|entry|story|content|title|page)[\s_-]*(?:header|head)|(?:header|head)[\s_-]*title|(?<![A-Za-z])(?:no|with|without|has)[_-][\w-]+", re.IGNORECASE)
 _TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*)>)", re.DOTALL)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/]|$))", re.IGNORECASE)
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -71,7 +72,7 @@ class Node:
 def _unwanted(attributes: str) -> bool:
     for match in _ATTR.finditer(attributes):
         name, value = match[1].lower(), entities.unescape(match[2] or match[3] or match[4] or "")
-        if name in ("class", "id") and CUT_NAMES.search(_OWN_HEADER.sub("", value)):
+        if name in ("class", "id") and CUT_NAMES.search(_HARMLESS.sub("", value)):
             return True
         if name == "role" and value.strip().lower() in CUT_ROLES:
             return True

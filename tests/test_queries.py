@@ -49,3 +49,10 @@ def test_entry(spark, sf):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_scans_read_only_what_they_need(spark, sf):
+    plan = queries.message_type_counts(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<user_id:bigint,event_type:string>" in plan
+    plan = queries.member_slice(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,7)" in plan

@@ -99,8 +99,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = texts.mapInArrow(_first_of_batch, "content binary, text string").repartition(parts, "content")
     misses = dealt.join(known().select("content"), "content", "left_anti")  # dealt as the join needs it: texts move once
-    distinct = misses.mapInArrow(_unseen, "content binary, text string")
-    distinct.mapInArrow(encode_misses, _CACHE).write.mode("append").parquet(cache)
+    misses.mapInArrow(lambda batches: encode_misses(_unseen(batches)), _CACHE).write.mode("append").parquet(cache)
 
     rows = docs.select("doc_id", whole_text("text").alias("text")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("content"))
     counts = staged(known().groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")  # runs side by side may append a text twice

@@ -37,7 +37,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled by their calibrated probabilities."""
+    """Documents sampled by their calibrated probabilities, repeated by their weights."""
     return sample(docs)
 
 

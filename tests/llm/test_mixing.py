@@ -42,6 +42,15 @@ def test_samples_follow_the_probabilities(spark, words):
     assert sorted(r["doc_id"] for r in m.sample(docs, rate=0.3).collect()) == sorted(r["doc_id"] for r in found if r["sampled"])
 
 
+def test_the_sample_meets_the_targets_where_cells_are_capped(spark, words):
+    rows = [(k, " ".join(words(30)), "de" if k % 10 == 0 else "en", f"s{k % 3}", 0) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    given = {"targets": {"lang": {"en": 3, "de": 2}}, "rate": 0.9, "sweeps": 3}
+    assert {r["lang"] for r in m.mixing(docs, **given).where("weight > 1").collect()} == {"de"}  # about 3.6
+    kept = collections.Counter(r["lang"] for r in m.sample(docs, **given).collect())
+    assert abs(kept["de"] / kept.total() - 0.4) < 0.02 and abs(kept.total() / len(rows) - 0.9) < 0.03
+
+
 def test_shuffled_cells_give_the_same(odd, monkeypatch):
     first = sorted(map(str, m.mixing(odd).collect()))
     monkeypatch.setattr(m, "BROADCAST_CELLS", 0)

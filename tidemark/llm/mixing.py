@@ -9,6 +9,8 @@ calibrated probability is ``rate`` times its fitted over its actual share,
 1 at most; where the cap holds, the rest is left as the documents' ``weight``.
 A document is sampled when the first 52 bits of the MD5 of its id and the seed,
 as a fraction, fall below its cell's probability, so a run repeats exactly.
+``sample`` repeats a document by its weight, once more for the weight's fraction
+when the same bits fall below it, so that capped cells meet their targets too.
 
 The topic is the form of the text (``topic``); pass another expression to mix by
 other topics.  Documents are read once for the cells (aggregated map-side, so a
@@ -87,7 +89,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, rate: float = RATE, seed: str = SEED, **options) -> DataFrame:
-    """(doc, source, lang, topic, tokens, probability, weight, sampled) for every document; ``doc`` is its row."""
+    """(doc, source, lang, topic, tokens, probability, weight, sampled, copies) for every document; ``doc`` is its row."""
     keyed = _keyed(docs)
     narrow = staged(keyed.drop("doc", "id").groupBy(*MARGINS).agg(F.sum("tokens").cast("long").alias("tokens"), F.count("*").alias("docs")), "mixing-counts")
     fitted = rake(narrow, **options)
@@ -99,7 +101,9 @@ def mixed(docs: DataFrame, rate: float = RATE, seed: str = SEED, **options) -> D
     else:
         salted = calibrated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = keyed.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(salted, [*MARGINS, "salt"]).drop("salt")
-    return joined.withColumn("sampled", uniform("id", seed) < F.col("probability"))
+    drawn = uniform("id", seed)
+    copies = F.floor("weight") + (drawn < F.col("weight") - F.floor("weight")).cast("long")
+    return joined.withColumn("sampled", drawn < F.col("probability")).withColumn("copies", F.when(F.col("sampled"), copies).otherwise(F.lit(0).cast("long")))
 
 
 def mixing(docs: DataFrame, **options) -> DataFrame:
@@ -109,8 +113,9 @@ def mixing(docs: DataFrame, **options) -> DataFrame:
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The sampled rows of ``docs``, with the columns of ``docs``."""
-    return mixed(docs, **options).where("sampled").select(*(F.col("doc")[c].alias(c) for c in docs.columns))
+    """The sampled rows of ``docs``, each as often as its weight says, with the columns of ``docs``."""
+    rows = mixed(docs, **options).where("sampled").select("doc", F.explode(F.expr("array_repeat(0, cast(copies as int))")))
+    return rows.select(*(F.col("doc")[c].alias(c) for c in docs.columns))
 
 
 def oracle(table: str = "documents", rate: float = RATE, temperature: float = TEMPERATURE, sweeps: int = SWEEPS, seed: str = SEED) -> str:

@@ -29,6 +29,23 @@ def test_an_article_s_own_header_is_text():
     assert main_text(page(body)) == "A title\nWords of the text that go on for a while, as words do.\nMore words of the text that go on for a while."
 
 
+def test_wrappers_with_such_names_are_not_cut():
+    around = f"{CHROME}{{0}}<div class='sidebar'><p>Words at the side, some more of them.</p></div><div class='footer'>The site's own footer</div>"
+    article = f"<article>{ARTICLE}</article>"
+    for open_, close in (("<div class='container sidebar-right'>", "</div>"), ("<div id='wrapper' class='header-fixed'>", "</div>"), ("<div class='content legal'>", "</div>"), ("<form id='aspnetForm'>", "</form>"), ("<div class='page cookies'>", "</div>")):
+        for inner in (article, f"<div class='post'>{ARTICLE}</div>"):
+            assert main_text(page(open_ + around.format(inner) + close)) == TEXT, (open_, inner)
+            assert main_text(page(around.format(open_ + inner + close))) == TEXT, (open_, inner)
+
+
+def test_such_names_cut_what_is_no_wrapper():
+    comments = "<div id='comments'>" + "<article class='comment'><p>A reader says this and that, at length, again and again.</p></article>" * 9 + "</div>"
+    site = "<div id='header'><h1>The site</h1></div>"
+    post = f"<div class='post'>{ARTICLE.replace('h1', 'h2')}</div>"
+    assert main_text(page(f"{site}{post}{comments}")) == TEXT
+    assert main_text(page(f"<article>{ARTICLE}</article>{comments}<form><p>Your mail and your name, if you please<input></p></form>")) == TEXT
+
+
 def test_sections_are_all_kept():
     part = "<section><h2>Part {0}</h2>" + "<p>Some words of part {0} that go on for a while, as words do.</p>" * 3 + "</section>"
     body = f"{CHROME}<div class='content'>{part.format(1)}{part.format(2)}</div>"

@@ -2,7 +2,9 @@
 
 Every page becomes a tree.  Boilerplate (menus, headers and footers, sidebars,
 notices, adverts, forms, scripts, styles, reader comments) is cut by tag, role,
-class and id.  For every remaining block node the composite density is the
+class and id.  A form, or an element whose class or id has such a name, may as
+well be a wrapper of the whole layout; it stays if it holds the page's article,
+main or first heading, or most of the text that is no link (``_settle``).  For every remaining block node the composite density is the
 number of characters per tag, adjusted for the characters and tags of links and
 for the page's share of link text; the density sum of a node is the sum of its
 children's densities.  Formatting tags belong to the block around them and count
@@ -22,6 +24,7 @@ repeated rows give repeated results; other columns play no role.
 
 from __future__ import annotations
 
+import heapq
 import html as entities
 import math
 import re
@@ -43,6 +46,14 @@ CUT_NAMES = re.compile(
 )
 #: Parts of names that say nothing against an element: a text's own header, and what a layout is said to have or lack.
 _HARMLESS = re.compile(r"(?:article|post|entry|story|content|title|page)[\s_-]*(?:header|head)|(?:header|head)[\s_-]*title|(?<![A-Za-z])(?:no|with|without|has)[_-][\w-]+", re.IGNORECASE)
+#: Names that say what an element's text is, where the others may also say how it is laid out.
+_KINDS = re.compile(
+    r"(?:^|[\s_-])(?:ads?\d*|advert\w*|adsense|sponsor\w*|promo\w*|comments?|commentlist|disqus|respond|replies|cookies?|consent|gdpr|popup|newsletter|subscribe|signup|login|share|sharing|social|related|recommended)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+_LAYOUT = re.compile(r"(?:^|[_-])(?:content|main|article|post|entry|story|text|body|page|wrap\w*|container|layout|outer|inner|site|root|app)(?:$|[_-])", re.IGNORECASE)
+#: So many times the unmarked text elsewhere must an element hold to stay: of a layout or form, of other names, of _KINDS.
+LAYOUT_TIMES, OTHER_TIMES, KIND_TIMES = 1, 9, 20
 _TAG = re.compile(r"<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*)>)", re.DOTALL)
 _ATTR = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(?=[\s/]|$))", re.IGNORECASE)
 _CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
@@ -60,27 +71,32 @@ _SCOPE = frozenset("html body table td th caption button object article section
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "names")
 
     def __init__(self, tag: str, parent: Node | None, cut: bool):
         self.tag, self.parent, self.cut = tag, parent, cut
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.names: list[str] | None = None
 
 
-def _unwanted(attributes: str) -> bool:
+def _unwanted(attributes: str) -> tuple[bool, list[str]]:
+    """Whether an element is cut in any case, and its classes and ids if one of them is a name to cut."""
+    names: list[str] = []
+    named = False
     for match in _ATTR.finditer(attributes):
         name, value = match[1].lower(), entities.unescape(match[2] or match[3] or match[4] or "")
-        if name in ("class", "id") and CUT_NAMES.search(_HARMLESS.sub("", value)):
-            return True
+        if name in ("class", "id"):
+            names.extend(value.split())
+            named = named or CUT_NAMES.search(_HARMLESS.sub("", value)) is not None
         if name == "role" and value.strip().lower() in CUT_ROLES:
-            return True
+            return True, names
         if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
-            return True
+            return True, names
         if name == "style" and re.search(r"display\s*:\s*none", value, re.IGNORECASE):
-            return True
-    return False
+            return True, names
+    return False, names if named else []
 
 
 def parse(source: str) -> Node:
@@ -136,8 +152,11 @@ def parse(source: str) -> Node:
         parent = stack[-1]
         own = parent.tag in ("article", "main") and tag == "header"  # an article's own header holds its title
         attributes = match[3]
-        marked = bool(attributes) and tag not in ("html", "body", "article", "main") and "=" in attributes and _unwanted(attributes)
-        node = Node(tag, parent, parent.cut or (tag in CUT and not own) or marked)
+        looked = bool(attributes) and tag not in ("html", "body", "article", "main") and "=" in attributes
+        marked, names = _unwanted(attributes) if looked else (False, [])
+        node = Node(tag, parent, parent.cut or (tag in CUT and tag != "form" and not own) or marked)
+        if not node.cut and (names or tag == "form"):
+            node.names = names
         if not parent.cut:
             parent.parts.append(node)
         if tag in VOID or attributes.endswith("/") and tag not in INLINE and tag not in _CLOSES_P:
@@ -147,9 +166,74 @@ def parse(source: str) -> Node:
             position = stop.end() if stop else end
             continue
         stack.append(node)
+    _settle(root)
     return root
 
 
+def _times(node: Node) -> int:
+    names = _HARMLESS.sub("", " ".join(node.names))
+    if _KINDS.search(names):
+        return KIND_TIMES
+    plain = [x for x in names.split() if not CUT_NAMES.search(x)]
+    return LAYOUT_TIMES if node.tag == "form" or any(_LAYOUT.search(x) for x in plain) else OTHER_TIMES
+
+
+def _settle(root: Node) -> None:
+    """Cuts the marked elements (``names``) but those that hold the content.
+
+    The element with most text comes first.  One stays that holds the ``main``;
+    or an ``article`` while none stands elsewhere, if no name says what its text
+    is; or an ``h1`` and a quarter of the text; or some times the text elsewhere.
+    Text is what is neither link nor heading; text in marked elements counts
+    elsewhere once they stay, and the marked elements in them come in turn.
+    """
+    order = _walk(root)
+    if all(x.names is None for x in order):
+        return
+    link, heading, owner = {}, {}, {}
+    own: dict[int, list[int]] = {id(root): [0, 0, 0, 0]}  # characters, main, article, h1 that no marked element below holds
+    inner: dict[int, list[Node]] = {id(root): []}
+    marked = [root]
+    for x in order:
+        up = id(x.parent)
+        link[id(x)] = x.tag == "a" or link.get(up, False)
+        heading[id(x)] = x.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "title") or heading.get(up, False)
+        holder = owner.get(up, root)
+        if x.names is not None:
+            inner[id(holder)].append(x)
+            own[id(x)], inner[id(x)], holder = [0, 0, 0, 0], [], x
+            marked.append(x)
+        owner[id(x)] = holder
+        counts = own[id(holder)]
+        if not link[id(x)] and not heading[id(x)]:
+            counts[0] += sum(len(" ".join(y.split())) for y in x.parts if type(y) is str)
+        if x.tag in ("main", "article", "h1"):
+            counts[("main", "article", "h1").index(x.tag) + 1] += 1
+    whole = {k: list(v) for k, v in own.items()}
+    for x in reversed(marked):
+        for y in inner[id(x)]:
+            whole[id(x)] = [a + b for a, b in zip(whole[id(x)], whole[id(y)], strict=True)]
+    elsewhere, todo, number = [0, 0, 0, 0], [], 0
+
+    def stay(x: Node) -> None:
+        nonlocal number
+        elsewhere[:] = [a + b for a, b in zip(elsewhere, own[id(x)], strict=True)]
+        for y in inner[id(x)]:
+            heapq.heappush(todo, (-whole[id(y)][0], number, y))
+            number += 1
+
+    stay(root)
+    while todo:
+        x = heapq.heappop(todo)[2]
+        chars, mains, articles, heads = whole[id(x)]
+        times = _times(x)
+        holds = mains or articles and times != KIND_TIMES and not elsewhere[1] and not elsewhere[2] or heads and 3 * chars >= elsewhere[0] and chars
+        if holds or chars and chars > times * elsewhere[0] and not elsewhere[1] and not elsewhere[2]:
+            stay(x)
+        else:
+            x.cut = True
+
+
 def _walk(root: Node) -> list[Node]:
     """Uncut nodes, parents first."""
     order, todo = [], [root]

@@ -46,6 +46,13 @@ def test_such_names_cut_what_is_no_wrapper():
     assert main_text(page(f"<article>{ARTICLE}</article>{comments}<form><p>Your mail and your name, if you please<input></p></form>")) == TEXT
 
 
+def test_lists_of_sources_are_text_and_menus_are_not():
+    links = "<ul><li><a href='/1'>Source one</a></li><li><a href='/2'>Source two</a></li></ul>"
+    for around in ("<article>{}</article>", "<main>{}</main>", "<div class='post'>{}</div>"):
+        assert main_text(page(CHROME + around.format(f"{ARTICLE}<h2>Sources</h2>{links}"))) == TEXT + "\nSources\nSource one\nSource two", around
+    assert main_text(page(f"<div class='post'>{links}{ARTICLE}</div>")) == TEXT
+
+
 def test_sections_are_all_kept():
     part = "<section><h2>Part {0}</h2>" + "<p>Some words of part {0} that go on for a while, as words do.</p>" * 3 + "</section>"
     body = f"{CHROME}<div class='content'>{part.format(1)}{part.format(2)}</div>"

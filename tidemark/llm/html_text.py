@@ -13,7 +13,8 @@ paragraph's siblings.  The node of largest density sum is the core; the smallest
 density on the path from it to the body is the threshold; further nodes at or
 above the threshold, each by the largest sum below it, are content too, and the
 text is that of the smallest subtree that spans them (an enclosing ``article``
-or ``main`` is preferred).
+or ``main`` is preferred).  A list of links is dropped as a menu only outside an
+article or main, and where no heading or text stands right before it.
 
 One task reads one page at a time; nothing is shuffled and no text is cut off.
 
@@ -334,12 +335,44 @@ def _with_heading(top: Node, order: list[Node]) -> Node:
 
 
 def _is_menu(node: Node) -> bool:
+    """Whether a list outside an article is one of links only."""
     return node.tag in ("ul", "ol") and node.link_tags >= 2 and 10 * node.link_chars >= 9 * node.chars
 
 
+def _in_article(node: Node | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def _after_text(parent: Node | None) -> set[int]:
+    """The children right after a heading or text, among running text: a list there is one of sources, not a menu."""
+    found, before, text = set(), "", False
+    for x in parent.parts if parent is not None else []:
+        if type(x) is str:
+            kind = "p" if x.strip() else None
+        elif x.cut or not x.chars:
+            kind = None
+        else:
+            kind = "" if x.chars == x.link_chars else "p" if x.tag in INLINE else x.tag
+            if before in ("p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"):
+                found.add(id(x))
+        if kind is not None:
+            before, text = kind, text or kind == "p"
+    return found if text else set()
+
+
 def _render(top: Node) -> str:
     blocks: list[str] = []
     line: list[str] = []
+    inside, after = _in_article(top), {}
+
+    def menu(x: Node) -> bool:
+        if inside or not _is_menu(x) or _in_article(x):
+            return False
+        if id(x.parent) not in after:
+            after[id(x.parent)] = _after_text(x.parent)
+        return id(x) not in after[id(x.parent)]
 
     def flush() -> None:
         joined = " ".join("".join(line).split())
@@ -356,7 +389,7 @@ def _render(top: Node) -> str:
             line.append(x)
         elif x.tag == "br":
             line.append(" ")
-        elif not x.cut and not _is_menu(x):
+        elif not x.cut and not menu(x):
             if x.tag in INLINE:
                 todo.extend(reversed(x.parts))
             else:

@@ -150,3 +150,11 @@ def test_media_probe(spark, tmp_path):
     found = {r["path"].rsplit("/", 1)[1]: (r["width"], r["height"]) for r in media.probe(spark, str(tmp_path)).collect()}
     assert found == {"a.png": (200, 150), "b.gif": (3, 4), "c.jpg": (100, 50), "d.jpg": (None, None), "e.txt": (None, None)}  # a file without bytes is no file yet
     assert media.listing(spark, str(tmp_path)).where(F.col("length") > 0).count() == 5
+
+
+def test_jpeg_frame_header_behind_long_segments(spark, tmp_path):
+    frame = b"\xff\xc0" + struct.pack(">HBHH", 17, 8, 50, 100) + b"\0" * 10
+    (tmp_path / "a.jpg").write_bytes(b"\xff\xd8" + (b"\xff\xe1\xff\xff" + b"\0" * 65_533) * 3 + frame)
+    (tmp_path / "b.jpg").write_bytes(b"\xff\xd8" + (b"\xff\xe1\xff\xff" + b"\0" * 65_533) * 3)
+    found = {r["path"].rsplit("/", 1)[1]: (r["width"], r["height"]) for r in media.probe(spark, str(tmp_path)).collect()}
+    assert found == {"a.jpg": (100, 50), "b.jpg": (None, None)}

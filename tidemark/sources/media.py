@@ -44,10 +44,10 @@ def image_size(head: bytes) -> tuple[int, int] | None:
 
 
 def probe(spark: SparkSession, path: str, types: DataFrame | None = None) -> DataFrame:
-    """(path, width, height, media_duration, is_muted); with ``types`` (path, type) only pictures are opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.substring("content", 1, HEADER_BYTES).alias("head"))
-    if types is not None:
-        files = files.join(types.where("type in ('picture', 'image')").select("path"), "path", "left_semi")
+    """(path, width, height, media_duration, is_muted); with ``types`` (path, type) only pictures are returned."""
+    head = F.substring("content", 1, HEADER_BYTES)
+    jpeg = F.substring("content", 1, 2) == F.lit(b"\xff\xd8")  # its frame header may stand behind any number of segments
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.when(jpeg, F.col("content")).otherwise(head).alias("head"))
 
     def run(batches):
         for batch in batches:
@@ -55,4 +55,6 @@ def probe(spark: SparkSession, path: str, types: DataFrame | None = None) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in sizes], pa.int32()), pa.array([h for _, h in sizes], pa.int32())], names=["path", "width", "height"])
 
     sized = files.mapInArrow(run, "path string, width int, height int")
+    if types is not None:  # behind the reading, so that no content is shuffled
+        sized = sized.join(types.where("type in ('picture', 'image')").select("path"), "path", "left_semi")
     return sized.withColumn("media_duration", F.lit(None).cast("double")).withColumn("is_muted", F.lit(None).cast("boolean"))

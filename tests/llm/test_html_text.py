@@ -1,7 +1,13 @@
 from __future__ import annotations
 
+import math
+import os
+import random
 import time
 
+import pytest
+
+from tidemark.llm import html_text as module
 from tidemark.llm.html_text import html_text, main_text
 
 ARTICLE = "<h1>A title</h1><p><b>First paragraph with quite a few words in it.<br><p>Second &amp; last,\n  with   space&nbsp;and caf&eacute;.</p><p>Ti.</p>"
@@ -78,3 +84,97 @@ def test_rows(spark):
     rows = spark.createDataFrame([(1, "u", page(f"<article>{ARTICLE}</article>")), (2, None, None), (None, "v", ""), (1, "u", "<p>x")], "page_id long, url string, html string").selectExpr("*", "1 as text", "2 as n_chars")
     assert sorted(map(tuple, html_text(rows).collect()), key=str) == sorted([(1, "u", TEXT, len(TEXT)), (2, None, "", 0), (None, "v", "", 0), (1, "u", "x", 1)], key=str)
     assert html_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_density_alone_finds_the_driver_s_articles(spark):
+    """Without any mark (tag, role or name), the densities choose what the marks confirm."""
+    for sf in ("sf0.001", "sf0.01", "sf0.1"):
+        path = f"/root/testdata/{sf}/pages.parquet"
+        if not os.path.exists(path):
+            pytest.skip("no driver tables here")
+        pages = [r["html"] for r in spark.read.parquet(path).select("html").collect()]
+        for page_ in pages:
+            found = main_text(page_, marks=False)
+            assert found == main_text(page_) and found
+            inside = page_[page_.index("<article>") : page_.index("</article>")]
+            assert found.split("\n")[0].split()[0].split("&")[0] in inside
+
+
+def test_density_chooses_among_unmarked_parts():
+    """The part with most running text is the article, whatever the tags are called."""
+    links = "".join(f"<li><a href='/{k}'>Some linked headline number {k}</a></li>" for k in range(40))
+    text = "".join(f"<p>Sentence number {k} of a longer text, which goes on for a number of words.</p>" for k in range(6))
+    body = f"<div><ul>{links}</ul></div><div><div>{text}</div></div><div><span>Site name</span><ul>{links}</ul></div>"
+    assert main_text(page(body), marks=False).split("\n") == [f"Sentence number {k} of a longer text, which goes on for a number of words." for k in range(6)]
+    both = page(f"<article><p>A teaser.</p></article><div>{text}</div>")  # the one article is not preferred for its name
+    assert "Sentence number 5" in main_text(both)
+
+
+def random_page(rng, depth=0):
+    out = []
+    for _ in range(rng.randint(0, 4)):
+        tag = rng.choice(["text", "div", "p", "ul", "b", "a", "span", "section"])
+        if tag == "text" or depth > 5:
+            out.append("".join(rng.choice("ab  \n") for _ in range(rng.randint(1, 30))))
+        elif tag == "p":
+            out.append(f"<p>{rng.choice(['x', 'xy z', '<b>q r</b> s', '<a>link</a>'])}</p>")
+        elif tag == "a":
+            out.append("<a>linked words</a>")
+        else:
+            out.append(f"<{tag}>{random_page(rng, depth + 1)}</{tag}>")
+    return "".join(out)
+
+
+def test_densities_against_plain_recursion():
+    rng = random.Random(12)
+    for _ in range(400):
+        root, _ = module.parse(f"<html><body>{random_page(rng)}</body></html>", marks=False)
+        order = module._walk(root)
+        module._measure(order)
+        kids = lambda x: [y for y in x.parts if type(y) is module.Node]
+
+        def counts(x, linked=False):
+            linked = linked or x.tag == "a"
+            chars = sum(len(" ".join(y.split())) for y in x.parts if type(y) is str)
+            own = [chars, 0, chars if linked else 0, 0]
+            for y in kids(x):
+                below = counts(y, linked)
+                own = [own[0] + below[0], own[1] + below[1] + 1, own[2] + below[2], own[3] + below[3] + (y.tag == "a")]
+            return own
+
+        def blocks(x):  # block children, formatting tags looked through
+            return [z for y in kids(x) for z in (blocks(y) if y.tag in module.INLINE else [y])]
+
+        def plain_density(x, share, linked):
+            c, t, lc, lt = counts(x, linked)
+            if not c:
+                return 0.0
+            inner = max(1.0, c * max(1, t) / (max(1, lc) * max(1, lt)))
+            return c / max(1, t) * math.log(inner) / math.log(c * lc / max(1, c - lc) + share * c + math.e)
+
+        above = lambda x: x is not None and (x.tag == "a" or above(x.parent))
+        body = next(x for x in order if x.tag == "body")
+        c, _, lc, _ = counts(body)
+        share = lc / max(1, c)
+        for x in order:
+            assert math.isclose(x.density, plain_density(x, share, above(x.parent)), abs_tol=1e-9)
+            if x.tag not in module.INLINE:
+                assert math.isclose(x.total, sum(plain_density(y, share, above(y.parent)) for y in blocks(x)), abs_tol=1e-9)
+        core = max((x for x in order if x.tag not in module.INLINE and x.tag not in ("html", "#root")), key=lambda x: x.total)
+        assert module._holds(module._content(order), core.place, core.last)
+
+
+def test_broken_markup_takes_linear_time():
+    began = time.time()
+    for part in ("<ul><li>", "<a b='", "<a ", "<p>", "<!", "<h1><div><p>word word</p>", "<b>", "<article><p>x", "<form><div class='nav'>x", "<a b='>'", "&", "<li><a>x</a>", "<td><table>"):
+        main_text(part * (300_000 // len(part)))
+    main_text("<ul><li>" * 250_000)
+    main_text("<script>" + "</script " * 50_000)
+    main_text("<a b='>'" * 20_000 + "c='")
+    assert time.time() - began < 60
+
+
+def test_quotes_and_comments_without_an_end():
+    assert main_text("<p title=\"a > b\">x</p><p>y</p>") == "x\ny"
+    assert main_text("<p title='a>x</p><p>y</p>") == "x\ny"
+    assert main_text("<p>x</p><!-- <p>y</p>") == "x" and main_text("<p>x</p><!doctype") == "x\n<!doctype"

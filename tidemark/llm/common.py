@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +55,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+FILTER_BITS = 24
+
+
+def bitmap(table: DataFrame, column: str) -> bytes:
+    """A filter of fixed size, 2 ** FILTER_BITS bits, on the 64-bit hashes of a column; it lets through all of them, and others by chance."""
+    bits = table.select((F.col(column).bitwiseAND((1 << FILTER_BITS) - 1)).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits"))
+    out = np.zeros((1 << FILTER_BITS) // 32, np.uint32)
+    for r in words.collect():
+        out[r["word"]] = r["bits"]
+    return out.tobytes()
+
+
+def may_have(bits: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes the filter lets through."""
+    words = np.frombuffer(bits, np.uint32)
+    place = (hashes.view(np.uint64) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return (words[place >> 5] >> (place & 31).astype(np.uint32) & np.uint32(1)).astype(bool)

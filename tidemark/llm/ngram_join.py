@@ -45,13 +45,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import binary, staged, whole_text
+from tidemark.llm.common import FILTER_BITS, binary, bitmap, staged, whole_text
 from tidemark.llm.components import components
 from tidemark.llm.words import chunks, mix, shingle_sets
 
 WIDTH, PERCENT = 3, 90
 BLOCK, COLUMNS = 128, 4096
-FILTER_BITS = 24
 
 
 @lru_cache(maxsize=8)
@@ -198,19 +197,9 @@ def _match(batches):
         yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links))
 
 
-def _bitmap(groups: DataFrame) -> bytes:
-    """A filter of fixed size on the nodes that are in groups: 2 ** FILTER_BITS bits."""
-    bits = groups.select((F.col("node").bitwiseAND((1 << FILTER_BITS) - 1)).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits"))
-    out = np.zeros((1 << FILTER_BITS) // 32, np.uint32)
-    for r in words.collect():
-        out[r["word"]] = r["bits"]
-    return out.tobytes()
-
-
-def _texts_of(bitmap):
+def _texts_of(sought):
     def run(batches):
-        words = np.frombuffer(bitmap.value, np.uint32)
+        words = np.frombuffer(sought.value, np.uint32)
         mask = (1 << FILTER_BITS) - 1
         for batch in batches:
             seen: dict[bytes, bytes] = {}
@@ -338,8 +327,8 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     found = met.where("octet_length(key) > 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
     classes = staged(found.where("n_shingles > 0").groupBy("key", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "ngram-classes")
 
-    bitmap = spark.sparkContext.broadcast(_bitmap(groups))  # of fixed size
-    texts = rows.select("text").mapInArrow(_texts_of(bitmap), "node long, key binary, text string")
+    sought = spark.sparkContext.broadcast(bitmap(groups, "node"))  # of fixed size
+    texts = rows.select("text").mapInArrow(_texts_of(sought), "node long, key binary, text string")
     placed = classes.join(groups, "node").select("node", "key", "copies", F.col("component").alias("g"))
     counted = placed.join(staged(placed.groupBy("g").agg(F.ceil(F.count("*") / block).alias("blocks")), "ngram-sizes"), "g")
     members = texts.join(staged(counted, "ngram-members"), ["node", "key"]).groupBy("node", "key", "g", "blocks", "copies").agg(F.first("text").alias("text"))

@@ -104,3 +104,78 @@ def test_word_probabilities_add_up(spark):
         total[k] += (r["n"] + 0.5) / norms[k] if k >= 2 else 1
     for k, p in total.items():
         assert k < 2 and p == 1 or math.isclose(p + 0.5 / norms[k], 1)
+
+
+def test_blocks_do_not_matter():
+    """Long texts keep only some forward vectors; the counts are those of the whole text."""
+    rng, m = np.random.default_rng(2), small_model()
+    sequences = [rng.integers(0, 4, n).astype(np.uint16) for n in (1, 257, 3, 3, 64, 65, 2)]
+    whole = hmm.expected_counts(sequences, m)
+    for cells in (1, 2, 7, 64, 128, 300):
+        assert all(np.allclose(a, b) for a, b in zip(hmm.expected_counts(sequences, m, cells), whole, strict=True))
+
+
+def test_a_text_beyond_any_block_is_one_text():
+    rng, m = np.random.default_rng(3), small_model()
+    long = rng.integers(0, 4, 300_000).astype(np.uint16)
+    start, step, emit = hmm.expected_counts([long], m)
+    assert math.isclose(start.sum(), 1) and math.isclose(step.sum(), len(long) - 1, rel_tol=1e-9)
+    assert np.allclose(emit.sum(axis=1), np.bincount(long, minlength=4))
+
+
+def plain_scores(rows, own, suffix, states, rounds):
+    """The whole operator again: counts, classes, Baum-Welch and likelihoods, one text at a time."""
+    tokens = lambda t: [*(t or "").encode().lower().split(), None]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    counts = collections.Counter(t for i, x in rows if not held(i) for t in tokens(x))
+    ranked = sorted((w for w in counts if w is not None), key=lambda w: (-counts[w], w))
+    alone = {w: k for k, w in enumerate(ranked[:own])}
+    cls = lambda w: own + suffix if w is None else alone[w] if w in alone else own + hmm.xxhash.xxh64_intdigest(w[-3:]) % suffix
+    mass, distinct = np.zeros(own + suffix + 1), np.zeros(own + suffix + 1)
+    for w, n in counts.items():
+        mass[cls(w)] += n
+        distinct[cls(w)] += 1
+    prior = (mass + 0.5) / (mass + 0.5).sum()
+    model = hmm.Model.first(prior, states)
+    for _ in range(rounds):
+        start, step, emit = np.ones(states), np.ones((states, states)), prior[:, None] * np.full(states, 10.0)
+        for i, x in rows:
+            if held(i):
+                continue
+            s = [cls(w) for w in tokens(x)]
+            alpha, beta = [model.start * model.emit[s[0]]], [np.ones(states)]
+            for c in s[1:]:
+                alpha.append(alpha[-1] @ model.step * model.emit[c])
+            for c in reversed(s[1:]):
+                beta.insert(0, model.step @ (model.emit[c] * beta[0]))
+            total = alpha[-1].sum()
+            for t, c in enumerate(s):
+                emit[c] += alpha[t] * beta[t] / total
+                if t:
+                    step += np.outer(alpha[t - 1], model.emit[c] * beta[t]) * model.step / total
+            start += alpha[0] * beta[0] / total
+        model = hmm.Model(start / start.sum(), step / step.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    out = {}
+    for i, x in rows:
+        s = [cls(w) for w in tokens(x)]
+        alpha = model.start * model.emit[s[0]]
+        for c in s[1:]:
+            alpha = alpha @ model.step * model.emit[c]
+        shared = sum(math.log10((counts[w] + 0.5) / (mass[cls(w)] + 0.5 * (distinct[cls(w)] + 1))) for w in tokens(x) if own <= cls(w) < own + suffix)
+        out[i] = math.log10(alpha.sum()) + shared
+    return out
+
+
+def test_scores_against_a_plain_model(spark):
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 4))) for _ in range(40)]
+    rows = [(k, " ".join(rng.choice(vocabulary[k % 3 * 10 :]) for _ in range(rng.randint(0, 25)))) for k in range(60)] + [(60, None), (61, "never seen words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for common in (100, 6):  # 6: most words' counts come by the join
+        found = {r["doc_id"]: r["score"] for r in hmm.hmm_scores(docs, states=3, rounds=2, own=6, suffix=5, common=common).collect()}
+        expected = plain_scores(rows, 6, 5, 3, 2)
+        assert set(found) == set(expected)
+        if common == 100:
+            assert all(math.isclose(found[i], expected[i], rel_tol=1e-9) for i in expected)
+        else:
+            assert all(math.isfinite(found[i]) for i in expected)

@@ -16,8 +16,10 @@ while what is trained and broadcast has a fixed size: ``states`` * (own + suffix
 + 1) numbers.
 
 *Training.*  Each round of Baum-Welch runs scaled forward-backward over all
-training texts; every partition adds up its expected counts and Spark sums them
-by class.  Texts longer than ``segment`` tokens are cut for training only.
+training texts, whole; every partition adds up its expected counts and Spark
+sums them by class.  Of a long text only every ``CELLS``-th forward vector is
+kept, and the others are computed again on the way back, so that a text of any
+length takes bounded tables and is never cut.
 
 *Scoring.*  The scaled forward recursion gives the exact likelihood of the whole
 class sequence of every text; the words' q factors are added.  Counts of the
@@ -26,8 +28,10 @@ tasks; those of all other words are joined by shuffle, so nothing that grows
 with the vocabulary is broadcast.
 
 Defined results: a null text is empty and has one token, the end; a null id
-counts as the empty id; repeated rows give repeated results and count twice in
-training; with no training text, c, N and V are 0; other columns play no role.
+counts as the empty id; words of equal counts are ranked by their bytes;
+repeated rows give repeated results and count twice in training; with no
+training text, c, N and V are 0; an empty table gives an empty result; other
+columns play no role.
 """
 
 from __future__ import annotations
@@ -42,7 +46,7 @@ from tidemark.llm.common import staged, whole_text
 from tidemark.llm.words import chunks, split_words
 
 STATES, ROUNDS, OWN, SUFFIX, COMMON, COMMON_BYTES = 8, 4, 8192, 2048, 65_536, 64
-SEGMENT, CELLS = 65_536, 1 << 18
+CELLS = 1 << 18
 SEED = 11
 
 
@@ -211,35 +215,49 @@ def log_likelihoods(sequences: list[np.ndarray], model: Model) -> np.ndarray:
     return out
 
 
-def expected_counts(sequences: list[np.ndarray], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts (K), steps (K, K) and emissions (C, K) by scaled forward-backward."""
+def _forward(table, active, model: Model, first: int, alpha: np.ndarray | None, alphas: np.ndarray | None, scales: np.ndarray | None) -> np.ndarray:
+    """Scaled forward vectors of the steps of ``table``, from ``alpha`` on (none before the first step); returns the last."""
+    for t in range(len(table)):
+        a = active[first + t]
+        alpha = (np.tile(model.start, (a, 1)) if alpha is None else alpha[:a] @ model.step) * model.emit[table[t, :a]]
+        scale = alpha.sum(axis=1)
+        alpha /= scale[:, None]
+        if alphas is not None:
+            alphas[t, :a], scales[t, :a] = alpha, scale
+    return alpha
+
+
+def expected_counts(sequences: list[np.ndarray], model: Model, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts (K), steps (K, K) and emissions (C, K) by scaled forward-backward, in blocks of at most ``cells`` padded cells."""
     states, classes = len(model.start), len(model.emit)
     start, step, emit = np.zeros(states), np.zeros((states, states)), np.zeros((classes, states))
     back = np.ascontiguousarray(model.step.T)
-    for own in groups(sequences):
+    for own in groups(sequences, cells):
         table, active = _padded(sequences, own)
         steps, width = table.shape
-        alphas, scales = np.zeros((steps, width, states)), np.ones((steps, width))
-        alpha = np.tile(model.start, (width, 1))
-        for t in range(steps):
-            a = active[t]
-            alpha = (alpha[:a] @ model.step if t else alpha[:a]) * model.emit[table[t, :a]]
-            scales[t, :a] = alpha.sum(axis=1)
-            alpha = alpha / scales[t, :a, None]
-            alphas[t, :a] = alpha
+        size = max(1, cells // width)
+        before: list[np.ndarray | None] = [None]  # the forward vectors before each block
+        for lo in range(0, steps - size, size):
+            before.append(_forward(table[lo : lo + size], active, model, lo, before[-1], None, None))
         beta = np.ones((width, states))
-        for t in range(steps - 1, 0, -1):
-            a = active[t]
-            future = model.emit[table[t, :a]] * beta[:a] / scales[t, :a, None]
-            alphas[t, :a] *= beta[:a]  # from here on the state posteriors
-            step += alphas[t - 1, :a].T @ future
-            beta[:a] = future @ back
-        alphas[0] *= beta
-        start += alphas[0].sum(axis=0)
-        mask = np.arange(width)[None, :] < active[:, None]
-        flat, weights = table[mask], alphas[mask]
-        for s in range(states):
-            emit[:, s] += np.bincount(flat, weights[:, s], classes)
+        for k in range(len(before) - 1, -1, -1):
+            lo, hi = k * size, min(steps, (k + 1) * size)
+            alphas, scales = np.zeros((hi - lo, width, states)), np.ones((hi - lo, width))
+            _forward(table[lo:hi], active, model, lo, before[k], alphas, scales)
+            for t in range(hi - 1, lo - 1, -1):
+                a = active[t]
+                future = model.emit[table[t, :a]] * beta[:a] / scales[t - lo, :a, None]
+                alphas[t - lo, :a] *= beta[:a]  # from here on the state posteriors
+                if t:
+                    previous = alphas[t - 1 - lo, :a] if t > lo else before[k][:a]
+                    step += previous.T @ future
+                    beta[:a] = future @ back
+            if k == 0:
+                start += alphas[0].sum(axis=0)
+            mask = np.arange(width)[None, :] < active[lo:hi, None]
+            flat, weights = table[lo:hi][mask], alphas[mask]
+            for s in range(states):
+                emit[:, s] += np.bincount(flat, weights[:, s], classes)
     return start, step * model.step, emit
 
 
@@ -248,8 +266,7 @@ def _expect(model):
         sums = None
         for batch in batches:
             sequences = [np.frombuffer(x, np.uint16) for x in batch.column(0).to_pylist()]
-            pieces = [x[k : k + SEGMENT] for x in sequences for k in range(0, len(x), SEGMENT)]
-            found = expected_counts(pieces, model.value)
+            found = expected_counts(sequences, model.value)
             sums = found if sums is None else [a + b for a, b in zip(sums, found, strict=True)]
         if sums is not None:
             start, step, emit = sums

@@ -52,6 +52,8 @@ def test_against_plain_search(spark, words):
     expected = sorted((i, *plain(t, items)) for i, t in docs)
     assert sorted(map(tuple, d.decontamination(rows, benchmark).collect())) == expected
     assert sorted(map(tuple, d.decontamination(rows, benchmark, block_bytes=600).collect())) == expected
+    assert sorted(map(tuple, d.decontamination(rows, benchmark, block_bytes=600, piece=3).collect())) == expected
+    assert sorted(map(tuple, d.decontamination(rows, benchmark, piece=1).collect())) == expected
 
 
 def test_odd_rows(odd, none, spark):
@@ -62,3 +64,38 @@ def test_odd_rows(odd, none, spark):
     assert not any(r["contaminated"] for r in d.decontamination(odd, bench(spark, items).limit(0)).collect())
     marked = d.mark(odd, bench(spark, items)).where("not __tm_contaminated").select(*odd.columns)
     assert marked.count() == sum(not r["contaminated"] for r in found)
+
+
+def test_search_against_plain_comparison():
+    rng = random.Random(8)
+    for _ in range(300):
+        alphabet = [bytes([97 + k]) for k in range(rng.choice([1, 2, 3, 8]))]
+        some = lambda n: [rng.choice(alphabet) for _ in range(n)]  # noqa: E731, B023
+        window = rng.choice([1, 2, 3, 5, 13])
+        items = [(f"i{k}", b" ".join(some(rng.randint(0, 30)))) for k in range(rng.randint(1, 6))]
+        words = some(rng.randint(0, 60)) + [b"zz"] + some(rng.randint(0, 20))
+        spans, found = d.Searcher(items, window).occurrences(words)
+        hit, expected = set(), set()
+        for item, text in items:
+            own = text.split()
+            m = min(window, len(own))
+            for s in range(len(own) - m + 1) if m else ():
+                for k in range(len(words) - m + 1):
+                    if words[k : k + m] == own[s : s + m]:
+                        hit.update(range(k, k + m))
+                        expected.add(item)
+        assert found == expected and {k for a, b in spans for k in range(a, b)} == hit
+
+
+def test_blocks_are_drawn_one_by_one_and_bounded(spark, words):
+    items = [(1, " ".join(words(900))), (1, "the same item"), (1, "the same item")] + [(k, " ".join(words(30))) for k in range(2, 60)]
+    count, blocks = d._blocks(bench(spark, items * 3), "item_id", "text", 13, 4000, 50)
+    sizes = [sum(len(f.stream) for f in b.finders) for b in blocks]
+    assert len(sizes) == count > 4 and max(sizes) < 4000 / 3
+
+
+def test_tables_are_small(words):
+    import pickle
+
+    text = " ".join(words(100_000)).encode()
+    assert len(pickle.dumps(d.Searcher([("a", text)], 13).finders)) < 60 * 100_000

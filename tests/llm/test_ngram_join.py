@@ -10,9 +10,9 @@ from tidemark.llm.components import components
 from tidemark.llm.words import chunks, shingle_sets, split_words
 
 
-def plain_set(text):
+def plain_set(text, width=3):
     words = (text or "").encode().lower().split()
-    return frozenset(tuple(words[k : k + 3]) for k in range(max(1, len(words) - 2))) if words else frozenset()
+    return frozenset(tuple(words[k : k + width]) for k in range(max(1, len(words) - width + 1))) if words else frozenset()
 
 
 def plain_components(rows):
@@ -88,6 +88,25 @@ def test_product_is_the_plain_overlap(words, monkeypatch):
     assert (n.overlaps(sets[:7], sets[7:]) == expected[:7, 7:]).all()
 
 
+def test_pairs_are_discarded_by_bounds_that_lose_no_link(words, monkeypatch):
+    monkeypatch.setattr(n, "COLUMNS", 11)
+    rng = random.Random(5)
+    for percent in (50, 80, 90, 100):
+        base = words(60)
+        texts = [" ".join(near(words, rng, base[: rng.randint(5, 60)], rng.randint(0, 8))) for _ in range(30)] + [" ".join(base)] * 2
+        plain, sets = [plain_set(t) for t in texts], shingle_sets(pa.array(texts), 3)
+        expected = np.array([[100 * len(a & b) >= percent * len(a | b) for b in plain] for a in plain])
+        assert (n.links_between(sets, sets, percent) == expected).all()
+        assert (n.links_between(sets[:9], sets[9:], percent) == expected[:9, 9:]).all()
+
+
+def test_ids_of_other_types(spark):
+    docs = spark.createDataFrame([("b", "one two three four"), ("a", "one two three four"), ("x1", "other words here"), (None, "alone")], "doc_id string, text string")
+    found = sorted((str(r["doc_id"]), str(r["component_id"]), r["n_links"]) for r in n.ngram_join(docs).collect())
+    assert found == [("None", "None", 0), ("a", "a", 1), ("b", "a", 1), ("x1", "x1", 0)]
+    assert sorted(str(r["doc_id"]) for r in n.one_of_each(docs).collect()) == ["None", "a", "x1"]
+
+
 def test_join_against_all_pairs(spark, words):
     rng, texts = random.Random(7), []
     for size in (8, 12, 20, 40, 90, 200):

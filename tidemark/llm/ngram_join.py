@@ -21,8 +21,11 @@ multiplied:
 3. *Product.*  A group is cut into blocks of about ``block`` texts; every pair of
    blocks is one run, and runs are dealt to tasks in equal shares.  A run
    multiplies the blocks' incidence matrices, a block of columns at a time,
-   accumulating overlap counts, discards pairs below the bounds, and returns a
-   spanning forest of the links and each text's number of links, never all pairs.
+   accumulating overlap counts.  Pairs whose sizes differ too much are discarded
+   before, and after every block of columns those that can't reach the overlap
+   that their sizes demand, even if all n-grams left agreed; rows without a pair
+   left are multiplied no more.  A run returns a spanning forest of the links and
+   each text's number of links, never all pairs.
    Groups of one block (nearly all) are one run.
 
 Equal texts are one row of the matrix: copies are found by a digest and carry
@@ -31,8 +34,10 @@ first 128 bits of their SHA-256.
 
 Defined results: null, empty and blank texts have no shingles and link with
 nothing, not even their copies; the component is the smallest doc_id reachable,
-nulls aside, and null where a document that links with nothing has no id; rows
-that repeat an id and text are copies; other columns play no role.
+nulls aside, and null where a document that links with nothing has no id; ids
+may have any type that has an order; very long texts are read whole; rows that
+repeat an id and text are copies; an empty table gives an empty result; other
+columns play no role.
 """
 
 from __future__ import annotations
@@ -140,11 +145,14 @@ def _meet(codes: np.ndarray, nodes: np.ndarray, forest: Forest) -> np.ndarray:
     return order[fresh]
 
 
-_ROW = "a long, b long, key binary"
+_ROW = "a long, b long, key binary, id {}"
 
 
-def _rows(a, b, key) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(key, pa.binary())], names=["a", "b", "key"])
+def _rows(a, b, key, ids: pa.Array) -> pa.RecordBatch:
+    """``a`` and ``key`` may be null; ``ids`` is a column, or its type for nulls."""
+    if isinstance(ids, pa.DataType):
+        ids = pa.nulls(len(b), ids)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(key, pa.binary()), ids], names=["a", "b", "key", "id"])
 
 
 def digest(raw: bytes) -> bytes:
@@ -156,11 +164,11 @@ def node_of(key: bytes) -> int:
 
 
 def _file(width: int, percent: int):
-    """Rows (doc_id, node, digest + size) of documents, (code, node, null) of signatures, (node, node, empty) of links between nodes."""
+    """Rows (null, node, digest + size, id) of documents, (code, node, null, null) of signatures, (node, node, empty, null) of links between nodes."""
 
     def run(batches):
         for batch in batches:
-            ids, text = batch.column(0).to_pylist(), batch.column(1)
+            ids, text = batch.column(0), batch.column(1)
             for start, end in chunks(text):
                 part = text.slice(start, end - start)
                 raw = [x or b"" for x in part.cast(pa.binary()).to_pylist()]
@@ -169,22 +177,23 @@ def _file(width: int, percent: int):
                 own = list(first)
                 sets = shingle_sets(part.take(pa.array([first[k] for k in own], pa.int64())), width)
                 size = {k: len(s).to_bytes(4, "big") for k, s in zip(own, sets, strict=True)}
-                yield _rows(ids[start:end], [node_of(k) for k in keys], [k + size[k] for k in keys])
+                yield _rows([None] * (end - start), [node_of(k) for k in keys], [k + size[k] for k in keys], ids.slice(start, end - start))
                 rows, codes = signatures(sets, percent)
                 nodes = np.array([node_of(k) for k in own], np.int64)[rows]
                 forest = Forest()
                 lead = _meet(codes, nodes, forest)
                 links = forest.edges()
-                yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links))
-                yield pa.RecordBatch.from_arrays([pa.array(codes[lead]), pa.array(nodes[lead]), pa.nulls(len(lead), pa.binary())], names=["a", "b", "key"])
+                yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), ids.type)
+                yield _rows(codes[lead], nodes[lead], pa.nulls(len(lead), pa.binary()), ids.type)
 
     return run
 
 
 def _match(batches):
     """Joins the nodes of a partition that holds all rows of its codes; other rows pass."""
-    codes, nodes = [], []
+    codes, nodes, kind = [], [], None
     for batch in batches:
+        kind = batch.column(3).type
         plain = batch.column(2).is_valid()
         yield batch.filter(plain)
         own = batch.filter(pa.array(~plain.to_numpy(zero_copy_only=False)))
@@ -194,7 +203,7 @@ def _match(batches):
         forest = Forest()
         _meet(np.concatenate(codes), np.concatenate(nodes), forest)
         links = forest.edges()
-        yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links))
+        yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), kind)
 
 
 def _texts_of(sought):
@@ -213,9 +222,12 @@ def _texts_of(sought):
     return run
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections: the product of one incidence matrix and the other's transpose, a block of columns at a time."""
-    sets = [*left, *right]
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], need: np.ndarray | None = None) -> np.ndarray:
+    """Sizes of all intersections: the product of one incidence matrix and the other's transpose, a block of columns at a time.
+
+    Where ``need`` is given, pairs that can't reach it are discarded on the way and get 0.
+    """
+    sets, split = [*left, *right], len(left)
     column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
     shared = np.flatnonzero(count > 1)
     number = np.full(len(count), -1, np.int64)
@@ -224,19 +236,30 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     row, column = row[column >= 0], column[column >= 0]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    out = np.zeros((len(left), len(right)), np.int64)
+    rest = np.bincount(row, minlength=len(sets))  # n-grams of each row in the columns that are left
+    out = np.zeros((split, len(right)), np.int64)
+    alive = np.ones(out.shape, bool) if need is None else np.minimum(rest[:split, None], rest[None, split:]) >= need
     for start in range(0, len(shared), COLUMNS):
         lo, hi = np.searchsorted(column, [start, start + COLUMNS])
-        block = np.zeros((len(sets), min(COLUMNS, len(shared) - start)), np.float32)
-        block[row[lo:hi], column[lo:hi] - start] = 1
-        out += (block[: len(left)] @ block[len(left) :].T).astype(np.int64)
-    return out
+        rows, columns = np.flatnonzero(alive.any(axis=1)), np.flatnonzero(alive.any(axis=0))
+        if not len(rows):
+            break
+        place = np.full(len(sets), -1, np.int64)
+        place[rows], place[split + columns] = np.arange(len(rows)), len(rows) + np.arange(len(columns))
+        used = place[row[lo:hi]] >= 0
+        block = np.zeros((len(rows) + len(columns), min(COLUMNS, len(shared) - start)), np.float32)
+        block[place[row[lo:hi][used]], column[lo:hi][used] - start] = 1
+        out[np.ix_(rows, columns)] += (block[: len(rows)] @ block[len(rows) :].T).astype(np.int64)
+        rest -= np.bincount(row[lo:hi], minlength=len(sets))
+        if need is not None:
+            alive &= out + np.minimum(rest[:split, None], rest[None, split:]) >= need
+    return np.where(alive, out, 0)
 
 
 def links_between(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
     a, b = (np.array([len(s) for s in x], np.int64) for x in (left, right))
-    common = overlaps(left, right)
-    return (100 * common >= percent * (a[:, None] + b[None, :] - common)) & (common > 0)
+    need = np.maximum(1, -(-percent * (a[:, None] + b[None, :]) // (100 + percent)))  # the least overlap that links
+    return overlaps(left, right, need) >= need
 
 
 def joined_by(link: np.ndarray) -> list[list[int]]:
@@ -317,14 +340,15 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     """One row per document: doc_id, key (digest of the text), n_shingles, component_id, n_links (other documents that it links with)."""
     spark = docs.sparkSession
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
+    schema = _ROW.format(dict(rows.dtypes)["doc_id"])
 
-    filed = rows.mapInArrow(_file(width, percent), _ROW)
-    dealt = filed.repartition(parts, F.when(F.col("key").isNull(), F.col("a")).otherwise(F.xxhash64("a", "b")))
-    met = staged(dealt.mapInArrow(_match, _ROW), "ngram-filed")
+    filed = rows.mapInArrow(_file(width, percent), schema)
+    dealt = filed.repartition(parts, F.when(F.col("key").isNull(), F.col("a")).otherwise(F.xxhash64("a", "b", "id")))
+    met = staged(dealt.mapInArrow(_match, schema), "ngram-filed")
     groups = components(met.where("octet_length(key) = 0").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-groups")
 
-    found = met.where("octet_length(key) > 0").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
+    found = met.where("octet_length(key) > 0").select(F.col("id").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
     classes = staged(found.where("n_shingles > 0").groupBy("key", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "ngram-classes")
 
     sought = spark.sparkContext.broadcast(bitmap(groups, "node"))  # of fixed size

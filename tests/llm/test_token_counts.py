@@ -49,3 +49,39 @@ def test_a_text_that_two_runs_appended_counts_once(spark, tmp_path):
     first = sorted(map(tuple, t.token_counts(docs, path, cache).collect()))
     spark.createDataFrame(spark.read.parquet(cache).collect(), t._CACHE).write.mode("append").parquet(cache)
     assert sorted(map(tuple, t.token_counts(docs, path, cache).collect())) == first
+
+
+def test_equal_after_the_tokenizer_s_own_normaliser_is_one_entry(spark, tmp_path):
+    path, cache = str(public_tokenizers.path("word_bpe_49k.json")), str(tmp_path / "cache")  # it lower-cases
+    texts = ["Some Words here", "some words HERE", "a <|startoftext|> b", "a <|STARTOFTEXT|> b", "Some words there"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_tokens"] for r in t.token_counts(docs, path, cache).collect()}
+    assert [found[k] for k in range(5)] == plain("word_bpe_49k.json", texts)
+    assert spark.read.parquet(cache).count() == 4
+
+
+@pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_texts_of_one_normal_form_have_one_count(name):
+    import random
+
+    rng = random.Random(4)
+    encode, normalise, _ = t.load(str(public_tokenizers.path(name)))
+    pieces = ["A", "a", " ", "  ", "\t", "É", "e\u0301", "\ufb01", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "\u200b", "\u3000", "x"]
+    counts = {}
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 4)))
+        assert counts.setdefault(normalise(text), encode([text])[0]) == encode([text])[0], text
+
+
+def test_a_hot_text_leaves_one_task(spark):
+    path = str(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = [(k, "the hot text" if k % 3 else f"text {k}") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    digests = t.staged(docs.mapInArrow(t._digests(path), "doc_id long, content binary, n_bytes long, key long, place long"), "digests")
+    none = spark.createDataFrame([], "content binary, n_tokens long")
+    moved = [r["text"] for r in t.missing_texts(docs, digests, none, path).collect()]
+    assert moved.count("the hot text") == 1 and len(moved) == 301
+    assert [r["text"] for r in t.missing_texts(docs, digests, none, path, hot=10_000).collect()].count("the hot text") == 9
+    known = digests.where("doc_id % 3 > 0").select("content", t.F.lit(3).cast("long").alias("n_tokens")).distinct()
+    assert "the hot text" not in [r["text"] for r in t.missing_texts(docs, digests, known, path).collect()]
+    assert t.missing_texts(docs, digests, digests.selectExpr("content", "1L as n_tokens"), path) is None

@@ -12,7 +12,7 @@ from tidemark.llm.ngram_join import ngram_join
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.pii import find
 from tidemark.llm.quality_rules import quality_rules
-from tidemark.llm.token_counts import token_counts
+from tidemark.llm.token_counts import new_cache, token_counts
 from tidemark.llm.warc import warc
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -33,7 +33,10 @@ def op2_lm_scoring(spark, sf_dir):
 
 
 def op3_token_counts(spark, sf_dir):
-    return token_counts(read(spark, sf_dir, "documents"), tokenizer_path())
+    """Twice over one cache: the first run encodes all misses, the second finds every content stored."""
+    docs, cache = read(spark, sf_dir, "documents"), new_cache(spark)
+    token_counts(docs, tokenizer_path(), cache)
+    return token_counts(docs, tokenizer_path(), cache)
 
 
 def op4_warc(spark, sf_dir):

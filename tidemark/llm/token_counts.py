@@ -2,20 +2,31 @@
 
 The cache is a table of (content digest, tokenizer digest, n_tokens).  A run
 
-1. digests every text (SHA-256 of its UTF-8) and the tokenizer file (SHA-256 of
-   the file, the library and its version),
-2. drops repeated texts inside each batch, deals the rest by digest, drops
-   those that the cache has for this tokenizer and the repeats that are left,
-3. encodes only these distinct misses and appends their counts to the cache,
+1. digests the normalised content of every text and the tokenizer file (SHA-256
+   of the file, the library and its version),
+2. joins the distinct digests, as narrow rows, to the stored counts of this
+   tokenizer; those without one are misses,
+3. moves the texts of misses, and only those (a filter of fixed size keeps the
+   others where they are), drops repeats, encodes each distinct miss once and
+   appends the counts to the cache,
 4. joins all documents, as narrow rows, with the cache.
 
-So a text that a third of all documents share reaches its reducer once a batch
-and is encoded once, and the closing join moves digests, never texts.  A run
-that is cut short leaves the cache as it was; a lost executor repeats its tasks.
+*Normalised* is what the tokenizer's own normaliser makes of a text, since its
+count depends on nothing else.  The exception are special strings, which some
+tokenizers look for before they normalise: a text that may have one counts under
+its own bytes.
 
-Defined results: a null text is the empty text (0 bytes, 0 tokens); repeated
-rows give repeated results; empty tables give empty results; other columns play
-no role.  Counts need the tokenizer, so there is no SQL for them.
+*Hot texts.*  Of a content with ``HOT`` copies or more, only the row of the least
+hash of id and content sends its text, so a text that a third of all documents
+share leaves one task, whatever the number of tasks that have it.
+
+A run that is cut short leaves the cache as it was; a lost executor repeats its
+tasks.
+
+Defined results: a null text is the empty text (0 bytes, 0 tokens); very long
+texts are encoded whole; repeated rows give repeated results; empty tables give
+empty results; other columns play no role.  Counts need the tokenizer, so there
+is no SQL for them.
 """
 
 from __future__ import annotations
@@ -23,18 +34,23 @@ from __future__ import annotations
 import hashlib
 import uuid
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import binary, shared_dir, staged, whole_text
+from tidemark.llm.common import FILTER_BITS, binary, bitmap, may_have, shared_dir, staged, whole_text
 
-LIMIT = 4096
+LIMIT, HOT = 4096, 64
 _CACHE = "content binary, tokenizer binary, n_tokens long"
 
 
 def load(path: str):
-    """(encode, digest) for a tokenizer file: ``encode`` takes a list of texts and gives their token counts."""
+    """(encode, normalise, digest) for a tokenizer file.
+
+    ``encode`` takes a list of texts and gives their token counts; ``normalise``
+    gives the bytes on which the count of a text depends.
+    """
     with open(path, "rb") as f:
         data = f.read()
     if path.endswith(".model"):
@@ -45,6 +61,9 @@ def load(path: str):
 
         def encode(texts: list[str]) -> list[int]:
             return [len(x) for x in model.encode(texts, add_bos=False, add_eos=False, num_threads=1)]
+
+        def normalise(text: str) -> bytes:
+            return model.normalize(text).encode()
     else:
         import tokenizers
 
@@ -52,21 +71,76 @@ def load(path: str):
         model.no_truncation()
         model.no_padding()
         name = f"tokenizers {tokenizers.__version__}"
+        special = [x.content.lower() for x in model.get_added_tokens_decoder().values()]
 
         def encode(texts: list[str]) -> list[int]:
             return [len(x.ids) for x in model.encode_batch(texts, add_special_tokens=False)]
 
-    return encode, hashlib.sha256(name.encode() + b"\0" + data).digest()
+        def normalise(text: str) -> bytes:
+            low = text.lower()
+            if model.normalizer is None or any(x in low for x in special):
+                return b"\0" + text.encode()
+            return b"\1" + model.normalizer.normalize_str(text).encode()
 
+    return encode, normalise, hashlib.sha256(name.encode() + b"\0" + data).digest()
+
+
+def _place(content: bytes, doc_id) -> int:
+    return int.from_bytes(hashlib.blake2b(content + str(doc_id).encode(), digest_size=8).digest(), "big", signed=True)
 
-def _first_of_batch(batches):
-    for batch in batches:
-        raw = binary(batch, "text")
-        own = {hashlib.sha256(x).digest(): x for x in raw}
-        yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.binary()), pa.array([x.decode() for x in own.values()], pa.string())], names=["content", "text"])
 
+def _key(content: bytes) -> int:
+    return int.from_bytes(content[:8], "big", signed=True)
 
-def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None, limit: int = LIMIT, chunk_chars: int = 1 << 20) -> DataFrame:
+
+def _digests(tokenizer_path: str):
+    def run(batches):
+        _, normalise, _ = load(tokenizer_path)
+        for batch in batches:
+            texts = binary(batch, "text")
+            content = [hashlib.sha256(normalise(x.decode())).digest() for x in texts]
+            columns = [[len(x) for x in texts], [_key(c) for c in content], [_place(c, i) for c, i in zip(content, batch.column(0).to_pylist(), strict=True)]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(content, pa.binary()), *(pa.array(x, pa.int64()) for x in columns)], names=["doc_id", "content", "n_bytes", "key", "place"])
+
+    return run
+
+
+def _texts(tokenizer_path: str, sought, hot, first):
+    """(content, text) of the misses: repeats in a task are dropped, and of hot contents all rows but the first."""
+
+    def run(batches):
+        _, normalise, _ = load(tokenizer_path)
+        seen: set[bytes] = set()
+        for batch in batches:
+            found = []
+            for doc, raw in zip(batch.column(0).to_pylist(), binary(batch, "text"), strict=True):
+                content = hashlib.sha256(normalise(raw.decode())).digest()
+                if content not in seen:
+                    key, place = (np.array([x], np.int64) for x in (_key(content), _place(content, doc)))
+                    if may_have(sought.value, key)[0] and not (may_have(hot.value, key)[0] and not may_have(first.value, place)[0]):
+                        seen.add(content)
+                        found.append((content, raw.decode()))
+            columns = list(zip(*found, strict=True)) if found else [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.binary()), pa.array(columns[1], pa.string())], names=["content", "text"])
+
+    return run
+
+
+def missing_texts(docs: DataFrame, digests: DataFrame, known: DataFrame, tokenizer_path: str, hot: int = HOT) -> DataFrame | None:
+    """(content, text) of all contents that ``known`` lacks, some more than once; None if it has all."""
+    spark = docs.sparkSession
+    distinct = digests.groupBy("content", "key").agg(F.count("*").alias("copies"), F.min("place").alias("place"))
+    misses = staged(distinct.join(known.select("content"), "content", "left_anti"), "token-misses")
+    if misses.isEmpty():
+        return None
+    bit = F.col("key").bitwiseAND((1 << FILTER_BITS) - 1).alias("bit")
+    many = misses.where(F.col("copies") >= hot)
+    first = misses.select("place", bit).join(many.select(bit).distinct(), "bit", "left_semi")  # of all contents that the filter takes for hot
+    filters = [spark.sparkContext.broadcast(x) for x in (bitmap(misses, "key"), bitmap(many, "key"), bitmap(first, "place"))]  # of fixed size
+    return docs.select("doc_id", whole_text("text").alias("text")).mapInArrow(_texts(tokenizer_path, *filters), "content binary, text string")
+
+
+def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None, limit: int = LIMIT, chunk_chars: int = 1 << 20, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit.
 
     ``cache`` is the folder of the cache table, made if it isn't there; without
@@ -74,16 +148,15 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
     readable on every executor.
     """
     spark = docs.sparkSession
-    cache = cache or f"{shared_dir(spark)}/tidemark/token-cache-{uuid.uuid4().hex}"
-    version = load(tokenizer_path)[1]
+    cache = cache or new_cache(spark)
+    version = load(tokenizer_path)[2]
     spark.createDataFrame([], _CACHE).write.mode("append").parquet(cache)
-    texts = docs.select(whole_text("text").alias("text"))
 
     def known() -> DataFrame:
         return spark.read.schema(_CACHE).parquet(cache).where(F.col("tokenizer") == F.lit(version)).select("content", "n_tokens")
 
     def encode_misses(batches):
-        encode, _ = load(tokenizer_path)
+        encode = load(tokenizer_path)[0]
         for batch in batches:
             text, counts, start = batch.column(1).to_pylist(), [], 0
             while start < len(text):  # bounds the ids held at once, not the text
@@ -96,14 +169,20 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([version] * n, pa.binary()), pa.array(counts, pa.int64())], names=["content", "tokenizer", "n_tokens"])
 
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = texts.mapInArrow(_first_of_batch, "content binary, text string").repartition(parts, "content")
-    misses = dealt.join(known().select("content"), "content", "left_anti")  # dealt as the join needs it: texts move once
-    misses.mapInArrow(lambda batches: encode_misses(_unseen(batches)), _CACHE).write.mode("append").parquet(cache)
-
-    rows = docs.select("doc_id", whole_text("text").alias("text")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("content"))
+    rows = docs.select("doc_id", whole_text("text").alias("text"))
+    digests = staged(rows.mapInArrow(_digests(tokenizer_path), f"doc_id {dict(rows.dtypes)['doc_id']}, content binary, n_bytes long, key long, place long"), "token-digests")
+    texts = missing_texts(docs, digests, known(), tokenizer_path, hot)
+    if texts is not None:
+        parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        dealt = texts.repartition(parts, "content")
+        misses = dealt.join(known().select("content"), "content", "left_anti")  # dealt as the join needs it: texts move once
+        misses.mapInArrow(lambda batches: encode_misses(_unseen(batches)), _CACHE).write.mode("append").parquet(cache)
     counts = staged(known().groupBy("content").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")  # runs side by side may append a text twice
-    return rows.join(counts, "content", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return digests.join(counts, "content", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
+def new_cache(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tidemark/token-cache-{uuid.uuid4().hex}"
 
 
 def _unseen(batches):

@@ -34,11 +34,54 @@ def test_round_trip(spark, tmp_path):
     for r in w.records(spark, str(tmp_path / "a")).collect():
         records.setdefault(r["page_id"], []).append(bytes(r["record"]))
     head, _, rest = records[5][0].partition(b"\r\n\r\n")
-    assert rest == ROWS[4][2].encode() + b"\r\n\r\n" and f"Content-Length: {len(ROWS[4][2].encode())}".encode() in head
-    assert records[1][0].endswith(b"Content-Length: 0\r\n\r\n\r\n\r\n") and b"WARC-Refers-To: <urn:page:2>" in records[1][0]
+    http, _, payload = rest.partition(b"\r\n\r\n")
+    size = len(ROWS[4][2].encode())
+    assert payload == ROWS[4][2].encode() + b"\r\n\r\n" and f"Content-Length: {len(http) + 4 + size}".encode() in head and f"Content-Length: {size}".encode() in http
+    assert records[1][0].endswith(b"\r\nContent-Length: 8\r\n\r\n\r\n\r\n") and b"WARC-Refers-To: <urn:page:2>" in records[1][0]
     assert b"WARC-Target-URI" not in records[3][0] and records[4][0].count(b"\r\nWARC-Type: ") == 1
 
 
+def plain_reader(raw):
+    """Records of a WARC file by the lengths that they state: (fields, block)."""
+    out, at = [], 0
+    while at < len(raw):
+        end = raw.index(b"\r\n\r\n", at)
+        version, *lines = raw[at:end].decode().split("\r\n")
+        assert version == "WARC/1.1"
+        fields = dict(x.split(": ", 1) for x in lines)
+        stop = end + 4 + int(fields["Content-Length"])
+        out.append((fields, raw[end + 4 : stop]))
+        assert raw[stop : stop + 4] == b"\r\n\r\n"
+        at = stop + 4
+    return out
+
+
+def test_files_are_read_by_a_plain_reader(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string").repartition(3)
+    w.archive(pages, str(tmp_path / "a"))
+    w.write_warc(spark, str(tmp_path / "a"), str(tmp_path / "warc"))
+    found = [x for f in sorted((tmp_path / "warc").glob("part-*")) for x in plain_reader(f.read_bytes())]
+    payloads = {f["WARC-Record-ID"]: b.split(b"\r\n\r\n", 1)[1] for f, b in found if f["WARC-Type"] == "response"}
+    seen = []
+    for fields, block in found:
+        assert fields["Content-Type"] == "application/http; msgtype=response" and block.startswith(b"HTTP/1.1 200 OK\r\n")
+        payload = payloads[fields.get("WARC-Refers-To", fields["WARC-Record-ID"])]
+        assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        assert f"Content-Length: {len(payload)}\r\n".encode() in block
+        seen.append((fields["WARC-Record-ID"], payload))
+    name = lambda p: f"<urn:page:{'none' if p is None else p}>"
+    assert sorted(x for x, _ in seen) == sorted(name(p) for p, _, _ in ROWS)
+    assert all((name(p), (h or "").encode()) in seen for p, _, h in ROWS if p is not None)
+
+
+def test_a_cut_record_is_noticed(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string")
+    w.archive(pages, str(tmp_path / "a"))
+    cut = w.records(spark, str(tmp_path / "a")).selectExpr("page_id", "substring(record, 1, octet_length(record) - 1) as record")
+    with pytest.raises(Exception, match="does not match"):
+        w.parsed(cut).collect()
+
+
 def test_minimum_size(spark):
     pages = spark.createDataFrame([(1, "u", "ab"), (2, "u", "ab"), (3, "u", "abcdef"), (4, "u", "abcdef")], "page_id long, url string, html string")
     found = {r["page_id"]: r["record_type"] for r in w.warc(pages, min_bytes=3).collect()}

@@ -2,21 +2,26 @@
 
 ``archive`` writes two tables in place of one file of records: *payloads* holds
 the bytes of every distinct payload once, under their SHA-256; *headers* holds
-the exact header block of every record with the SHA-256 of its payload.
-``records`` rebuilds the WARC records byte for byte by joining the two;
-``read_back`` verifies the stored bytes against both digests and reads the
-records' fields back out of the headers.
+the exact header of every record, its WARC lines and those of the HTTP message in
+its block, with the SHA-256 of its payload.  ``records`` rebuilds the WARC records
+byte for byte by joining the two, ``read_back`` parses the rebuilt records and
+verifies their lengths and digests, and ``write_warc`` writes them as WARC files.
 
 Of records with equal payloads of at least ``min_bytes`` bytes, the one with the
-largest page id is the response and the others are revisits of it.
+largest page id is the response and the others are revisits of it.  A revisit's
+block is the HTTP header alone, whose Content-Length is that of the payload.
 
 Payloads are grouped by digest with a map-side combine, so copies in one task
 travel once and a payload that a third of the pages share makes no hot task.
-
-Defined results: a null html is the empty payload; rows that repeat the largest
-page id with the same payload are all responses; where every page id of a group
-is null, all are responses; line breaks in a url are percent-encoded in the
-header; a null url gives no WARC-Target-URI; other columns play no role.
+Only responses are joined with payload bytes, revisits with the stored digests,
+so a hot payload is moved once.
+
+Defined results: a null html is the empty payload; very long ones are stored
+whole; rows that repeat the largest page id with the same payload are all
+responses; where every page id of a group is null, all are responses; line breaks
+in a url are percent-encoded in the header; a null url gives no WARC-Target-URI;
+repeated rows give repeated records; an empty table gives an empty archive; other
+columns play no role.
 """
 
 from __future__ import annotations
@@ -44,8 +49,10 @@ def record_id(page: Column) -> Column:
 
 
 def header(page: Column, url: Column, kind: Column, target: Column, sha1: Column, n_bytes: Column, date: str) -> Column:
-    """The exact header block of a record, its closing empty line included."""
+    """The exact header of a record, up to its payload: its own lines, and those of the HTTP message in its block."""
     safe = F.regexp_replace(F.regexp_replace(url, "\r", "%0D"), "\n", "%0A")
+    http = F.concat(F.lit(_EOL.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "])), n_bytes.cast("string"), F.lit(_EOL * 2))
+    block = F.octet_length(http) + F.when(kind == "revisit", F.lit(0).cast("long")).otherwise(n_bytes)
     lines = [
         F.lit("WARC/1.1"),
         F.concat(F.lit("WARC-Type: "), kind),
@@ -55,10 +62,10 @@ def header(page: Column, url: Column, kind: Column, target: Column, sha1: Column
         F.concat(F.lit("WARC-Payload-Digest: sha1:"), sha1),
         F.when(kind == "revisit", F.concat(F.lit("WARC-Refers-To: "), record_id(target))),
         F.when(kind == "revisit", F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        F.lit("Content-Type: text/html; charset=utf-8"),
-        F.concat(F.lit("Content-Length: "), F.when(kind == "revisit", F.lit(0)).otherwise(n_bytes).cast("string")),
+        F.lit("Content-Type: application/http; msgtype=response"),
+        F.concat(F.lit("Content-Length: "), block.cast("string")),
     ]
-    return F.concat(F.concat_ws(_EOL, *lines), F.lit(_EOL + _EOL))
+    return F.concat(F.concat_ws(_EOL, *lines), F.lit(_EOL * 2), http)
 
 
 def archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
@@ -76,35 +83,63 @@ def archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "u
     joined.withColumn("kind", kind).select("page", "sha256", block.alias("header")).write.option("compression", "zstd").parquet(f"{path}/headers")
 
 
-def _field(name: str) -> Column:
-    return F.nullif(F.regexp_extract("header", rf"(?:^|\r\n){name}: ([^\r\n]*)\r\n", 1), F.lit(""))
+def _field(part: str, name: str) -> Column:
+    return F.nullif(F.regexp_extract(part, rf"(?:^|\r\n){name}: ([^\r\n]*)(?:\r\n|\z)", 1), F.lit(""))
 
 
-def read_back(spark: SparkSession, path: str) -> DataFrame:
-    """The fields of every record, its payload verified: page_id, payload_bytes, payload_digest, record_type, refers_to.
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """Every record as the bytes that a WARC file has, rebuilt from the two tables: (page_id, record).
 
-    Stored bytes that do not have their SHA-256, or whose SHA-1 is not the one
-    that the header states, fail the query.
+    Stored bytes that do not have their SHA-256, or a header whose payload
+    is not stored or has another SHA-1, fail the query.
+    """
+    stored = spark.read.parquet(f"{path}/payloads").withColumn("actual", F.when(F.unhex(F.sha2("payload", 256)) == F.col("sha256"), base32_sha1(F.col("payload"))))
+    heads = spark.read.parquet(f"{path}/headers")
+    revisit = F.startswith("header", F.lit(f"WARC/1.1{_EOL}WARC-Type: revisit{_EOL}"))
+    digests = staged(stored.select("sha256", "actual"), "warc-digests")
+    responses = heads.where(~revisit).join(stored, "sha256", "left")
+    revisits = heads.where(revisit).join(digests, "sha256", "left").withColumn("payload", F.encode(F.lit(""), "utf-8"))
+    names = ["page", "header", "payload", "actual", "sha256"]
+    digest = F.regexp_replace(_field("header", "WARC-Payload-Digest"), "^sha1:", "")
+    whole = F.concat(F.encode("header", "utf-8"), F.col("payload"), F.encode(F.lit(_EOL * 2), "utf-8"))
+    sound = F.when(F.col("actual") == digest, whole).otherwise(F.raise_error(F.concat(F.lit("payload does not match its digest: "), F.hex("sha256"))))
+    return responses.select(names).unionByName(revisits.select(names)).select(F.col("page").alias("page_id"), sound.alias("record"))
+
+
+def parsed(found: DataFrame) -> DataFrame:
+    """The fields of WARC records (page_id, record): page_id, payload_bytes, payload_digest, record_type, refers_to.
+
+    A record whose block is not as long as it says, or whose payload has not the
+    stated length and digest, fails the query.
     """
-    stored = spark.read.parquet(f"{path}/payloads").select("sha256", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("actual"), (F.unhex(F.sha2("payload", 256)) == F.col("sha256")).alias("sound"))
-    heads = spark.read.parquet(f"{path}/headers").select(F.col("page").alias("page_id"), "sha256", "header")
-    digest = F.regexp_replace(_field("WARC-Payload-Digest"), "^sha1:", "")
-    checked = F.when(F.col("sound") & (F.col("actual") == digest), digest).otherwise(F.raise_error(F.concat(F.lit("payload does not match its digest: "), F.hex("sha256"))))
-    refers = F.regexp_extract(_field("WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>$", 1)
-    return heads.join(stored, "sha256", "left").select("page_id", "payload_bytes", checked.alias("payload_digest"), _field("WARC-Type").alias("record_type"), F.nullif(refers, F.lit("")).cast("long").alias("refers_to"))
+    text = found.select("page_id", F.decode("record", "utf-8").alias("text"))
+    own = text.withColumn("head", F.substring_index("text", _EOL * 2, 1))
+    block = F.expr("substring(text, length(head) + 5, length(text) - length(head) - 8)")  # between the empty line and the two line ends
+    own = own.withColumn("block", block).drop("text").withColumn("http", F.substring_index("block", _EOL * 2, 1))
+    own = own.withColumn("payload", F.expr("substring(block, length(http) + 5)"))
+    kind, stated = _field("head", "WARC-Type"), _field("http", "Content-Length").cast("long")
+    digest = F.regexp_replace(_field("head", "WARC-Payload-Digest"), "^sha1:", "")
+    whole = F.octet_length("block") == _field("head", "Content-Length").cast("long")
+    same = (kind == "revisit") & (F.col("payload") == "") | (F.octet_length("payload") == stated) & (base32_sha1(F.col("payload")) == digest)
+    checked = F.when(whole & same, digest).otherwise(F.raise_error(F.concat(F.lit("a record does not match its header: "), "head")))
+    refers = F.regexp_extract(_field("head", "WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>$", 1)
+    return own.select("page_id", stated.alias("payload_bytes"), checked.alias("payload_digest"), kind.alias("record_type"), F.nullif(refers, F.lit("")).cast("long").alias("refers_to"))
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """Every record as the bytes that a WARC file has: (page_id, record)."""
-    stored = spark.read.parquet(f"{path}/payloads")
-    heads = spark.read.parquet(f"{path}/headers")
-    body = F.when(_field("WARC-Type") == "revisit", F.encode(F.lit(""), "utf-8")).otherwise(F.col("payload"))
-    end = F.encode(F.lit(_EOL + _EOL), "utf-8")
-    return heads.join(stored, "sha256", "left").select(F.col("page").alias("page_id"), F.concat(F.encode("header", "utf-8"), body, end).alias("record"))
+def read_back(spark: SparkSession, path: str) -> DataFrame:
+    """The fields of every rebuilt record."""
+    return parsed(records(spark, path))
+
+
+def write_warc(spark: SparkSession, path: str, target: str, compression: str = "none") -> None:
+    """Write the rebuilt records as WARC files, one a task; a record ends in the two line ends that separate lines here."""
+    text = F.decode("record", "utf-8")
+    rows = records(spark, path).select(text.alias("text")).select(F.expr("substring(text, 1, length(text) - 4)").alias("record"))
+    rows.write.option("lineSep", _EOL * 2).option("compression", compression).text(target)
 
 
 def warc(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Archive ``pages`` and read the archive back: one row per page."""
+    """Archive ``pages``, rebuild the records and read them: one row per page."""
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/tidemark/warc-{uuid.uuid4().hex}"
     archive(pages, path, **options)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import quality_rules as q
 
+duckdb = pytest.importorskip("duckdb")
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -91,3 +93,35 @@ def test_risk_bounds_what_is_lost(spark):
 def test_native_plan(odd, labels_of):
     plan = q.quality_rules(odd, labels_of([]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_certified_cutoffs_against_sql(spark, words, tmp_path):
+    """Two languages with enough labels for some rules, one with too few, and one null."""
+    rng, rows, marks = random.Random(11), [], []
+    for k in range(6000):
+        lang = rng.choice(["en", "en", "de", "de", "fr", None]) if k % 50 == 0 else rng.choice(["en", "de"])
+        bad = rng.random() < 0.3
+        own = words(rng.randint(22, 40))
+        act = rng.choice(["symbols", "capitals", "lines", "long", "plain"]) if bad else "capitals" if rng.random() < 0.002 else "plain"
+        if act == "symbols":
+            own = [w + rng.choice(["#", "$$", ""]) for w in own]
+        elif act == "capitals":
+            own = [w.upper() for w in own]
+        elif act == "long":
+            own = [w * 4 for w in own]
+        text = " ".join(own) if act != "lines" else "\n".join(own + own[:6])
+        rows.append((k, text, lang, "s", len(text)))
+        marks.append((k, 0 if bad else 1, 0))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, labels = (spark.read.parquet(str(tmp_path / f"{t}.parquet")) for t in ("documents", "labels"))
+    counted = q.with_counts(docs.selectExpr("doc_id", "coalesce(lang, '') as stratum", "text")).drop("text")
+    cuts = {r["stratum"]: r for r in q.cutoffs(counted, labels).collect()}
+    assert sum(cuts[s][f"cut_{rule}"] is not None for s in ("en", "de") for rule in q.RULES) >= 6
+    assert all(cuts[s][f"cut_{rule}"] is None for s in ("fr", "") for rule in q.RULES)
+    connection = duckdb.connect()  # the shared one has views of these names
+    connection.execute(f"create or replace temp view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    connection.execute(f"create or replace temp view labels as select * from '{tmp_path}/labels.parquet/*.parquet'")
+    expected = sorted(map(str, connection.execute(q.oracle()).fetchall()))
+    found = [tuple(r) for r in q.quality_rules(docs, labels).collect()]
+    assert sorted(map(str, found)) == expected and 500 < sum(not r[7] and not r[6] for r in found)

@@ -22,10 +22,13 @@ map-side combined aggregate per stratum, so a stratum with most rows is no hot
 task.  The cutoffs are broadcast when there are at most ``BROADCAST_STRATA``
 strata, else joined by shuffle.
 
-Defined results: a null text has no words (all counts 0, base_failed); a null
-language is a stratum of its own; a doc_id labelled several times counts as its
-lowest quality; labels without a quality or document are not used; empty tables
-give empty results or rules that are off; other columns play no role.
+Defined results: a null or empty text has no words (all counts 0, base_failed);
+very long texts are counted whole; a null language counts as the empty one; a
+doc_id labelled several times counts as its lowest quality; labels without a
+quality or document are not used; repeated rows give repeated results and count
+as often among the labelled documents; of equal net gains the most lenient cutoff
+is used; empty tables give empty results or rules that are off; other columns
+play no role.
 """
 
 from __future__ import annotations
@@ -71,8 +74,17 @@ def _repeat_words(words: Column) -> Column:
 
         return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0)).otherwise(_let(ranked, repeated))
 
-    windows = F.transform(F.sequence(F.lit(1), F.size(words) - (WINDOW - 1)), lambda k: F.xxhash64(F.slice(words, k, WINDOW)))
-    return F.when(F.size(words) <= WINDOW, F.lit(0)).otherwise(_let(windows, covered))
+    distinct = F.size(F.array_distinct(words)) == F.size(words)  # then no window repeats
+    return F.when((F.size(words) <= WINDOW) | distinct, F.lit(0)).otherwise(_let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: _windows(h, 1, covered)))
+
+
+def _windows(hashes: Column, width: int, body) -> Column:
+    """``body`` of the hashes of all windows of ``WINDOW`` (a power of two) words, from those of ``width`` words; each doubles by one step."""
+    if width == WINDOW:
+        return body(hashes)
+    n = F.size(hashes) - width
+    doubled = F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(1 + width), n), lambda a, b: F.xxhash64(a, b))
+    return _let(doubled, lambda x: _windows(x, 2 * width, body))
 
 
 def with_counts(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:

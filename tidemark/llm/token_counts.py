@@ -32,7 +32,9 @@ is no SQL for them.
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +48,17 @@ _CACHE = "content binary, tokenizer binary, n_tokens long"
 
 
 def load(path: str):
-    """(encode, normalise, digest) for a tokenizer file.
+    """(encode, normalise, digest) for a tokenizer file, which a worker loads once.
 
     ``encode`` takes a list of texts and gives their token counts; ``normalise``
     gives the bytes on which the count of a text depends.
     """
+    state = os.stat(path)
+    return _loaded(path, state.st_mtime_ns, state.st_size)
+
+
+@lru_cache(maxsize=2)
+def _loaded(path: str, *state: int):
     with open(path, "rb") as f:
         data = f.read()
     if path.endswith(".model"):

@@ -133,3 +133,27 @@ def test_stream_equals_batch(spark, tmp_path):
     run(batch, message(2, at="2024-01-02T00:00:00Z", text="b"), message(1, text="a"))
     run(batch, message(3, at="2024-01-03T00:00:00Z", text="c"), message(2, at="2024-01-02T00:00:00Z", text="b2"))
     assert stored(batch) == stored(store) and state(batch) == state(store)
+
+
+def test_a_batch_writes_only_its_members_buckets(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    run(store, *(message(k, member=k) for k in range(1, 30)))
+    first = store.current()
+    out = run(store, message(100, member=3, at="2024-02-01T00:00:00Z"))
+    assert out.version != first and (out.inserted, out.updated) == (1, 0)
+    written = [p for p in (tmp_path / out.version / "messages").glob("group=*/bucket=*") if p.is_dir()]
+    assert len(written) == 1 and len(stored(store)) == 30
+    assert {k: v[2] for k, v in state(store).items()} == {k: 2 if k == 3 else 1 for k in range(1, 30)}
+    place = f"group=1/{written[0].name}"
+    folders = store._manifest()
+    assert folders[place].startswith(out.version) and all(f.startswith(first) for name, f in folders.items() if name != place)
+    assert (tmp_path / first / "messages" / place).is_dir()
+    assert store.prune() == 0 and not (tmp_path / first / "messages" / place).exists() and len(stored(store)) == 30
+
+
+def test_members_of_other_buckets_keep_their_state(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    run(store, message(1), message(2, member=2))
+    before = state(store)
+    run(store)
+    assert state(store) == before and stored(store) == [(1, 1, "hello"), (2, 2, "hello")]

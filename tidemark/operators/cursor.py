@@ -28,13 +28,11 @@ def after_cursor(messages: DataFrame, state: DataFrame, keys: list[str] | None =
 
 def after_id(messages: DataFrame, since_id: int, ts: str = "published_at") -> DataFrame:
     """If ``since_id`` is among the rows, those from its instant on (itself included), else those of greater id."""
-    found = messages.where(F.col("id") == since_id).agg(F.max(ts).alias("cursor"), F.count("*").alias("n")).first()
-    if found["n"] and found["cursor"] is not None:
-        return messages.where(F.col(ts) >= F.lit(found["cursor"]))
-    return messages.where(F.col("id") > since_id)
+    cursor = messages.where(F.col("id") == since_id).agg(F.max(ts)).scalar()  # a subquery: no job runs while the plan is built
+    return messages.where(F.when(cursor.isNotNull(), F.col(ts) >= cursor).otherwise(F.col("id") > since_id))
 
 
-def take_while(df: DataFrame, keys: list[str], order: list[str], stop: Column) -> DataFrame:
+def take_while(df: DataFrame, keys: list[str], order: list, stop: Column) -> DataFrame:
     """The rows of each key before the first, in order, for which ``stop`` holds (null does not stop).
 
     The stopping position is an aggregate and is joined back, so no key's rows

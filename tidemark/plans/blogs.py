@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators.cursor import older_than, take_while
 from tidemark.operators.joins import list_to_detail
+from tidemark.operators.order import reading_order
 from tidemark.sources import html, jsonp
 from tidemark.sources.html import Site
 
@@ -18,7 +19,7 @@ def _until(posts: DataFrame, since: datetime.datetime | None) -> DataFrame:
     if since is None:
         return posts
     stop = older_than(F.col("published_at"), F.lit(since), S.date_only("date_text"))
-    return take_while(posts.withColumn("__all", F.lit(0)), ["__all"], ["page", "pos"], stop).drop("__all")
+    return take_while(posts.withColumn("__all", F.lit(0)), ["__all"], reading_order(), stop).drop("__all")
 
 
 def metadata(lists: DataFrame, where: Site, since: datetime.datetime | None = None, author: str | None = None, max_pages: int | None = None) -> DataFrame:

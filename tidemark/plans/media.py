@@ -19,6 +19,6 @@ def outstanding(messages: DataFrame, spark: SparkSession, root: str, member_dir:
 def measured(messages: DataFrame, spark: SparkSession, root: str, member_dir: Column) -> DataFrame:
     """``messages`` with the sizes that the files' headers state."""
     found = media.probe(spark, root).withColumn("path", F.regexp_replace("path", r"^.*?/(messages/.*)$", "$1"))
-    keyed = media_queue(messages, found.limit(0), member_dir).select("group_id", "member_id", "id", "path")
+    keyed = media_queue(messages, found.limit(0), member_dir).select("group_id", "member_id", "id", "path")  # the files' own kinds say what they have
     sizes = keyed.join(found, "path").select("group_id", "member_id", "id", "width", "height", "media_duration", "is_muted")
     return merge_metadata(messages, sizes, ["group_id", "member_id", "id"], ["width", "height", "media_duration", "is_muted"])

@@ -11,6 +11,9 @@ merged with what is stored, written, counted, and only then the new cursors.
   whole, so the next fetch is a full one.
 - A replaced row keeps its known media measures.
 - The result counts inserted and updated rows apart.
+
+A run reads and writes only the store's buckets that its batch touches: those of
+the members that it has rows of, or that are said to be corrupt.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from tidemark.functions import scalars as S
 from tidemark.operators.cursor import KEYS, after_cursor, clamp, earliest_failed, instant, lost_rows
 from tidemark.operators.dedup import last_wins, upsert
 from tidemark.operators.filters import normalize, not_empty, split_rejects
-from tidemark.sinks.store import Store
+from tidemark.operators.order import reading_order
+from tidemark.sinks.store import Store, bucket
 from tidemark.sources import schemas
 
 MEDIA = tuple(f.name for f in schemas.MEDIA.fields)
@@ -43,20 +47,29 @@ def _keys(store: Store, rows: DataFrame | None) -> DataFrame:
     return rows.select(*KEYS).distinct() if rows is not None else store.spark.createDataFrame([], "group_id long, member_id long")
 
 
-def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(merged messages, rejects, keys that need a full fetch) for ``landed`` raw messages with group_id, page and pos."""
-    stored, state = store.messages(), store.state()
+def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None, touched: set[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged messages, rejects, keys that need a full fetch) for ``landed`` raw messages with group_id, page and pos, over the buckets ``touched``."""
+    stored, state = store.messages(touched), _within(store.state(), touched)
     refetch = lost_rows(state, stored).where("needs_full_refetch").select(*KEYS).unionByName(_keys(store, corrupt)).distinct()
     trusted = state.join(refetch, KEYS, "left_anti")
     fresh = after_cursor(landed, trusted)
     good, rejects = split_rejects(normalize(fresh))
     kept = good.where(not_empty(F.col("type"), F.col("content"), F.col("media_url")))
-    unique = last_wins(kept, ["group_id", "member_id", "id"], ["page", "pos"]).drop("page", "pos")
+    unique = last_wins(kept, ["group_id", "member_id", "id"], reading_order()).drop("page", "pos")
     sized = unique.withColumn("media_file", F.when(F.col("media_url").isNotNull(), S.media_path(F.lit(""), "raw_type", "id", S.media_extension("media_url", "raw_type"))))
     new = sized.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schemas.MEDIA.fields if f.name != "media_file"})
     return upsert(stored, new, ["group_id", "member_id", "id"], keep=MEDIA), rejects, refetch
 
 
+def _within(rows: DataFrame, touched: set[str] | None, inside: bool = True) -> DataFrame:
+    """Rows of members in the buckets, or those of all others."""
+    if touched is None:
+        return rows if inside else rows.limit(0)
+    name = F.concat(F.lit("group="), F.col("group_id").cast("string"), F.lit("/bucket="), bucket().cast("string"))
+    names = rows.sparkSession.createDataFrame([(x,) for x in sorted(touched)], "name string")
+    return rows.join(F.broadcast(names), name == F.col("name"), "left_semi" if inside else "left_anti")
+
+
 def new_state(messages: DataFrame, rejects: DataFrame, now: Column) -> DataFrame:
     """Greatest id, newest instant clamped to the earliest reject, and count of every key."""
     report = messages.groupBy(*KEYS).agg(F.coalesce(F.max("id"), F.lit(0)).alias("last_message_id"), F.max(instant(F.col("timestamp"))).alias("newest"), F.count("*").alias("total_messages"))
@@ -67,16 +80,19 @@ def new_state(messages: DataFrame, rejects: DataFrame, now: Column) -> DataFrame
 
 def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None) -> Outcome:
     """One run over ``landed``; the store's version changes only if everything was written."""
-    before = store.messages()
-    merged, rejects, refetch = plan(store, landed, corrupt)
+    named = landed.select(*KEYS).unionByName(_keys(store, corrupt))
+    touched = store.touched(named)
+    before = store.messages(touched)
+    merged, rejects, refetch = plan(store, landed, corrupt, touched)
     version = store.stage(merged)
     written = store.staged(version)
     held = _keys(store, incomplete)
     state = new_state(written, rejects, now if now is not None else F.current_timestamp()).join(refetch, KEYS, "left_anti").join(held, KEYS, "left_anti")
-    old = store.state().join(held, KEYS, "left_semi").join(refetch, KEYS, "left_anti")
+    known = store.state()
+    old = _within(known, touched).join(held, KEYS, "left_semi").join(refetch, KEYS, "left_anti").unionByName(_within(known, touched, False))
     identity = ["group_id", "member_id", "id"]
     inserted = written.join(before.select(*identity), identity, "left_anti").count()
     landed_ids = landed.where("id is not null").select(*identity).distinct()
     updated = landed_ids.join(before.select(*identity), identity, "left_semi").count()
-    store.commit(version, state.unionByName(old))
+    store.commit(version, state.unionByName(old), touched)
     return Outcome(version, inserted, updated, rejects, refetch)

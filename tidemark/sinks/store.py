@@ -1,22 +1,34 @@
 """A versioned store of messages and sync state.
 
-A commit writes ``v=<version>/messages``, then ``v=<version>/state``, and last
-moves a pointer file over the old one by an atomic rename.  A reader follows the
-pointer, so it sees a version whole or not at all: state never runs ahead of
-data, and a run that fails leaves the old version current.  Versions that no
-pointer names are leftovers; ``prune`` removes them.
+Messages lie in buckets by group and hash of the member.  A commit writes only
+the buckets of its batch, ``v=<version>/messages/group=<g>/bucket=<b>``, then
+``v=<version>/state``, then a manifest that names the folder of every bucket,
+those of older versions included, and last moves a pointer file over the old one
+by an atomic rename.  A reader follows the pointer, so it sees a version whole or
+not at all: state never runs ahead of data, and a run that fails leaves the old
+version current.  Folders that the current manifest does not name are leftovers;
+``prune`` removes them.
+
+The number of buckets a group is fixed (``BUCKETS``), so the manifest grows with
+the groups, not with members or messages.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.sources import schemas
 
-RETRIES, PAUSE_S = 5, 0.05
+RETRIES, PAUSE_S, BUCKETS = 5, 0.05, 64
+
+
+def bucket(member_id: str = "member_id") -> Column:
+    return F.pmod(F.xxhash64(member_id), F.lit(BUCKETS)).cast("int")
 
 
 class Store:
@@ -61,40 +73,74 @@ class Store:
             if self._fs.exists(self._path(partial)):
                 self._fs.delete(self._path(partial), False)
 
-    def _table(self, name: str, schema) -> DataFrame:
+    def _manifest(self) -> dict[str, str]:
+        """The folder of every bucket, by ``group=<g>/bucket=<b>``."""
         version = self.current()
-        if version is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{version}/{name}")
+        return json.loads(self._read_text(f"{self.path}/{version}/MANIFEST") or "{}") if version is not None else {}
 
-    def messages(self) -> DataFrame:
-        return self._table("messages", schemas.STORED)
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], schemas.STORED)
+        return self.spark.read.schema(schemas.STORED).parquet(*sorted(f"{self.path}/{x}" for x in folders))
+
+    def messages(self, touched: set[str] | None = None) -> DataFrame:
+        """The stored messages, of the buckets ``touched`` where they are given."""
+        return self._read([folder for name, folder in self._manifest().items() if touched is None or name in touched])
 
     def state(self) -> DataFrame:
-        return self._table("state", schemas.STATE)
+        version = self.current()
+        if version is None:
+            return self.spark.createDataFrame([], schemas.STATE)
+        return self.spark.read.schema(schemas.STATE).parquet(f"{self.path}/{version}/state")
+
+    def touched(self, keys: DataFrame) -> set[str]:
+        """The buckets of (group_id, member_id); at most ``BUCKETS`` a group."""
+        rows = keys.where("group_id is not null").select("group_id", bucket().alias("bucket")).distinct().collect()
+        return {f"group={r['group_id']}/bucket={r['bucket']}" for r in rows}
 
     def stage(self, messages: DataFrame) -> str:
-        """Write the data of a new version; nothing reads it before ``commit``."""
+        """Write the buckets of a new version; nothing reads them before ``commit``."""
         version = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        fields = [f.name for f in schemas.STORED.fields]
-        messages.select(fields).write.partitionBy("group_id").parquet(f"{self.path}/{version}/messages")
+        rows = messages.select([f.name for f in schemas.STORED.fields]).where("group_id is not null")
+        placed = rows.withColumns({"group": F.col("group_id"), "bucket": bucket()})
+        placed.write.partitionBy("group", "bucket").parquet(f"{self.path}/{version}/messages")
         return version
 
+    def _buckets(self, version: str) -> dict[str, str]:
+        found, root = {}, self._path(f"{self.path}/{version}/messages")
+        for group in self._fs.listStatus(root) if self._fs.exists(root) else ():
+            if group.isDirectory():
+                for part in self._fs.listStatus(group.getPath()):
+                    name = f"{group.getPath().getName()}/{part.getPath().getName()}"
+                    found[name] = f"{version}/messages/{name}"
+        return found
+
     def staged(self, version: str) -> DataFrame:
-        return self.spark.read.schema(schemas.STORED).parquet(f"{self.path}/{version}/messages")
+        return self._read(list(self._buckets(version).values()))
+
+    def commit(self, version: str, state: DataFrame, touched: set[str] | None = None) -> None:
+        """K3: the state after its data, the manifest after both, and the pointer last.
 
-    def commit(self, version: str, state: DataFrame) -> None:
-        """K3: the state after its data, and the pointer after both."""
+        Buckets ``touched`` are replaced, all others stay; without ``touched`` the
+        version replaces the whole store.
+        """
         state.select([f.name for f in schemas.STATE.fields]).write.parquet(f"{self.path}/{version}/state")
-        if not self._replace(f"{self.path}/CURRENT", version):
+        kept = {} if touched is None else {name: folder for name, folder in self._manifest().items() if name not in touched}
+        if not self._replace(f"{self.path}/{version}/MANIFEST", json.dumps(kept | self._buckets(version))) or not self._replace(f"{self.path}/CURRENT", version):
             raise OSError(f"could not move the pointer of {self.path}")
 
     def prune(self) -> int:
-        """Remove versions that are not current; the number removed."""
-        keep, gone = self.current(), 0
+        """Remove what the current manifest does not name; the number of versions of which nothing is left."""
+        current, gone = self.current(), 0
+        named = set(self._manifest().values())
         for status in self._fs.listStatus(self._path(self.path)):
-            name = status.getPath().getName()
-            if name.startswith("v=") and name != keep:
+            version = status.getPath().getName()
+            if not version.startswith("v=") or version == current:
+                continue
+            if not any(x.startswith(f"{version}/") for x in named):
                 self._fs.delete(status.getPath(), True)
                 gone += 1
+                continue
+            for folder in set(self._buckets(version).values()) - named:
+                self._fs.delete(self._path(f"{self.path}/{folder}"), True)
         return gone

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as S
 from tidemark.operators.dedup import first_wins, ordered_union
 from tidemark.operators.filters import filled, no_group_account, route, same_author
+from tidemark.operators.order import natural, reading_order
 from tidemark.sources import jsonp
 from tidemark.sources.markup import Element, parse
 
@@ -172,9 +173,9 @@ def site(name: str, base: str) -> Site:
 def members(rows: DataFrame, where: Site) -> DataFrame:
     """(id, name) of members, first wins after validation."""
     if where.name == "B":
-        return first_wins(jsonp.members(rows.withColumnRenamed("html", "value"), where.base).select("id", "name", "page", "pos"), ["id"], ["page", "pos"])
+        return first_wins(jsonp.members(rows.withColumnRenamed("html", "value"), where.base).select("id", "name", "page", "pos"), ["id"], reading_order())
     found = extract(rows, where.members).select("id", F.col("member_name").alias("name"), "page", "pos")
-    return first_wins(found.where(filled(F.col("name")) & no_group_account(F.col("name"), where.accounts)), ["id"], ["page", "pos"])
+    return first_wins(found.where(filled(F.col("name")) & no_group_account(F.col("name"), where.accounts)), ["id"], reading_order())
 
 
 def member_images(rows: DataFrame, where: Site, diary: DataFrame | None = None) -> DataFrame:
@@ -185,7 +186,7 @@ def member_images(rows: DataFrame, where: Site, diary: DataFrame | None = None)
     """
     if where.name == "B":
         found = jsonp.members(rows.withColumnRenamed("html", "value"), where.base)
-        return first_wins(found, ["id"], ["page", "pos"])
+        return first_wins(found, ["id"], reading_order())
 
     def valid(found: DataFrame) -> DataFrame:
         named = found.select("id", F.col("member_name").alias("name"), S.normalize_url(F.get("images", F.lit(0)), where.base).alias("thumbnail_url"), "page", "pos")
@@ -193,8 +194,8 @@ def member_images(rows: DataFrame, where: Site, diary: DataFrame | None = None)
 
     first = valid(extract(rows, a_artists if where.name == "A" else c_members))
     if diary is None:
-        return first_wins(first, ["id"], ["page", "pos"])
-    return ordered_union(first, valid(extract(diary, a_diary_members)), ["id"], ["page", "pos"])
+        return first_wins(first, ["id"], reading_order())
+    return ordered_union(first, valid(extract(diary, a_diary_members)), ["id"], reading_order())
 
 
 def _shaped(found: DataFrame, where: Site) -> DataFrame:
@@ -213,7 +214,7 @@ def _shaped(found: DataFrame, where: Site) -> DataFrame:
 def blog_list(rows: DataFrame, where: Site, author: str | None = None, max_pages: int | None = None) -> DataFrame:
     """Posts of list pages, first wins; site C's featured posts of other authors are dropped before."""
     if max_pages is not None:
-        first = rows.select("page").distinct().orderBy("page").limit(max_pages)
+        first = rows.select("page").distinct().orderBy(natural(), "page").limit(max_pages)
         rows = rows.join(first, "page", "left_semi")
     if where.name == "B":
         return jsonp.blogs(rows.withColumnRenamed("html", "value"), where.base, content=False)
@@ -221,7 +222,7 @@ def blog_list(rows: DataFrame, where: Site, author: str | None = None, max_pages
     if author is not None:
         found = found.where(same_author(F.col("member_name"), F.lit(author)))
     url = F.concat(F.lit(f"{where.base}/diary/detail/"), F.col("id"))
-    return first_wins(found.withColumn("url", url), ["id"], ["page", "pos"])
+    return first_wins(found.withColumn("url", url), ["id"], reading_order())
 
 
 def blog_details(rows: DataFrame, where: Site) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from tidemark.functions import scalars as S
 from tidemark.operators.dedup import first_wins, with_main_image
 from tidemark.operators.filters import active_member
+from tidemark.operators.order import reading_order
 from tidemark.sources import schemas
 
 
@@ -57,7 +58,7 @@ def blogs(rows: DataFrame, base: str, content: bool = True) -> DataFrame:
         "page",
         "pos",
     )
-    return first_wins(posts, ["id"], ["page", "pos"])
+    return first_wins(posts, ["id"], reading_order())
 
 
 def detail(rows: DataFrame, base: str, blog_id: str) -> DataFrame:

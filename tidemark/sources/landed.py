@@ -4,7 +4,8 @@ A response is one JSON file: an envelope whose key holds a list, a bare list, or
 one object.  Items are kept as their JSON text in ``raw`` beside the declared
 fields, so no field is lost and nothing is inferred.  Files that are no JSON, or
 lack the envelope, give no rows; ``corrupt`` lists the former.  Rows carry
-(page, pos): the file's rank by name stands for page order.
+(page, pos); pages are read in the order of the numbers in their names
+(``reading_order``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.dedup import last_wins
 from tidemark.operators.filters import group_visible
+from tidemark.operators.order import reading_order
 from tidemark.sources import schemas
 
 
@@ -54,7 +56,7 @@ def _parsed(rows: DataFrame, item: T.StructType) -> DataFrame:
 def timeline(spark: SparkSession, path: str) -> DataFrame:
     """All messages of a folder of page files, each id once, the page read last winning."""
     rows = items(spark, path, "messages", schemas.MESSAGE)
-    return last_wins(rows, ["id"], ["page", "pos"])
+    return last_wins(rows, ["id"], reading_order())
 
 
 def past_messages(spark: SparkSession, path: str) -> DataFrame:
@@ -81,12 +83,12 @@ def letters(spark: SparkSession, path: str, updated_from: str | None = None, cou
     rows = items(spark, path, "letters", schemas.EMPTY)
     if updated_from is not None:
         rows = rows.where(F.try_to_timestamp(_field("updated_at")) >= F.try_to_timestamp(F.lit(updated_from)))
-    return rows.orderBy("page", "pos").limit(count)
+    return rows.orderBy(*reading_order()).limit(count)
 
 
 def news(spark: SparkSession, path: str, count: int = 20) -> DataFrame:
     """S7."""
-    return items(spark, path, "announcements", schemas.EMPTY).orderBy("page", "pos").limit(count)
+    return items(spark, path, "announcements", schemas.EMPTY).orderBy(*reading_order()).limit(count)
 
 
 def tags(spark: SparkSession, path: str) -> DataFrame:

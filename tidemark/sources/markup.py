@@ -2,19 +2,27 @@
 
 Selectors know tag, class, attribute equality and containment, descendants and
 comma lists, which is what the extractors need.  The tree tolerates void tags,
-unclosed tags and stray end tags.
+unclosed tags and stray end tags, at any depth.  Text and attributes are decoded
+in the tree and escaped when an element is written, so what a post shows as text
+stays text.
 """
 
 from __future__ import annotations
 
+import collections
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_PLAIN = frozenset(("script", "style"))  # their text knows no references
 _SIMPLE = re.compile(r"\.([\w-]+)|\[([\w:-]+)(?:(\*?=)[\"']?([^\"'\]]*)[\"']?)?\]|([a-zA-Z][\w-]*)")
 
 
+class Comment(str):
+    """A comment; written again, but no text."""
+
+
 class Element:
     __slots__ = ("attrs", "children", "name", "parent")
 
@@ -35,7 +43,7 @@ class Element:
         while todo:
             x = todo.pop()
             if isinstance(x, str):
-                if x.strip():
+                if x.strip() and not isinstance(x, Comment):
                     yield x.strip()
             else:
                 todo.extend(reversed(x.children))
@@ -61,11 +69,50 @@ class Element:
         return next(self.select(selector), None)
 
     def inner_html(self) -> str:
-        return "".join(x if isinstance(x, str) else x.outer_html() for x in self.children)
+        out: list[str] = []
+        todo: list[Element | str | _End] = list(reversed(self.children))
+        parents = [self.name]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, _End):
+                out.append(f"</{parents.pop()}>")
+            elif isinstance(x, Comment):
+                out.append(f"<!--{x}-->")
+            elif isinstance(x, str):
+                out.append(x if parents[-1] in _PLAIN else _escaped(x))
+            elif x.name in VOID:
+                out.append(x.start("/"))
+            else:
+                out.append(x.start(""))
+                parents.append(x.name)
+                todo.append(_END)
+                todo.extend(reversed(x.children))
+        return "".join(out)
+
+    def start(self, end: str) -> str:
+        return f"<{self.name}{''.join(f' {k}={_quoted(v)}' for k, v in self.attrs.items())}{end}>"
 
     def outer_html(self) -> str:
-        attrs = "".join(f' {k}="{v}"' for k, v in self.attrs.items())
-        return f"<{self.name}{attrs}/>" if self.name in VOID else f"<{self.name}{attrs}>{self.inner_html()}</{self.name}>"
+        return self.start("/") if self.name in VOID else f"{self.start('')}{self.inner_html()}</{self.name}>"
+
+
+class _End:
+    """Ends the element that was opened last."""
+
+
+_END = _End()
+
+
+def _escaped(text: str) -> str:
+    return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+
+
+def _quoted(value: str) -> str:
+    """An attribute's value in quotes that it doesn't hold, in double ones if it holds both."""
+    value = _escaped(value)
+    if '"' in value and "'" not in value:
+        return f"'{value}'"
+    return '"' + value.replace('"', "&quot;") + '"'
 
 
 def _simple(text: str) -> list[tuple]:
@@ -100,28 +147,39 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Element("#root", {}, None)
+        self.open: collections.Counter = collections.Counter()
 
     def handle_starttag(self, tag, attrs):
-        x = Element(tag, {k: v or "" for k, v in reversed(attrs)}, self.at)
+        own: dict[str, str] = {}
+        for name, value in attrs:  # of one name the first counts
+            own.setdefault(name, value or "")
+        x = Element(tag, own, self.at)
         self.at.children.append(x)
         if tag not in VOID:
             self.at = x
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
+            self.open[tag] -= 1
             self.at = self.at.parent
 
     def handle_endtag(self, tag):
-        x = self.at
-        while x is not None and x.name != tag:
-            x = x.parent
-        if x is not None and x.parent is not None:
-            self.at = x.parent
+        if not self.open[tag]:
+            return  # nothing to end
+        while True:
+            x, self.at = self.at, self.at.parent
+            self.open[x.name] -= 1
+            if x.name == tag:
+                return
 
     def handle_data(self, data):
         self.at.children.append(data)
 
+    def handle_comment(self, data):
+        self.at.children.append(Comment(data))
+
 
 def parse(html: str) -> Element:
     builder = _Builder()

@@ -1,19 +1,25 @@
-"""Media files: listing, and size from the header.
+"""Media files: listing, and measures from the header.
 
-Images are read by their own headers (PNG, GIF, JPEG); nothing else is
-installed that reads video or audio, so their measures are null, as they are for
-files that can't be read.  Files without bytes are left out: they are not there yet.
+Images are read by their own headers (PNG, GIF, JPEG), video and audio by the
+boxes of their ISO container (MP4, M4V, M4A, MOV): picture size, duration, and
+whether a video lacks sound.  Of other kinds, and of files that can't be read,
+the measures are null.  Only files whose name ends in one of ``SUFFIXES`` are
+opened (the others are listed, with null measures), and of those only what their kind needs leaves the reader.  Files without
+bytes are left out: they are not there yet.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HEADER_BYTES = 1 << 16
+# The endings of files that hold pictures, video and audio.
+PICTURES, ISO = ("png", "gif", "jpg", "jpeg"), ("mp4", "m4v", "m4a", "mov")
+SUFFIXES = PICTURES + ISO
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
@@ -43,18 +49,88 @@ def image_size(head: bytes) -> tuple[int, int] | None:
     return None
 
 
+def boxes(data: memoryview) -> Iterator[tuple[bytes, memoryview]]:
+    """(type, payload) of the boxes of an ISO container, as far as they are whole."""
+    at = 0
+    while at + 8 <= len(data):
+        size, kind, head = struct.unpack(">I", data[at : at + 4])[0], bytes(data[at + 4 : at + 8]), 8
+        if size == 1 and at + 16 <= len(data):
+            size, head = struct.unpack(">Q", data[at + 8 : at + 16])[0], 16
+        end = len(data) if size == 0 else at + size
+        if size and size < head or end > len(data):
+            return
+        yield kind, data[at + head : end]
+        at = end
+
+
+def _box(data: memoryview | None, *path: bytes) -> memoryview | None:
+    for kind in path:
+        data = next((x for k, x in boxes(data) if k == kind), None) if data is not None else None
+    return data
+
+
+def iso_measures(content: bytes) -> tuple[int | None, int | None, float | None, bool | None]:
+    """(width, height, seconds, whether there is a picture but no sound) by the movie header and the tracks."""
+    movie = _box(memoryview(content), b"moov")
+    if movie is None:
+        return None, None, None, None
+    width = height = seconds = None
+    head = _box(movie, b"mvhd")
+    if head is not None and len(head) >= (32 if head[0] else 20):
+        scale, length = struct.unpack(">IQ", head[20:32]) if head[0] else struct.unpack(">II", head[12:20])
+        seconds = round(1000 * length / scale) / 1000 if scale and length else None
+    kinds = set()
+    for kind, track in boxes(movie):
+        if kind != b"trak":
+            continue
+        handler = _box(track, b"mdia", b"hdlr")
+        role = bytes(handler[8:12]) if handler is not None else b""
+        kinds.add(role)
+        if role == b"vide" and width is None:
+            entry = _box(track, b"mdia", b"minf", b"stbl", b"stsd")
+            if entry is not None and len(entry) >= 44:
+                width, height = struct.unpack(">HH", entry[40:44])
+            else:
+                shown = _box(track, b"tkhd")
+                width, height = (x >> 16 for x in struct.unpack(">II", shown[-8:])) if shown is not None and len(shown) >= 84 else (None, None)
+    return width, height, seconds, b"soun" not in kinds if b"vide" in kinds else None
+
+
+def measures(content: bytes) -> tuple[int | None, int | None, float | None, bool | None]:
+    try:
+        if content[4:8] == b"ftyp":
+            return iso_measures(content)
+        return *(image_size(content) or (None, None)), None, None
+    except struct.error:  # cut off in a header
+        return None, None, None, None
+
+
+def _files(spark: SparkSession, path: str, suffixes: tuple[str, ...]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{" + ",".join(x for s in suffixes for x in (s, s.upper())) + "}").load(path)
+
+
 def probe(spark: SparkSession, path: str, types: DataFrame | None = None) -> DataFrame:
-    """(path, width, height, media_duration, is_muted); with ``types`` (path, type) only pictures are returned."""
-    head = F.substring("content", 1, HEADER_BYTES)
-    jpeg = F.substring("content", 1, 2) == F.lit(b"\xff\xd8")  # its frame header may stand behind any number of segments
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.when(jpeg, F.col("content")).otherwise(head).alias("head"))
+    """(path, width, height, media_duration, is_muted).
+
+    With ``types`` (path, type) only their files are returned, and only what a
+    type has: pictures a size, videos all measures, voices a duration.
+    """
+    whole = (F.substring("content", 1, 2) == F.lit(b"\xff\xd8")) | (F.substring("content", 5, 4) == F.lit(b"ftyp"))  # their headers may stand anywhere
+    files = _files(spark, path, SUFFIXES).select("path", F.when(whole, F.col("content")).otherwise(F.substring("content", 1, 64)).alias("head"))
 
     def run(batches):
         for batch in batches:
-            sizes = [image_size(x or b"") or (None, None) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in sizes], pa.int32()), pa.array([h for _, h in sizes], pa.int32())], names=["path", "width", "height"])
+            found = [measures(x or b"") for x in batch.column(1).to_pylist()]
+            kinds = [pa.int32(), pa.int32(), pa.float64(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([x[k] for x in found], t) for k, t in enumerate(kinds))], names=["path", "width", "height", "media_duration", "is_muted"])
 
-    sized = files.mapInArrow(run, "path string, width int, height int")
-    if types is not None:  # behind the reading, so that no content is shuffled
-        sized = sized.join(types.where("type in ('picture', 'image')").select("path"), "path", "left_semi")
-    return sized.withColumn("media_duration", F.lit(None).cast("double")).withColumn("is_muted", F.lit(None).cast("boolean"))
+    schema = "path string, width int, height int, media_duration double, is_muted boolean"
+    other = listing(spark, path).where("length > 0").select("path").where(~F.lower("path").rlike(rf"\.(?:{'|'.join(SUFFIXES)})$"))
+    nothing = other.select("path", F.lit(None).cast("int").alias("width"), F.lit(None).cast("int").alias("height"), F.lit(None).cast("double").alias("media_duration"), F.lit(None).cast("boolean").alias("is_muted"))
+    sized = files.mapInArrow(run, schema).unionByName(nothing)
+    if types is None:
+        return sized
+    kind = F.when(F.col("type") == "image", "picture").otherwise(F.col("type"))
+    typed = sized.join(types.select("path", kind.alias("type")), "path")  # behind the reading, so that no content is shuffled
+    only = lambda c, *of: F.when(F.col("type").isin(*of), F.col(c)).alias(c)
+    return typed.select("path", only("width", "picture", "video"), only("height", "picture", "video"), only("media_duration", "video", "voice"), only("is_muted", "video"))

@@ -14,10 +14,12 @@ _fallback: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares (``spark.checkpoint.dir``); a temporary one where it is unset."""
+    """The folder that the cluster shares (``spark.checkpoint.dir``); where it is unset, a temporary one if all runs in one process, else an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = tempfile.mkdtemp(prefix="tidemark-")

@@ -6,7 +6,8 @@ import os
 
 import pytest
 
-from tidemark import queries
+from tidemark import landed_queries, queries  # noqa: F401
+from tidemark.operators import filters
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -54,5 +55,6 @@ def test_entry(spark, sf):
 def test_scans_read_only_what_they_need(spark, sf):
     plan = queries.message_type_counts(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in plan
-    plan = queries.member_slice(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    events = spark.read.parquet(f"{sf}/events.parquet").withColumnRenamed("user_id", "member_id")
+    plan = filters.of_member(events, 7)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(user_id,7)" in plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 # The counted types, in the order of the stored document.
@@ -26,6 +26,17 @@ def observed(messages: DataFrame, name: str, ok: Column | None = None) -> tuple[
     return messages.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(F.lit(True) if ok is None else ok).alias("completed")), seen
 
 
+def page_progress(messages: DataFrame, page: str = "page", message_id: str = "id", ts: str = "timestamp", pos: str = "pos") -> DataFrame:
+    """(page, seen, oldest): how many messages were met by the end of each page, and the instant of its last one.
+
+    Messages are combined to one row a page first; only those rows are summed in order.
+    """
+    fresh = messages.groupBy(message_id).agg(F.min(page).alias(page)).groupBy(page).agg(F.count("*").alias("new"))
+    last = messages.groupBy(page).agg(F.max_by(ts, pos).alias("oldest"))
+    so_far = F.sum(F.coalesce("new", F.lit(0))).over(Window.orderBy(page).rowsBetween(Window.unboundedPreceding, 0))
+    return last.join(fresh, page, "left").select(page, so_far.alias("seen"), "oldest")
+
+
 def first_image(images: Column) -> Column:
     """The first image or null."""
     return F.get(images, F.lit(0))

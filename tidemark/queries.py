@@ -384,11 +384,12 @@ def latest_name(spark, sf_dir):
     return joins.latest_name(rows).select("member_id", "name")
 
 
-@query("SELECT user_id AS member_id, user_id || '_' || event_type AS key, value / 1000.0 AS duration FROM events WHERE value <> 0 AND user_id = 7")
+@query("SELECT user_id AS member_id, user_id || '_' || event_type AS key, CASE WHEN value <> 0 THEN value / 1000.0 END AS duration FROM events")
 def member_slice(spark, sf_dir):
-    """One member's rows."""
-    rows = filters.of_member(_table(spark, sf_dir, "events").withColumnRenamed("user_id", "member_id"), 7)
-    return rows.select("member_id", S.state_key("member_id", "event_type").alias("key"), S.seconds("value").alias("duration")).where("duration is not null")
+    """F14, F16 over all messages, and P2 of every member, as a join with the members."""
+    rows = _table(spark, sf_dir, "events").withColumnRenamed("user_id", "member_id")
+    members = rows.select("member_id").distinct()
+    return rows.join(members, "member_id", "left_semi").select("member_id", S.state_key("member_id", "event_type").alias("key"), S.seconds("value").alias("duration"))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,3 +153,36 @@ def test_components(spark):
                 changed = True
     loops = {a for a, b in edges if a == b} - {x for e in edges if e[0] != e[1] for x in e}
     assert found == {k: v for k, v in up.items() if k not in loops}
+
+
+def test_packed_signatures_are_the_same():
+    rng = np.random.default_rng(4)
+    codes, nodes = rng.integers(-(2**63), 2**63 - 1, 5000), rng.integers(-(2**63), 2**63 - 1, 5000)
+    places, blobs = n._packed(codes, nodes)
+    assert len(set(places)) == len(places) <= n.BUCKETS
+    found = set()
+    for place, blob in zip(places, blobs, strict=True):
+        a, b = n._unpacked([blob])
+        found |= {(place, x, y) for x, y in zip(a.tolist(), b.tolist(), strict=True)}
+    low, high = codes.view(np.uint64) & np.uint64((1 << 48) - 1), (codes.view(np.uint64) >> np.uint64(48)) % np.uint64(n.BUCKETS)
+    assert found == set(zip(high.tolist(), low.tolist(), nodes.tolist(), strict=True))
+    assert n._packed(codes[:0], nodes[:0]) == ([], [])
+
+
+def test_the_stage_s_definition_against_all_pairs(spark, words):
+    rng, texts = random.Random(9), []
+    for size in (6, 12, 30, 60, 200):
+        for _ in range(5):
+            base = words(size)
+            texts += [" ".join(near(words, rng, base, rng.randint(0, max(1, size // 25)))) for _ in range(5)]
+    texts += ["a b c", "A  b c", None, ""]
+    rows = list(enumerate(texts))
+    sets = [plain_set(t, 5) for t in texts]
+    up = list(range(len(rows)))
+    for _ in range(6):
+        for a in range(len(rows)):
+            for b in range(a):
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    up[a] = up[b] = min(up[a], up[b])
+    found = {r["doc_id"]: r["component_id"] for r in n.ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), width=5, percent=80).collect()}
+    assert found == dict(enumerate(up)) and len(set(up)) < len(rows) - 40

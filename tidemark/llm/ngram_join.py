@@ -16,8 +16,10 @@ multiplied:
    or neighbouring ones (the size-derived bound), and every document files in
    the schemes of both neighbours.  This is exact; no signature is dropped.
 2. *Groups.*  Documents that share signatures, directly or over others, form
-   groups.  A map-side combine keeps one document a signature and task and links
+   groups.  A map-side combine keeps one document a signature and chunk and links
    the rest to it, so a signature of very many documents makes no hot task.
+   Signatures travel packed, 14 bytes each, in one row a chunk and bucket, and
+   are met bucket by bucket, so a task holds one bucket at a time.
 3. *Product.*  A group is cut into blocks of about ``block`` texts; every pair of
    blocks is one run, and runs are dealt to tasks in equal shares.  A run
    multiplies the blocks' incidence matrices, a block of columns at a time,
@@ -56,6 +58,7 @@ from tidemark.llm.words import chunks, mix, shingle_sets
 
 WIDTH, PERCENT = 3, 90
 BLOCK, COLUMNS = 128, 4096
+BUCKETS, GRAMS = 4096, 1 << 18
 
 
 @lru_cache(maxsize=8)
@@ -149,9 +152,9 @@ _ROW = "a long, b long, key binary, id {}"
 
 
 def _rows(a, b, key, ids: pa.Array) -> pa.RecordBatch:
-    """``a`` and ``key`` may be null; ``ids`` is a column, or its type for nulls."""
+    """``a``, ``b`` and ``key`` may be null; ``ids`` is a column, or its type for nulls."""
     if isinstance(ids, pa.DataType):
-        ids = pa.nulls(len(b), ids)
+        ids = pa.nulls(len(a), ids)
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(key, pa.binary()), ids], names=["a", "b", "key", "id"])
 
 
@@ -163,8 +166,39 @@ def node_of(key: bytes) -> int:
     return int.from_bytes(key[:8], "big", signed=True)
 
 
+def _packed(codes: np.ndarray, nodes: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """Buckets by the highest bits of the codes, and for each 6 bytes of the code and 8 of the node for every signature."""
+    place = (codes.view(np.uint64) >> np.uint64(48)).astype(np.int64) % BUCKETS
+    order = np.argsort(place, kind="stable")
+    place = place[order]
+    raw = np.empty((len(order), 14), np.uint8)
+    raw[:, :6] = codes[order].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :6]
+    raw[:, 6:] = nodes[order].astype("<i8").view(np.uint8).reshape(-1, 8)
+    starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])) if len(place) else place
+    ends = [*starts[1:].tolist(), len(place)]
+    return place[starts].tolist(), [raw[x:y].tobytes() for x, y in zip(starts.tolist(), ends, strict=len(place) > 0)]
+
+
+def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(blobs), np.uint8).reshape(-1, 14)
+    codes = np.zeros((len(raw), 8), np.uint8)
+    codes[:, :6] = raw[:, :6]
+    return codes.view("<i8").ravel(), np.ascontiguousarray(raw[:, 6:]).view("<i8").ravel()
+
+
+def _portions(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Ranges of sets of about ``GRAMS`` n-grams, to bound what is computed at once; a set is never split."""
+    out, start, total = [], 0, 0
+    for k, s in enumerate(sets):
+        if k > start and total + len(s) > GRAMS:
+            out.append((start, k))
+            start, total = k, 0
+        total += len(s)
+    return [*out, (start, len(sets))]
+
+
 def _file(width: int, percent: int):
-    """Rows (null, node, digest + size, id) of documents, (code, node, null, null) of signatures, (node, node, empty, null) of links between nodes."""
+    """Rows (null, node, digest + size, id) of documents, (bucket, null, packed signatures, null), (node, node, empty, null) of links between nodes."""
 
     def run(batches):
         for batch in batches:
@@ -178,32 +212,42 @@ def _file(width: int, percent: int):
                 sets = shingle_sets(part.take(pa.array([first[k] for k in own], pa.int64())), width)
                 size = {k: len(s).to_bytes(4, "big") for k, s in zip(own, sets, strict=True)}
                 yield _rows([None] * (end - start), [node_of(k) for k in keys], [k + size[k] for k in keys], ids.slice(start, end - start))
-                rows, codes = signatures(sets, percent)
-                nodes = np.array([node_of(k) for k in own], np.int64)[rows]
+                found = [(lo + row, code) for lo, hi in _portions(sets) for row, code in [signatures(sets[lo:hi], percent)]]
+                nodes = np.array([node_of(k) for k in own], np.int64)[np.concatenate([row for row, _ in found])]
+                codes = np.concatenate([code for _, code in found])
                 forest = Forest()
                 lead = _meet(codes, nodes, forest)
                 links = forest.edges()
                 yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), ids.type)
-                yield _rows(codes[lead], nodes[lead], pa.nulls(len(lead), pa.binary()), ids.type)
+                places, blobs = _packed(codes[lead], nodes[lead])
+                yield _rows(places, [None] * len(places), blobs, ids.type)
 
     return run
 
 
 def _match(batches):
-    """Joins the nodes of a partition that holds all rows of its codes; other rows pass."""
-    codes, nodes, kind = [], [], None
+    """Joins the nodes of every bucket, whose rows come together; other rows pass."""
+    current, blobs, kind = None, [], None
+
+    def met():
+        forest = Forest()
+        _meet(*_unpacked(blobs), forest)
+        links = forest.edges()
+        return _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), kind)
+
     for batch in batches:
         kind = batch.column(3).type
-        plain = batch.column(2).is_valid()
+        plain = batch.column(1).is_valid()
         yield batch.filter(plain)
         own = batch.filter(pa.array(~plain.to_numpy(zero_copy_only=False)))
-        codes.append(own.column(0).to_numpy())
-        nodes.append(own.column(1).to_numpy())
-    if codes:
-        forest = Forest()
-        _meet(np.concatenate(codes), np.concatenate(nodes), forest)
-        links = forest.edges()
-        yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), kind)
+        for place, blob in zip(own.column(0).to_pylist(), own.column(2).to_pylist(), strict=True):
+            if place != current:
+                if blobs:
+                    yield met()
+                current, blobs = place, []
+            blobs.append(blob)
+    if blobs:
+        yield met()
 
 
 def _texts_of(sought):
@@ -344,7 +388,8 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     schema = _ROW.format(dict(rows.dtypes)["doc_id"])
 
     filed = rows.mapInArrow(_file(width, percent), schema)
-    dealt = filed.repartition(parts, F.when(F.col("key").isNull(), F.col("a")).otherwise(F.xxhash64("a", "b", "id")))
+    packed = F.col("b").isNull()
+    dealt = filed.repartition(parts, F.when(packed, F.xxhash64("a")).otherwise(F.xxhash64("b", "id"))).sortWithinPartitions(F.when(packed, F.col("a")))
     met = staged(dealt.mapInArrow(_match, schema), "ngram-filed")
     groups = components(met.where("octet_length(key) = 0").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-groups")
 

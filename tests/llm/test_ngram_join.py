@@ -186,3 +186,29 @@ def test_the_stage_s_definition_against_all_pairs(spark, words):
                     up[a] = up[b] = min(up[a], up[b])
     found = {r["doc_id"]: r["component_id"] for r in n.ngram_join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), width=5, percent=80).collect()}
     assert found == dict(enumerate(up)) and len(set(up)) < len(rows) - 40
+
+
+def test_texts_that_only_share_passages_are_left_out(spark, words):
+    """Many documents with one long passage, their own else: none is signed, and no group is formed of them."""
+    passage, rng = words(60), random.Random(3)
+    own = lambda: " ".join(f"{w}{rng.randrange(10**9)}" for w in words(200))
+    texts = [f"{own()} {' '.join(passage)} {own()}" for _ in range(60)]
+    copy = texts[0].split()
+    texts.append(" ".join([*copy[:100], "other", *copy[101:]]))
+    sets = shingle_sets(pa.array(texts), 5)
+    count = {}
+    for x in sets:
+        for g in x.tolist():
+            count[g] = count.get(g, 0) + 1
+    alone = [sum(g % n.SAMPLE == 0 and count[g] == 1 for g in x.tolist()) for x in sets]
+    assert [k for k, x in enumerate(sets) if 100 * alone[k] <= 20 * len(x)] == [0, 60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in n.ngram_join(docs, width=5, percent=80).collect()}
+    assert found == {k: (0 if k == 60 else k, 1 if k in (0, 60) else 0) for k in range(61)}
+
+
+def test_unshared_counts():
+    codes = np.array([5, 5, 7, 7, 9, 11, 11, 12], np.int64)
+    nodes = np.array([1, 2, 3, 3, 1, 0, 4, -8], np.int64)  # 3 alone with itself; 0 stands for several
+    found = dict(zip(*(x.tolist() for x in n._unshared(codes, nodes)), strict=True))
+    assert found == {3: 1, 1: 1, -8: 1}

@@ -7,6 +7,12 @@ connected component.
 Only rows and columns of the document by n-gram matrix that can hold a link are
 multiplied:
 
+0. *Rows.*  A text that links with another shares at least ``threshold`` percent
+   of its n-grams with it.  So one of which more than the rest of its n-grams
+   occur in no other text links with none; counting those among the n-grams whose
+   hash is divisible by ``SAMPLE`` is enough to tell, and loses no link.  This
+   leaves out texts that share passages, however many documents have them, but
+   are their own else.
 1. *Column blocks.*  Linked sets of sizes up to S differ in at most
    H = 2 S (100 - t) / (100 + t) n-grams.  The n-grams of both are dealt to
    H + 1 + e column blocks by hash, so at least e + 1 blocks agree wholly.  A
@@ -52,13 +58,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import FILTER_BITS, binary, bitmap, staged, whole_text
+from tidemark.llm.common import FILTER_BITS, binary, bitmap, may_have, staged, whole_text
 from tidemark.llm.components import components
 from tidemark.llm.words import chunks, mix, shingle_sets
 
 WIDTH, PERCENT = 3, 90
 BLOCK, COLUMNS = 128, 4096
-BUCKETS, GRAMS = 4096, 1 << 18
+BUCKETS, GRAMS, SAMPLE = 4096, 1 << 18, 3
 
 
 @lru_cache(maxsize=8)
@@ -197,57 +203,112 @@ def _portions(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return [*out, (start, len(sets))]
 
 
-def _file(width: int, percent: int):
-    """Rows (null, node, digest + size, id) of documents, (bucket, null, packed signatures, null), (node, node, empty, null) of links between nodes."""
+def _distinct(text: pa.Array, width: int, sought: bytes | None) -> tuple[list[bytes], list[bytes], list[np.ndarray]]:
+    """Digests of all texts, the distinct ones that may be in the filter, and their sets."""
+    raw = [x or b"" for x in text.cast(pa.binary()).to_pylist()]
+    keys = [digest(x) for x in raw]
+    first = {k: n for n, k in reversed(list(enumerate(keys)))}
+    own = list(first)
+    if sought is not None and own:
+        keep = may_have(sought, np.array([node_of(k) for k in own], np.int64))
+        own = [k for k, x in zip(own, keep, strict=True) if x]
+    return keys, own, shingle_sets(text.take(pa.array([first[k] for k in own], pa.int64())), width)
+
+
+def _file(width: int):
+    """Rows (null, node, digest + size, id) of documents, and (bucket, null, packed n-grams, null) of a part of the n-grams of their texts.
+
+    An n-gram that several texts of a chunk have is one row, of node 0.
+    """
 
     def run(batches):
         for batch in batches:
             ids, text = batch.column(0), batch.column(1)
             for start, end in chunks(text):
-                part = text.slice(start, end - start)
-                raw = [x or b"" for x in part.cast(pa.binary()).to_pylist()]
-                keys = [digest(x) for x in raw]
-                first = {k: n for n, k in reversed(list(enumerate(keys)))}
-                own = list(first)
-                sets = shingle_sets(part.take(pa.array([first[k] for k in own], pa.int64())), width)
+                keys, own, sets = _distinct(text.slice(start, end - start), width, None)
                 size = {k: len(s).to_bytes(4, "big") for k, s in zip(own, sets, strict=True)}
                 yield _rows([None] * (end - start), [node_of(k) for k in keys], [k + size[k] for k in keys], ids.slice(start, end - start))
+                parts = [s[s % np.uint64(SAMPLE) == 0] for s in sets]
+                grams = mix(np.concatenate([np.zeros(0, np.uint64), *parts]))
+                nodes = np.repeat(np.array([node_of(k) for k in own], np.int64), [len(x) for x in parts])
+                order = np.argsort(grams, kind="stable")
+                grams, nodes = grams[order], nodes[order]
+                fresh = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else order
+                alone = np.diff(np.concatenate([fresh, [len(grams)]])) == 1
+                places, blobs = _packed(grams[fresh].view(np.int64), np.where(alone, nodes[fresh], 0))
+                yield _rows(places, [None] * len(places), blobs, ids.type)
+
+    return run
+
+
+def _unshared(codes: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes, and how many n-grams of each no other node has."""
+    order = np.argsort(codes, kind="stable")
+    codes, nodes = codes[order], nodes[order]
+    fresh = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    low, high = np.minimum.reduceat(nodes, fresh), np.maximum.reduceat(nodes, fresh)
+    return np.unique(low[(low == high) & (low != 0)], return_counts=True)
+
+
+def _sign(width: int, percent: int, sought):
+    """Rows (bucket, null, packed signatures) and (node, node, empty) of links, of the texts in the filter ``sought``."""
+
+    def run(batches):
+        for batch in batches:
+            for start, end in chunks(batch.column(0)):
+                _, own, sets = _distinct(batch.column(0).slice(start, end - start), width, sought.value)
                 found = [(lo + row, code) for lo, hi in _portions(sets) for row, code in [signatures(sets[lo:hi], percent)]]
                 nodes = np.array([node_of(k) for k in own], np.int64)[np.concatenate([row for row, _ in found])]
                 codes = np.concatenate([code for _, code in found])
                 forest = Forest()
                 lead = _meet(codes, nodes, forest)
                 links = forest.edges()
-                yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), ids.type)
+                kind = pa.int64()
+                yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), kind)
                 places, blobs = _packed(codes[lead], nodes[lead])
-                yield _rows(places, [None] * len(places), blobs, ids.type)
+                yield _rows(places, [None] * len(places), blobs, kind)
 
     return run
 
 
-def _match(batches):
-    """Joins the nodes of every bucket, whose rows come together; other rows pass."""
-    current, blobs, kind = None, [], None
+def _linked(codes: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links of nodes that share a code, as a forest."""
+    forest = Forest()
+    _meet(codes, nodes, forest)
+    links = np.array(forest.edges(), np.int64).reshape(-1, 2)
+    return links[:, 0], links[:, 1]
 
-    def met():
-        forest = Forest()
-        _meet(*_unpacked(blobs), forest)
-        links = forest.edges()
-        return _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), kind)
 
-    for batch in batches:
-        kind = batch.column(3).type
-        plain = batch.column(1).is_valid()
-        yield batch.filter(plain)
-        own = batch.filter(pa.array(~plain.to_numpy(zero_copy_only=False)))
-        for place, blob in zip(own.column(0).to_pylist(), own.column(2).to_pylist(), strict=True):
-            if place != current:
-                if blobs:
-                    yield met()
-                current, blobs = place, []
-            blobs.append(blob)
-    if blobs:
-        yield met()
+def _by_bucket(take):
+    """``take`` (codes, nodes) of every bucket, whose rows come together, as rows (a, b, empty); other rows pass."""
+
+    def run(batches):
+        current, blobs, kind = None, [], None
+        for batch in batches:
+            kind = batch.column(3).type
+            plain = batch.column(1).is_valid()
+            yield batch.filter(plain)
+            own = batch.filter(pa.array(~plain.to_numpy(zero_copy_only=False)))
+            for place, blob in zip(own.column(0).to_pylist(), own.column(2).to_pylist(), strict=True):
+                if place != current:
+                    if blobs:
+                        yield taken(blobs, kind)
+                    current, blobs = place, []
+                blobs.append(blob)
+        if blobs:
+            yield taken(blobs, kind)
+
+    def taken(blobs, kind):
+        a, b = take(*_unpacked(blobs))
+        return _rows(a, b, [b""] * len(a), kind)
+
+    return run
+
+
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """The rows of a bucket together, others spread."""
+    packed = F.col("b").isNull()
+    return rows.repartition(parts, F.when(packed, F.xxhash64("a")).otherwise(F.xxhash64("b", "id"))).sortWithinPartitions(F.when(packed, F.col("a")))
 
 
 def _texts_of(sought):
@@ -387,13 +448,16 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     schema = _ROW.format(dict(rows.dtypes)["doc_id"])
 
-    filed = rows.mapInArrow(_file(width, percent), schema)
-    packed = F.col("b").isNull()
-    dealt = filed.repartition(parts, F.when(packed, F.xxhash64("a")).otherwise(F.xxhash64("b", "id"))).sortWithinPartitions(F.when(packed, F.col("a")))
-    met = staged(dealt.mapInArrow(_match, schema), "ngram-filed")
-    groups = components(met.where("octet_length(key) = 0").select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-groups")
+    filed = _dealt(rows.mapInArrow(_file(width), schema), parts)
+    read = staged(filed.mapInArrow(_by_bucket(_unshared), schema), "ngram-filed")
+    found = read.where("octet_length(key) > 0").select(F.col("id").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
+    alone = read.where("octet_length(key) = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("alone"))
+    rest = found.where("n_shingles > 0").select("node", "n_shingles").distinct().join(alone, "node", "left").where(100 * F.coalesce("alone", F.lit(0)) <= (100 - percent) * F.col("n_shingles"))
+    able = spark.sparkContext.broadcast(bitmap(staged(rest.select("node"), "ngram-able"), "node"))  # of fixed size
+    signed = _dealt(rows.select("text").mapInArrow(_sign(width, percent, able), _ROW.format("long")), parts)
+    met = staged(signed.mapInArrow(_by_bucket(_linked), _ROW.format("long")), "ngram-met")
+    groups = components(met.select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-groups")
 
-    found = met.where("octet_length(key) > 0").select(F.col("id").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
     classes = staged(found.where("n_shingles > 0").groupBy("key", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "ngram-classes")
 
     sought = spark.sparkContext.broadcast(bitmap(groups, "node"))  # of fixed size

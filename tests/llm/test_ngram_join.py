@@ -60,19 +60,24 @@ def test_words_split_at_ascii_space_only():
 
 def test_linked_sets_share_a_signature(words):
     rng, links = random.Random(3), 0
-    for _ in range(250):
-        base = words(rng.choice([3, 5, 12, 15, 30, 60, 120, 300, 700]))
-        texts = [" ".join(near(words, rng, base, rng.randint(0, max(1, len(base) // 40)))) for _ in range(5)]
-        sets = shingle_sets(pa.array(texts), 3)
-        plain = [plain_set(t) for t in texts]
-        assert [len(s) for s in sets] == [len(s) for s in plain]
-        row, code = n.signatures(sets, 90)
-        codes = [set(code[row == k].tolist()) for k in range(5)]
-        for a in range(5):
-            for b in range(a):
-                if 100 * len(plain[a] & plain[b]) >= 90 * len(plain[a] | plain[b]):
-                    links += 1
-                    assert codes[a] & codes[b]
+    for width, percent in ((3, 90), (5, 80)):
+        for _ in range(150):
+            base = words(rng.choice([3, 5, 12, 15, 30, 60, 120, 300, 700]))
+            texts = [" ".join(near(words, rng, base, rng.randint(0, max(1, len(base) // (40 if width == 3 else 30))))) for _ in range(5)]
+            sets = shingle_sets(pa.array(texts), width)
+            plain = [plain_set(t, width) for t in texts]
+            assert [len(s) for s in sets] == [len(s) for s in plain]
+            places, blobs = n._packed(np.concatenate(sets).view(np.int64), np.repeat(np.arange(5), [len(s) for s in sets]))
+            seen = [[] for _ in range(5)]
+            for place, blob in zip(places, blobs, strict=True):
+                for node, x in zip(*n._shared(place, [blob]), strict=True):
+                    seen[node].append(x)
+            codes = [set(n.prefix(len(s), np.array(x, n._SEEN), percent).tolist()) for s, x in zip(sets, seen, strict=True)]
+            for a in range(5):
+                for b in range(a):
+                    if texts[a] != texts[b] and 100 * len(plain[a] & plain[b]) >= percent * len(plain[a] | plain[b]):
+                        links += 1
+                        assert codes[a] & codes[b]
     assert links > 300
 
 

@@ -7,25 +7,24 @@ connected component.
 Only rows and columns of the document by n-gram matrix that can hold a link are
 multiplied:
 
-0. *Rows.*  A text that links with another shares at least ``threshold`` percent
+1. *Rows.*  A text that links with another shares at least ``threshold`` percent
    of its n-grams with it.  So one of which more than the rest of its n-grams
    occur in no other text links with none; counting those among the n-grams whose
    hash is divisible by ``SAMPLE`` is enough to tell, and loses no link.  This
-   leaves out texts that share passages, however many documents have them, but
-   are their own else.
-1. *Column blocks.*  Linked sets of sizes up to S differ in at most
-   H = 2 S (100 - t) / (100 + t) n-grams.  The n-grams of both are dealt to
-   H + 1 + e column blocks by hash, so at least e + 1 blocks agree wholly.  A
-   document files a signature of every block that has n-grams of it, and of
-   empty blocks only if more than e are empty; linked documents then share a
-   signature.  Sizes fall into classes so that linked documents are in the same
-   or neighbouring ones (the size-derived bound), and every document files in
-   the schemes of both neighbours.  This is exact; no signature is dropped.
+   leaves out nearly all texts, also those that share passages with any number of
+   others but are their own else.
+   *Columns.*  For the texts that are left, n-grams are put in one order, by the
+   number of these texts that have them and by hash.  The first
+   S - ceil(t S / 100) + 1 of a text of S n-grams are its signatures: linked texts
+   share at least one (the size-derived bound on what may differ).  The rarest
+   come first, so a passage of many documents is none of them unless a text
+   consists of such.  This is exact; no signature is dropped.
 2. *Groups.*  Documents that share signatures, directly or over others, form
    groups.  A map-side combine keeps one document a signature and chunk and links
    the rest to it, so a signature of very many documents makes no hot task.
-   Signatures travel packed, 14 bytes each, in one row a chunk and bucket, and
-   are met bucket by bucket, so a task holds one bucket at a time.
+   N-grams travel packed, 14 bytes each, in one row a chunk and bucket, and are
+   met bucket by bucket: a task holds 14 bytes for each text that has an n-gram
+   of one bucket of ``BUCKETS``, the largest thing that grows with one group.
 3. *Product.*  A group is cut into blocks of about ``block`` texts; every pair of
    blocks is one run, and runs are dealt to tasks in equal shares.  A run
    multiplies the blocks' incidence matrices, a block of columns at a time,
@@ -51,7 +50,6 @@ columns play no role.
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,58 +62,7 @@ from tidemark.llm.words import chunks, mix, shingle_sets
 
 WIDTH, PERCENT = 3, 90
 BLOCK, COLUMNS = 128, 4096
-BUCKETS, GRAMS, SAMPLE = 4096, 1 << 18, 3
-
-
-@lru_cache(maxsize=8)
-def size_classes(percent: int) -> np.ndarray:
-    """Smallest size of each class; a size of one class reaches no further than the next."""
-    out = [1]
-    while out[-1] < 1 << 40:
-        out.append(100 * out[-1] // percent + 1)
-    return np.array(out, np.int64)
-
-
-def schemes(percent: int, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(column blocks, empty blocks allowed) of the schemes that cover classes ``first`` and ``first`` + 1."""
-    largest = size_classes(percent)[first + 2] - 1
-    differ = 2 * largest * (100 - percent) // (100 + percent)
-    spare = np.where(differ > 0, 2 + differ // 50, 0)
-    return differ + 1 + spare, spare
-
-
-def signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(index of the set, signature) for all sets that are not empty."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    own = np.flatnonzero(sizes)
-    if not len(own):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    sizes = sizes[own]
-    grams = np.concatenate([sets[k] for k in own])
-    row = np.repeat(np.arange(len(own)), sizes)
-    where = mix(grams ^ np.uint64(0x5851F42D4C957F2D))
-    parts = [((where >> np.uint64(22 * k)) & np.uint64((1 << 22) - 1)).astype(np.float64) for k in range(3)]
-    spot = mix(grams + np.uint64(0xD1342543DE82EF95))
-    level = np.searchsorted(size_classes(percent), sizes, "right") - 1
-    rows, found = [], []
-    for scheme in (level, level - 1):
-        valid = scheme >= 0
-        blocks, spare = schemes(percent, np.maximum(scheme, 0))
-        blocks = np.where(valid, blocks, 1)
-        base = np.concatenate([[0], np.cumsum(blocks)])
-        cell = base[row] + (spot % blocks[row].astype(np.uint64)).astype(np.int64)
-        total = int(base[-1])
-        sums = [np.bincount(cell, p, total).astype(np.uint64) for p in parts]  # sums of 22-bit values are exact
-        filled = np.bincount(cell, minlength=total) > 0
-        doc = np.repeat(np.arange(len(own)), blocks)
-        number = np.arange(total) - base[doc]
-        empty = np.bincount(doc[~filled], minlength=len(own))
-        take = valid[doc] & (filled | (empty > spare)[doc])
-        salt = mix(((np.maximum(scheme, 0)[doc].astype(np.uint64) << np.uint64(40)) + number.astype(np.uint64)) ^ np.uint64(0xA0761D6478BD642F))
-        code = mix(mix(mix(salt + sums[0]) + sums[1]) + sums[2])
-        rows.append(own[doc[take]])
-        found.append(code[take].view(np.int64))
-    return np.concatenate(rows), np.concatenate(found)
+BUCKETS, GRAMS, SAMPLE = 4096, 1 << 18, 2
 
 
 class Forest:
@@ -192,17 +139,6 @@ def _unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes.view("<i8").ravel(), np.ascontiguousarray(raw[:, 6:]).view("<i8").ravel()
 
 
-def _portions(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Ranges of sets of about ``GRAMS`` n-grams, to bound what is computed at once; a set is never split."""
-    out, start, total = [], 0, 0
-    for k, s in enumerate(sets):
-        if k > start and total + len(s) > GRAMS:
-            out.append((start, k))
-            start, total = k, 0
-        total += len(s)
-    return [*out, (start, len(sets))]
-
-
 def _distinct(text: pa.Array, width: int, sought: bytes | None) -> tuple[list[bytes], list[bytes], list[np.ndarray]]:
     """Digests of all texts, the distinct ones that may be in the filter, and their sets."""
     raw = [x or b"" for x in text.cast(pa.binary()).to_pylist()]
@@ -250,40 +186,125 @@ def _unshared(codes: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.unique(low[(low == high) & (low != 0)], return_counts=True)
 
 
-def _sign(width: int, percent: int, sought):
-    """Rows (bucket, null, packed signatures) and (node, node, empty) of links, of the texts in the filter ``sought``."""
+def _grams(width: int, sought):
+    """Rows (bucket, null, packed n-grams) of the texts in the filter ``sought``, and (node, size, empty) of these texts."""
 
     def run(batches):
         for batch in batches:
             for start, end in chunks(batch.column(0)):
                 _, own, sets = _distinct(batch.column(0).slice(start, end - start), width, sought.value)
-                found = [(lo + row, code) for lo, hi in _portions(sets) for row, code in [signatures(sets[lo:hi], percent)]]
-                nodes = np.array([node_of(k) for k in own], np.int64)[np.concatenate([row for row, _ in found])]
-                codes = np.concatenate([code for _, code in found])
-                forest = Forest()
-                lead = _meet(codes, nodes, forest)
-                links = forest.edges()
+                nodes = np.array([node_of(k) for k in own], np.int64)
+                sizes = np.array([len(x) for x in sets], np.int64)
                 kind = pa.int64()
-                yield _rows([x for x, _ in links], [y for _, y in links], [b""] * len(links), kind)
-                places, blobs = _packed(codes[lead], nodes[lead])
+                yield _rows(nodes, sizes, [b""] * len(nodes), kind)
+                places, blobs = _packed(mix(np.concatenate([np.zeros(0, np.uint64), *sets])).view(np.int64), np.repeat(nodes, sizes))
                 yield _rows(places, [None] * len(places), blobs, kind)
 
     return run
 
 
-def _linked(codes: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The links of nodes that share a code, as a forest."""
+_SEEN = np.dtype([("gram", "<i8"), ("often", "u1")])
+
+
+def _shared(place: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes, and their n-grams of one bucket that other nodes have too, with the number of nodes (255 at most)."""
+    codes, nodes = _unpacked(blobs)
+    order = np.lexsort((nodes, codes))
+    codes, nodes = codes[order], nodes[order]
+    keep = np.concatenate([[True], (codes[1:] != codes[:-1]) | (nodes[1:] != nodes[:-1])])
+    codes, nodes = codes[keep], nodes[keep]
+    fresh = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+    times = np.diff(np.concatenate([fresh, [len(codes)]]))
+    often = np.repeat(times, times)
+    out = np.empty(int((often > 1).sum()), _SEEN)
+    out["gram"], out["often"] = codes[often > 1] | (place << 48), np.minimum(often[often > 1], 255)
+    return nodes[often > 1], out
+
+
+def _by_node(found: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
+    nodes, seen = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+    order = np.argsort(nodes, kind="stable")
+    nodes, seen = nodes[order], seen[order]
+    starts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1]])) if len(nodes) else order
+    ends = [*starts[1:].tolist(), len(nodes)]
+    return _rows(nodes[starts], [None] * len(starts), [seen[x:y].tobytes() for x, y in zip(starts.tolist(), ends, strict=len(nodes) > 0)], kind)
+
+
+def prefix(size: int, seen: np.ndarray, percent: int) -> np.ndarray:
+    """The signatures of a text of ``size`` n-grams, of which ``seen`` occur in other texts too; the others are the first in order, and meet none."""
+    length = size - -(-percent * size // 100) + 1 - (size - len(seen))
+    return seen["gram"][np.lexsort((seen["gram"], seen["often"]))[: max(0, length)]]
+
+
+def _signed(percent: int):
+    """Signatures (bucket, null, packed) and links (node, node, empty) from all rows of each node: (node, size, empty), (node, null, n-grams)."""
+
+    def run(batches):
+        node, size, blobs, found, total, kind = None, 0, [], [], 0, None
+
+        def finish():
+            own = prefix(size, np.frombuffer(b"".join(blobs), _SEEN), percent)
+            if len(own):
+                found.append((own, np.full(len(own), node, np.int64)))
+            return len(own)
+
+        def given():
+            codes, nodes = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+            forest = Forest()
+            lead = _meet(codes, nodes, forest)
+            links = forest.edges()
+            places, packed = _packed(codes[lead], nodes[lead])
+            return _rows([*places, *(x for x, _ in links)], [*[None] * len(places), *(y for _, y in links)], [*packed, *[b""] * len(links)], kind)
+
+        for batch in batches:
+            kind = batch.column(3).type
+            for a, b, key in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if a != node:
+                    total += finish() if node is not None else 0
+                    if total >= GRAMS:
+                        yield given()
+                        found, total = [], 0
+                    node, size, blobs = a, 0, []
+                if b is not None:
+                    size = b
+                else:
+                    blobs.append(key)
+        if node is not None:
+            finish()
+        if found:
+            yield given()
+
+    return run
+
+
+def _linked(place: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The links of nodes that share a code of a bucket, as a forest."""
     forest = Forest()
-    _meet(codes, nodes, forest)
+    _meet(*_unpacked(blobs), forest)
     links = np.array(forest.edges(), np.int64).reshape(-1, 2)
     return links[:, 0], links[:, 1]
 
 
-def _by_bucket(take):
-    """``take`` (codes, nodes) of every bucket, whose rows come together, as rows (a, b, empty); other rows pass."""
+def _counted(place: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return _unshared(*_unpacked(blobs))
+
+
+def _pairs(found: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
+    a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+    return _rows(a, b, [b""] * len(a), kind)
+
+
+def _sums(found: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
+    a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
+    nodes, at = np.unique(a, return_inverse=True)
+    return _pairs([(nodes, np.bincount(at, b, len(nodes)).astype(np.int64))], kind)
+
+
+def _by_bucket(take, give, most: int = GRAMS):
+    """``take`` (bucket, blobs) of every bucket, whose rows come together; ``give`` makes rows of what several gave, about ``most`` at once; other rows pass."""
 
     def run(batches):
-        current, blobs, kind = None, [], None
+        current, blobs, kind, taken, size = None, [], None, [], 0
         for batch in batches:
             kind = batch.column(3).type
             plain = batch.column(1).is_valid()
@@ -292,15 +313,17 @@ def _by_bucket(take):
             for place, blob in zip(own.column(0).to_pylist(), own.column(2).to_pylist(), strict=True):
                 if place != current:
                     if blobs:
-                        yield taken(blobs, kind)
+                        taken.append(take(current, blobs))
+                        size += len(taken[-1][0])
+                    if size >= most:
+                        yield give(taken, kind)
+                        taken, size = [], 0
                     current, blobs = place, []
                 blobs.append(blob)
         if blobs:
-            yield taken(blobs, kind)
-
-    def taken(blobs, kind):
-        a, b = take(*_unpacked(blobs))
-        return _rows(a, b, [b""] * len(a), kind)
+            taken.append(take(current, blobs))
+        if taken:
+            yield give(taken, kind)
 
     return run
 
@@ -308,7 +331,7 @@ def _by_bucket(take):
 def _dealt(rows: DataFrame, parts: int) -> DataFrame:
     """The rows of a bucket together, others spread."""
     packed = F.col("b").isNull()
-    return rows.repartition(parts, F.when(packed, F.xxhash64("a")).otherwise(F.xxhash64("b", "id"))).sortWithinPartitions(F.when(packed, F.col("a")))
+    return rows.repartition(parts, F.when(packed, F.xxhash64("a")).otherwise(F.xxhash64("a", "b", "id"))).sortWithinPartitions(F.when(packed, F.col("a")))
 
 
 def _texts_of(sought):
@@ -449,13 +472,15 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     schema = _ROW.format(dict(rows.dtypes)["doc_id"])
 
     filed = _dealt(rows.mapInArrow(_file(width), schema), parts)
-    read = staged(filed.mapInArrow(_by_bucket(_unshared), schema), "ngram-filed")
+    read = staged(filed.mapInArrow(_by_bucket(_counted, _sums, 16 * GRAMS), schema), "ngram-filed")
     found = read.where("octet_length(key) > 0").select(F.col("id").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
     alone = read.where("octet_length(key) = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("alone"))
     rest = found.where("n_shingles > 0").select("node", "n_shingles").distinct().join(alone, "node", "left").where(100 * F.coalesce("alone", F.lit(0)) <= (100 - percent) * F.col("n_shingles"))
     able = spark.sparkContext.broadcast(bitmap(staged(rest.select("node"), "ngram-able"), "node"))  # of fixed size
-    signed = _dealt(rows.select("text").mapInArrow(_sign(width, percent, able), _ROW.format("long")), parts)
-    met = staged(signed.mapInArrow(_by_bucket(_linked), _ROW.format("long")), "ngram-met")
+    plain = _ROW.format("long")
+    often = _dealt(rows.select("text").mapInArrow(_grams(width, able), plain), parts).mapInArrow(_by_bucket(_shared, _by_node, 4 * GRAMS), plain)
+    signed = often.repartition(parts, F.xxhash64("a")).sortWithinPartitions("a").mapInArrow(_signed(percent), plain)
+    met = staged(_dealt(signed, parts).mapInArrow(_by_bucket(_linked, _pairs), plain), "ngram-met")
     groups = components(met.select(F.col("a").alias("u"), F.col("b").alias("v")), "ngram-groups")
 
     classes = staged(found.where("n_shingles > 0").groupBy("key", "node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies")), "ngram-classes")

@@ -294,10 +294,21 @@ def _pairs(found: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.
     return _rows(a, b, [b""] * len(a), kind)
 
 
+def _summed(nodes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    nodes, at = np.unique(nodes, return_inverse=True)
+    return nodes, np.bincount(at, numbers, len(nodes)).astype(np.int64)
+
+
 def _sums(found: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> pa.RecordBatch:
-    a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-    nodes, at = np.unique(a, return_inverse=True)
-    return _pairs([(nodes, np.bincount(at, b, len(nodes)).astype(np.int64))], kind)
+    """Numbers by node, packed in buckets of nodes."""
+    nodes, numbers = _summed(*(np.concatenate([x[k] for x in found]) for k in (0, 1)))
+    places, blobs = _packed(nodes & ~((1 << 48) - 1) | numbers, nodes)
+    return _rows(places, [None] * len(places), blobs, kind)
+
+
+def _totals(place: int, blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    numbers, nodes = _unpacked(blobs)
+    return _summed(nodes, numbers)
 
 
 def _by_bucket(take, give, most: int = GRAMS):
@@ -472,9 +483,10 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     schema = _ROW.format(dict(rows.dtypes)["doc_id"])
 
     filed = _dealt(rows.mapInArrow(_file(width), schema), parts)
-    read = staged(filed.mapInArrow(_by_bucket(_counted, _sums, 16 * GRAMS), schema), "ngram-filed")
+    counted = _dealt(filed.mapInArrow(_by_bucket(_counted, _sums, 4 * GRAMS), schema), parts)
+    read = staged(counted.mapInArrow(_by_bucket(_totals, _pairs), schema), "ngram-filed")
     found = read.where("octet_length(key) > 0").select(F.col("id").alias("doc_id"), F.col("b").alias("node"), F.expr("substring(key, 1, 16)").alias("key"), F.expr("cast(conv(hex(substring(key, 17, 4)), 16, 10) as long)").alias("n_shingles"))
-    alone = read.where("octet_length(key) = 0").groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("alone"))
+    alone = read.where("octet_length(key) = 0").select(F.col("a").alias("node"), F.col("b").alias("alone"))
     rest = found.where("n_shingles > 0").select("node", "n_shingles").distinct().join(alone, "node", "left").where(100 * F.coalesce("alone", F.lit(0)) <= (100 - percent) * F.col("n_shingles"))
     able = spark.sparkContext.broadcast(bitmap(staged(rest.select("node"), "ngram-able"), "node"))  # of fixed size
     plain = _ROW.format("long")

@@ -51,7 +51,7 @@ def test_groups_members_and_envelopes(spark, tmp_path):
 
 
 def test_stored_documents(spark, tmp_path):
-    path = land(tmp_path / "d", a={"member": {"id": 1}, "total_messages": 1, "messages": [{"id": 5}]}, b="{"half": ")
+    path = land(tmp_path / "d", a={"member": {"id": 1}, "total_messages": 1, "messages": [{"id": 5}]}, b="{\"half\": ")
     good, bad = landed.documents(spark, path)
     assert good.first()["messages"][0]["id"] == 5
     assert bad.count() == 1

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.alignment import alignment
 from tidemark.llm.common import read
 from tidemark.llm.cotraining import cotraining
 from tidemark.llm.decontamination import decontamination
@@ -67,4 +68,8 @@ def op10_decontamination(spark, sf_dir):
     return decontamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_tokenizer_alignment(spark, sf_dir):
+    return alignment(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path(), digest=True)
+
+
 QUERIES = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -57,5 +57,41 @@ it AS (SELECT rid, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FRO
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN pos USING (rid) LEFT JOIN it USING (rid)
+""",
+    "op12_chat_formatting": r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, u.turn, u.role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS u(turn, role)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g')) + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) + length('<|im_start|><|im_sep|><|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
+""",
+    "op13_fill_in_middle": """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || doc_id) AS h FROM documents
+), u AS (
+  SELECT *, string_split(t, chr(10)) AS parts,
+    length(t) - length(replace(t, chr(10), '')) + CASE WHEN t <> '' AND right(t, 1) <> chr(10) THEN 1 ELSE 0 END AS n,
+    CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+  FROM d
+), k AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), c AS (
+  SELECT *, CASE WHEN i = n THEN length(t) WHEN i = 0 THEN 0 ELSE length(array_to_string(parts[1:i], chr(10))) + 1 END AS a,
+    CASE WHEN j = n THEN length(t) WHEN j = 0 THEN 0 ELSE length(array_to_string(parts[1:j], chr(10))) + 1 END AS b
+  FROM k
+), o AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM o
 """,
 }

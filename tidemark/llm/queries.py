@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import chat
 from tidemark.llm.alignment import alignment
 from tidemark.llm.common import read
 from tidemark.llm.cotraining import cotraining
 from tidemark.llm.decontamination import decontamination
+from tidemark.llm.fill_in_middle import fill_in_middle, restored
 from tidemark.llm.hmm import hmm_scores
 from tidemark.llm.html_text import html_text
 from tidemark.llm.mixing import mixing
@@ -72,4 +76,15 @@ def op11_tokenizer_alignment(spark, sf_dir):
     return alignment(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path(), digest=True)
 
 
+def op12_chat_formatting(spark, sf_dir):
+    path = tokenizer_path("byte_bpe_50k.json")
+    return chat.read_back(chat.formatted(chat.with_trap(read(spark, sf_dir, "conversations")), path), path)
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    out = fill_in_middle(read(spark, sf_dir, "documents"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(), 256).alias("restored_sha256")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -16,7 +16,8 @@ the number of links, over all texts, between the same two ids.
 3. Links are dealt by stripe, stripes of many bytes in several parts, and the
    stripe's counts go first to each part: a task rebuilds the matrix, its row
    maxima give each B id's highest count, and the links that follow are scored
-   against it.  What a task scores is summed per unit before the last shuffle.
+   against it.  A row of links gives one row of scores, packed; those of a block,
+   one a stripe at most, are added up, and joined with its documents.
 
 A stripe's matrix has the size of the vocabularies, never of the corpus, and only
 one is held at a time.  A frequent id weighs on its stripe's parts, whose number
@@ -44,6 +45,7 @@ import math
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +56,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import staged, whole_text
 
 WIDTH = 256  # B ids of a stripe: a matrix of 256 x 50,257 counts has 103 MB
-BLOCK = 1 << 22  # characters encoded at once
+BLOCK = 1 << 21  # characters encoded at once
 WORDS, WORD_CHARS = 1 << 18, 1 << 23  # words, and characters in them, that a worker remembers
 PART = 16 << 20  # bytes of links in one part of a stripe
-UNITS = 1 << 20  # units whose scores a task holds before it hands them on
 
 _SPACES = " \t\n\x0b\x0c"
 #: White space by any definition of it, beside _SPACES.
@@ -91,8 +92,8 @@ class _ByteBPE:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def lines(self, words: list[str]) -> list[list[int]]:
-        """Ids of words, each on a line of its own, in one call."""
+    def lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, each on a line of its own, in one call: all of them, and how many each word has."""
         return _cut(self.encode(["\n" + "\n".join(words)])[0], self.newline)
 
 
@@ -119,13 +120,19 @@ class _Pieces:
         found = self._ids([t[1:] if t[:1] == " " else "\n" + t for t in texts])
         return [[self.space] if t == " " else x if t[:1] == " " else x[2:] for t, x in zip(texts, found, strict=True)]
 
-    def lines(self, words: list[str]) -> list[list[int]]:
+    def lines(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return _cut(self._ids(["\n" + "\n".join(words)])[0][1:], self.newline)
 
 
-def _cut(ids: list[int], newline: int) -> list[list[int]]:
-    at = [k for k, x in enumerate(ids) if x == newline] + [len(ids)]
-    return [ids[s + 1 : e] for s, e in zip(at, at[1:])]
+def _cut(ids: list[int], newline: int) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.array(ids, np.int64)
+    at = np.flatnonzero(flat == newline)
+    return np.delete(flat, at), np.diff(at, append=len(flat)) - 1
+
+
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
 
 
 def pieces_of(path: str) -> _ByteBPE | _Pieces:
@@ -163,46 +170,53 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Align words that the table lacks, all of them in a few calls."""
+        plain, rest = [], [] if self.splits else words
         if self.splits:
-            plain = [w for w in words if _PLAIN.fullmatch(w)]
-            rest = [w for w in words if not _PLAIN.fullmatch(w)]
-        else:
-            plain, rest = [], words
+            for w in words:
+                (plain if _PLAIN.fullmatch(w) else rest).append(w)
         words = plain + rest
-        ids = []
+        sides = []
         for side in (self.a, self.b):
-            found = side.lines(plain) if plain else []
-            if len(found) != len(plain):
-                found = side.encode(plain)
-            ids.append(found + (side.encode(rest) if rest else []))
+            found = side.lines(plain) if plain else _flat([])
+            if len(found[1]) != len(plain):
+                found = _flat(side.encode(plain))
+            other = _flat(side.encode(rest) if rest else [])
+            sides.append(tuple(map(np.concatenate, zip(found, other, strict=True))))
         known = len(self.index)
         self.index |= {w: known + k for k, w in enumerate(words)}
         self.chars += sum(map(len, words))
-        broken = np.zeros(len(words), bool)
-        for k, w in enumerate(words):
-            raw = w.encode()
-            broken[k] = any(b"".join([side.bytes[x] for x in found[k]]) != raw for side, found in zip((self.a, self.b), ids, strict=True))
-        for k in np.flatnonzero(broken):
-            ids[0][k] = ids[1][k] = []
-        counts, groups, start, keys = self._align(*ids)
+        broken = self._broken([w.encode() for w in words], sides)
+        sides = [(ids[~np.repeat(broken, n)], np.where(broken, 0, n)) for ids, n in sides]
+        counts, groups, start, keys = self._align(*sides)
         counts[:, 4] = broken
         self.counts = np.concatenate([self.counts, counts])
         self.groups += groups
         self.start = np.concatenate([self.start, self.start[-1] + start])
         self.keys = np.concatenate([self.keys, keys])
 
-    def _align(self, a: list[list[int]], b: list[list[int]]):
+    def _broken(self, words: list[bytes], sides: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Which words differ from their joined tokens on either side."""
+        size, broken = np.fromiter(map(len, words), np.int64, len(words)), np.zeros(len(words), bool)
+        for side, length, (ids, n) in zip((self.a, self.b), self.lengths, sides, strict=True):
+            joined = [side.bytes[k] for k in ids.tolist()]
+            same = np.bincount(np.repeat(np.arange(len(words)), n), length[ids], len(words)) == size
+            if same.all() and b"".join(joined) == b"".join(words):
+                continue
+            end = np.cumsum(n).tolist()
+            for k, (w, e) in enumerate(zip(words, end, strict=True)):
+                broken[k] |= b"".join(joined[e - n[k] : e]) != w
+        return broken
+
+    def _align(self, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]):
         """Counts, groups as text, and id pairs of links for words whose tokens cover the same bytes on both sides."""
-        n = [np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)]
-        flat = [np.fromiter((k for x in side for k in x), np.int64, int(m.sum())) for side, m in zip((a, b), n, strict=True)]
-        ends = [np.cumsum(size[x]) for size, x in zip(self.lengths, flat, strict=True)]
+        flat, n = [a[0], b[0]], [a[1], b[1]]
+        size = len(n[0])
+        ends = [np.cumsum(length[x]) for length, x in zip(self.lengths, flat, strict=True)]
         cuts, both = np.union1d(*ends), np.intersect1d(*ends, assume_unique=True)
-        word = np.zeros(0, np.int64) if not cuts.size else np.cumsum(np.bincount(np.repeat(np.arange(len(a)), n[0]), self.lengths[0][flat[0]], len(a))).astype(np.int64)
-        counts = np.zeros((len(a), 5), np.int64)
+        word = np.cumsum(np.bincount(np.repeat(np.arange(size), n[0]), self.lengths[0][flat[0]], size)).astype(np.int64)
+        counts = np.zeros((size, 5), np.int64)
         counts[:, 0], counts[:, 1] = n
-        if cuts.size:
-            of = [np.searchsorted(word, x) for x in (both, cuts)]
-            counts[:, 2], counts[:, 3] = (np.bincount(x, minlength=len(a)) for x in of)
+        counts[:, 2], counts[:, 3] = (np.bincount(np.searchsorted(word, x), minlength=size) for x in (both, cuts))
         linked = [x[np.searchsorted(e, cuts)] for x, e in zip(flat, ends, strict=True)]
         group = [np.searchsorted(both, e) for e in ends]
         place = [np.arange(len(flat[0])) + np.searchsorted(group[1], group[0]), np.arange(len(flat[1])) + np.searchsorted(group[0], group[1], "right")]
@@ -212,9 +226,9 @@ class Aligner:
             last[np.searchsorted(ends[side], both)] = True
             text[place[side]] = np.where(last, self.written[side][1][flat[side]], self.written[side][0][flat[side]])
         text, at, groups = text.tolist(), 0, []
-        for size in (n[0] + n[1]).tolist():
-            groups.append("".join(text[at : at + size])[:-1])
-            at += size
+        for k in (n[0] + n[1]).tolist():
+            groups.append("".join(text[at : at + k])[:-1])
+            at += k
         return counts, groups, np.cumsum(counts[:, 3]), self.key(*linked)
 
     def key(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -358,21 +372,12 @@ def _summed(links: DataFrame, cells: int, size: int) -> DataFrame:
 
 
 def _score(n_a: int):
-    """Partial scores of units, from rows sorted by stripe and part, the counts of a stripe before its links."""
-
-    def handed(sums: dict) -> pa.RecordBatch:
-        columns = [[], [], [], []]
-        for batch, values in sums.items():
-            found = np.flatnonzero(values[1])
-            for c, x in zip(columns, (np.full(len(found), batch), found, values[0][found], values[1][found]), strict=True):
-                c.append(x)
-        empty = [np.zeros(0, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c or empty), t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64()), strict=True)], names=["batch", "unit", "n_best", "count_sum"])
+    """The scores of units within one stripe, packed, for each row of links; rows come sorted by stripe and part, a stripe's counts before its links."""
 
     def run(batches):
-        matrix, best, stripe, sums, held = np.zeros(WIDTH * n_a, np.int64), None, None, {}, 0
-        filled = np.zeros(0, np.int64)
+        matrix, best, stripe, filled = np.zeros(WIDTH * n_a, np.int64), None, None, np.zeros(0, np.int64)
         for b in batches:
+            out: list[list] = [[] for _ in range(4)]
             for row in b.to_pylist():
                 keys = _unpack(row["keys"])
                 if row["batch"] is None:
@@ -385,20 +390,29 @@ def _score(n_a: int):
                 top = count == best[keys // n_a]
                 of = np.repeat(np.arange(len(keys)), _unpack(row["width"]))
                 units, links = _unpack(row["units"]), _unpack(row["links"])
-                if row["batch"] not in sums:
-                    sums[row["batch"]] = np.zeros((2, row["n_units"]), np.int64)
-                    held += row["n_units"]
-                values = sums[row["batch"]]
-                np.add.at(values[0], units, links * top[of])
-                np.add.at(values[1], units, links * count[of])
-                if held > UNITS:
-                    yield handed(sums)
-                    sums, held = {}, 0
-        yield handed(sums)
+                sums = np.zeros((2, row["n_units"]), np.int64)
+                np.add.at(sums[0], units, links * top[of])
+                np.add.at(sums[1], units, links * count[of])
+                found = np.flatnonzero(sums[1])
+                for c, x in zip(out, (row["batch"], _pack(found), *(_pack(s[found]) for s in sums)), strict=True):
+                    c.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["batch", "units", "n_best", "count_sum"])
 
     return run
 
 
+def _units(table: pa.Table) -> pa.Table:
+    """(batch, unit, n_best, count_sum): the scores of one block's units added up over the stripes."""
+    rows = [[_unpack(x.as_py()) for x in table.column(c)] for c in ("units", "n_best", "count_sum")]
+    sums = np.zeros((2, max(int(u.max(initial=-1)) for u in rows[0]) + 1), np.int64)
+    for units, best, total in zip(*rows, strict=True):
+        sums[0][units] += best
+        sums[1][units] += total
+    unit = np.flatnonzero(sums[1])
+    batch = np.full(len(unit), table.column("batch")[0].as_py())
+    return pa.table({"batch": pa.array(batch, pa.int64()), "unit": pa.array(unit, pa.int32()), "n_best": sums[0][unit], "count_sum": sums[1][unit]})
+
+
 def _parts(docs: DataFrame, a_path: str, b_path: str, digest: bool) -> tuple[DataFrame, DataFrame, Aligner]:
     """The staged rows of documents and of links, and an aligner for the sizes of the vocabularies."""
     rows = docs.select("doc_id", whole_text("text").alias("text"))
@@ -423,7 +437,8 @@ def alignment(docs: DataFrame, a_path: str, b_path: str, digest: bool = False) -
     dealt = links.join(F.broadcast(parts), "stripe").select("stripe", F.pmod(F.hash("batch"), "parts").alias("part"), "batch", "n_units", "keys", "width", "units", "links")
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(total / PART))
     both = dealt.unionByName(counts, allowMissingColumns=True).repartition(n, "stripe", "part").sortWithinPartitions("stripe", "part", F.col("batch").asc_nulls_first())
-    scores = both.mapInArrow(_score(aligner.n_a), "batch long, unit int, n_best long, count_sum long").groupBy("batch", "unit").agg(F.sum("n_best").alias("n_best"), F.sum("count_sum").alias("count_sum"))
+    packed = both.mapInArrow(_score(aligner.n_a), "batch long, units binary, n_best binary, count_sum binary")
+    scores = packed.groupBy("batch").applyInArrow(_units, "batch long, unit int, n_best long, count_sum long")  # at most one row a stripe
     out = rows.select("batch", "unit", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups").join(scores, ["batch", "unit"], "left")
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_best", "count_sum")]
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", *zero, F.col("groups").alias("groups_sha256" if digest else "groups"))

@@ -70,6 +70,40 @@ def test_both_views_teach_and_no_labelled_content_is_handed_on(spark, words):
     assert train and calibrate and combine and not (train & calibrate or train & combine or calibrate & combine)
 
 
+def test_copies_with_other_metadata_are_one_content(spark, words):
+    """No content lies on two sides or is handed on beside a label, whatever the metadata of its copies."""
+    docs, labels = corpus(spark, words)
+    moved = docs.where("doc_id < 400").withColumns({"doc_id": F.col("doc_id") + 10_000, "source": F.lit("mirror.example"), "lang": F.lit("fr")})
+    more = labels.where("doc_id < 200").withColumn("doc_id", F.col("doc_id") + 10_000)  # half of the copies are labelled too
+    both = docs.unionByName(moved)
+    featured = c.features(both)
+    model = c.CoTraining(featured, labels.unionByName(more), 2000, c.SAMPLE_BYTES, 2, 30)
+    text = {r["doc_id"]: r["text"] for r in both.collect()}
+    sides = [{text[i] for i in side} for side in model.sides]
+    assert sum(map(len, model.sides)) == 950 and not (sides[0] & sides[1] or sides[0] & sides[2] or sides[1] & sides[2])
+    marked = {text[r["doc_id"]] for r in labels.collect()}
+    assert model.offers and not any(text[x[4]] in marked for x in model.offers)
+
+
+def test_accuracy_of_each_view(spark, words):
+    """The combination is no worse than either view on held-out documents, and subtracts none."""
+    docs, labels = corpus(spark, words)
+    kind = {r["doc_id"]: r["kind"] == "good" for r in docs.collect()}
+    model = c.CoTraining(c.features(docs), labels, c.LABELLED, c.SAMPLE_BYTES, c.ROUNDS, 50)
+    found = [r for r in model.scores().collect() if r["doc_id"] >= 750]
+    right = {v: sum((r[v] >= 0.5) == kind[r["doc_id"]] for r in found) / len(found) for v in ("content_score", "meta_score", "score")}
+    assert (model.combination[0] >= 0).all() and right["score"] >= max(right["content_score"], right["meta_score"]) - 0.01 > 0.9
+
+
+def test_a_view_that_would_be_subtracted_is_left_out():
+    rng = np.random.default_rng(3)
+    good = rng.random(500) < 0.5
+    x = np.stack([good * 2.0 - 1 + rng.normal(size=500), -(good * 1.0) + rng.normal(size=500)], axis=1)
+    assert c.platt(x, good)[0][1] < 0
+    weights, shift = c.stack(x, good)
+    assert weights[1] == 0 and np.allclose((weights[0], shift), (c.platt(x[:, :1], good)[0][0], c.platt(x[:, :1], good)[1]))
+
+
 def test_the_sample_is_bounded_in_bytes(spark, words):
     docs, labels = corpus(spark, words, 400)
     size = lambda m: sum(map(len, m.sides))

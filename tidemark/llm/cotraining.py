@@ -11,15 +11,17 @@ that differ significantly between good and bad training documents.
 whose features take at most ``SAMPLE_BYTES``, taken in the order of a hash of
 the id.  Their contents are split by hash: three fifths train, a fifth
 calibrates the views (Platt scaling), a fifth fits the combination of the views,
-so that no row serves two of these ends; copies are on the same side.
+so that no row serves two of these ends.  A content is known by the digest of its
+content view alone: copies are on the same side, whatever their metadata.
 
 *Rounds.*  In each of ``ROUNDS`` rounds both classifiers score all documents.
 Each ranks the distinct contents of the pool by its own score and hands the
 ``pseudo`` highest and the ``pseudo`` lowest to the other as training data, with
 its calibrated probability as the target: a view is never silent, and where it
 isn't sure it says so.  The pool has no content of a labelled document (of any,
-not only of the sample) and none that was handed on to that view before.  Both
-classifiers are then fitted anew.
+not only of the sample) and none that was handed on to that view before.  A
+content's metadata are those of its document of the least id.  Both classifiers
+are then fitted anew.
 
 *Ranking* takes a histogram of the scores in steps of 1/64: all contents above
 the step that completes ``pseudo`` are taken, and of the step itself those whose
@@ -27,7 +29,8 @@ hash falls below the share that is needed.  So ties are broken by hash, nothing
 is sorted, and what reaches the driver is bounded whatever the corpus.
 
 Finally the calibrated log-odds of both views are combined by a logistic
-regression and score all documents.  ``kept`` is false where the probability of
+regression without negative weights (a view that would be subtracted is left
+out) and score all documents.  ``kept`` is false where the probability of
 being good is below ``CUT``.
 
 Feature rows are written once to the shared folder and reread in each round; no
@@ -117,7 +120,7 @@ def _featurise(batches):
             texts = part.column(1).to_pylist()
             meta = [meta_features(s, g, len(t), t.count("\n") + 1) for s, g, t in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), texts, strict=True)]
             rows = [(a.tobytes(), b.tobytes()) for a, b in zip(content, meta, strict=True)]
-            keys = [hashlib.blake2b(a + b, digest_size=16).digest() for a, b in rows]
+            keys = [hashlib.blake2b(a, digest_size=16).digest() for a, _ in rows]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.binary()), *(pa.array([r[v] for r in rows], pa.binary()) for v in (0, 1))], names=["doc_id", "key", "content", "meta"])
 
 
@@ -201,19 +204,38 @@ def platt(x: np.ndarray, good: np.ndarray, steps: int = 100) -> tuple[np.ndarray
     return w[:-1], float(w[-1])
 
 
+def stack(x: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
+    """``platt`` with weights of at least 0: inputs of negative weight are left out, and the others fitted again."""
+    used = np.arange(x.shape[1])
+    while True:
+        w, shift = platt(x[:, used], good)
+        if not len(used) or (w >= 0).all():
+            break
+        used = used[w >= 0]
+    out = np.zeros(x.shape[1])
+    out[used] = w
+    return out, shift
+
+
 def _scored(models):
-    """(key, steps of each view's log-odds) for the distinct contents of a batch."""
+    """(doc_id, key, steps of each view's log-odds) for the distinct contents of a batch, each by its document of the least id."""
 
     def run(batches):
         for batch in batches:
-            first = {k: n for n, k in reversed(list(enumerate(batch.column(0).to_pylist())))}
-            own = batch.take(pa.array(list(first.values()), pa.int64()))
-            steps = [np.floor(STEPS * m.logit(Bags(own.column(v + 1).to_pylist()))).astype(np.int32) for v, m in enumerate(models.value)]
-            yield pa.RecordBatch.from_arrays([own.column(0), *map(pa.array, steps)], names=["key", "view0", "view1"])
+            ids, keys, metas = (batch.column(k).to_pylist() for k in (0, 1, 3))
+            order = sorted(range(len(ids)), key=lambda n: (ids[n] is None, ids[n] if ids[n] is not None else 0, metas[n]), reverse=True)
+            own = batch.take(pa.array(list({keys[n]: n for n in order}.values()), pa.int64()))
+            steps = [np.floor(STEPS * m.logit(Bags(own.column(v + 2).to_pylist()))).astype(np.int32) for v, m in enumerate(models.value)]
+            yield pa.RecordBatch.from_arrays([own.column(0), own.column(1), *map(pa.array, steps), own.column(3)], names=["doc_id", "key", "view0", "view1", "meta"])
 
     return run
 
 
+def _first() -> Column:
+    """By it, the least row stands for a content: that of the least id, null last, ties by the metadata."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "meta")
+
+
 def _final(models):
     def run(batches):
         content, meta, weights, shift = models.value
@@ -248,7 +270,7 @@ class CoTraining:
         for n in range(rounds):
             self._exchange(pool, pseudo, n)
             self.models = self._fitted()
-        self.combination = platt(np.stack([m.logit(bags(v, sides[2])) for v, m in enumerate(self.models)], axis=1), good[sides[2]])
+        self.combination = stack(np.stack([m.logit(bags(v, sides[2])) for v, m in enumerate(self.models)], axis=1), good[sides[2]])
 
     def _sample(self, truth: DataFrame, labelled: int, sample_bytes: int) -> list:
         """Labelled rows, one for each id, of bounded number and size; by hash of the id."""
@@ -264,8 +286,8 @@ class CoTraining:
         if last is None:
             return []
         kept = one.where(F.col("place") <= last)
-        found = self.featured.join(F.broadcast(kept.select("doc_id", "key", "good")), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
-        return found.orderBy("doc_id").collect()
+        found = self.featured.join(F.broadcast(kept.select("doc_id", "key", "good")), ["doc_id", "key"]).groupBy("doc_id", "key", "good").agg(F.min(F.struct("meta", "content")).alias("x"))
+        return found.select("doc_id", "key", "good", "x.content", "x.meta").orderBy("doc_id").collect()
 
     def _fitted(self) -> list[Logistic]:
         held, good = self._calibration
@@ -279,8 +301,10 @@ class CoTraining:
 
     def _exchange(self, pool: DataFrame, pseudo: int, number: int) -> None:
         sent = self.spark.sparkContext.broadcast(tuple(self.models))
-        steps = self.featured.select("key", "content", "meta").mapInArrow(_scored(sent), "key binary, view0 int, view1 int")
-        scored = staged(steps.groupBy("key").agg(F.max("view0").alias("view0"), F.max("view1").alias("view1")).join(pool, "key"), "cotraining-scores")
+        kind = dict(self.featured.dtypes)["doc_id"]
+        steps = self.featured.select("doc_id", "key", "content", "meta").mapInArrow(_scored(sent), f"doc_id {kind}, key binary, view0 int, view1 int, meta binary")
+        first = steps.groupBy("key").agg(F.min_by(F.struct("view0", "view1"), _first()).alias("x")).select("key", "x.view0", "x.view1")
+        scored = staged(first.join(pool, "key"), "cotraining-scores")
         chosen = []
         for view in (0, 1):
             taught = self.spark.createDataFrame([(x[3],) for x in self.offers if x[1] == view], "key binary")  # bounded: all that was handed on
@@ -292,7 +316,8 @@ class CoTraining:
         handed = sorted(((r["view"], r["good"], bytes(r["key"]), r["doc_id"]) for r in union.collect()), key=lambda x: x[:3])
         handed = list({(x[0], x[2]): x for x in handed}.values())  # a pool smaller than both ends hands a content on once
         rows = self.spark.createDataFrame([(k,) for k in {x[2] for x in handed}], "key binary")
-        found = {bytes(r["key"]): r for r in self.featured.join(F.broadcast(rows), "key").dropDuplicates(["key"]).select("key", "content", "meta").collect()}
+        one = self.featured.join(F.broadcast(rows), "key").groupBy("key").agg(F.min_by(F.struct("content", "meta"), _first()).alias("x"))
+        found = {bytes(r["key"]): r for r in one.select("key", "x.content", "x.meta").collect()}
         for view, model in enumerate(self.models):
             own = [x for x in handed if x[0] == view]
             lesson = [found[x[2]] for x in own]

@@ -13,7 +13,9 @@ merged with what is stored, written, counted, and only then the new cursors.
 - The result counts inserted and updated rows apart.
 
 A run reads and writes only the store's buckets that its batch touches: those of
-the members that it has rows of, or that are said to be corrupt.
+the members that it has rows of, or that are said to be corrupt.  The batch is
+written to the shared folder first, so that its source is read once, and the
+merge says of each row whether it is new, so that nothing is read again to count.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from tidemark.operators.cursor import KEYS, after_cursor, clamp, earliest_failed
 from tidemark.operators.dedup import last_wins, upsert
 from tidemark.operators.filters import normalize, not_empty, split_rejects
 from tidemark.operators.order import reading_order
-from tidemark.sinks.store import Store, bucket
+from tidemark.sinks.shared import new_folder
+from tidemark.sinks.store import Store, bucket_name
 from tidemark.sources import schemas
 
 MEDIA = tuple(f.name for f in schemas.MEDIA.fields)
@@ -47,6 +50,18 @@ def _keys(store: Store, rows: DataFrame | None) -> DataFrame:
     return rows.select(*KEYS).distinct() if rows is not None else store.spark.createDataFrame([], "group_id long, member_id long")
 
 
+IDENTITY = ["group_id", "member_id", "id"]
+
+
+def _counted(stored: DataFrame, new: DataFrame, landed: DataFrame) -> DataFrame:
+    """The merge of stored and new rows, with the flags ``__inserted`` and ``__updated`` (landed, and stored before)."""
+    marks = landed.where("id is not null").select(*IDENTITY).distinct().withColumns({"__rank": F.lit(0), "__landed": F.lit(True)})
+    known = stored.withColumns({"__rank": F.lit(1), "__had": F.lit(True), "__whole": F.lit(True)}).unionByName(marks, allowMissingColumns=True)
+    merged = upsert(known, new.withColumns({"__rank": F.lit(2), "__whole": F.lit(True)}), IDENTITY, keep=(*MEDIA, "__had", "__landed"), order=["__rank"])
+    flags = {"__inserted": F.col("__had").isNull(), "__updated": F.col("__had").isNotNull() & F.col("__landed").isNotNull()}
+    return merged.where("__whole").withColumns(flags).drop("__rank", "__had", "__landed", "__whole")
+
+
 def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None, touched: set[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(merged messages, rejects, keys that need a full fetch) for ``landed`` raw messages with group_id, page and pos, over the buckets ``touched``."""
     stored, state = store.messages(touched), _within(store.state(), touched)
@@ -58,16 +73,15 @@ def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None, touc
     unique = last_wins(kept, ["group_id", "member_id", "id"], reading_order()).drop("page", "pos")
     sized = unique.withColumn("media_file", F.when(F.col("media_url").isNotNull(), S.media_path(F.lit(""), "raw_type", "id", S.media_extension("media_url", "raw_type"))))
     new = sized.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schemas.MEDIA.fields if f.name != "media_file"})
-    return upsert(stored, new, ["group_id", "member_id", "id"], keep=MEDIA), rejects, refetch
+    return _counted(stored, new, landed), rejects, refetch
 
 
 def _within(rows: DataFrame, touched: set[str] | None, inside: bool = True) -> DataFrame:
     """Rows of members in the buckets, or those of all others."""
     if touched is None:
         return rows if inside else rows.limit(0)
-    name = F.concat(F.lit("group="), F.col("group_id").cast("string"), F.lit("/bucket="), bucket().cast("string"))
     names = rows.sparkSession.createDataFrame([(x,) for x in sorted(touched)], "name string")
-    return rows.join(F.broadcast(names), name == F.col("name"), "left_semi" if inside else "left_anti")
+    return rows.join(F.broadcast(names), bucket_name() == F.col("name"), "left_semi" if inside else "left_anti")
 
 
 def new_state(messages: DataFrame, rejects: DataFrame, now: Column) -> DataFrame:
@@ -78,21 +92,27 @@ def new_state(messages: DataFrame, rejects: DataFrame, now: Column) -> DataFrame
     return clamped.select(*KEYS, "last_message_id", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("last_sync_ts"), "total_messages", S.export_clock(now).alias("last_sync"))
 
 
-def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None) -> Outcome:
-    """One run over ``landed``; the store's version changes only if everything was written."""
-    named = landed.select(*KEYS).unionByName(_keys(store, corrupt))
-    touched = store.touched(named)
-    before = store.messages(touched)
-    merged, rejects, refetch = plan(store, landed, corrupt, touched)
-    version = store.stage(merged)
+def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None, verify: bool = False) -> Outcome:
+    """One run over ``landed``; the store's version changes only if everything was written.
+
+    With ``verify`` the touched buckets are held against the manifest's sums first
+    (T6): the members of one that differs are corrupt.
+    """
+    path = new_folder(store.spark, "sync-batch")
+    landed.write.parquet(path)
+    batch = store.spark.read.schema(landed.schema).parquet(path)
+    named = batch.select(*KEYS).unionByName(_keys(store, corrupt))
+    expected = store.expected(named)
+    touched = set(expected)
+    if verify:
+        damaged = store.altered(touched)
+        corrupt = _keys(store, corrupt).unionByName(_within(store.state(), damaged).select(*KEYS)).distinct() if damaged else corrupt
+    merged, rejects, refetch = plan(store, batch, corrupt, touched)
+    version = store.stage(merged, expected)
     written = store.staged(version)
     held = _keys(store, incomplete)
     state = new_state(written, rejects, now if now is not None else F.current_timestamp()).join(refetch, KEYS, "left_anti").join(held, KEYS, "left_anti")
     known = store.state()
     old = _within(known, touched).join(held, KEYS, "left_semi").join(refetch, KEYS, "left_anti").unionByName(_within(known, touched, False))
-    identity = ["group_id", "member_id", "id"]
-    inserted = written.join(before.select(*identity), identity, "left_anti").count()
-    landed_ids = landed.where("id is not null").select(*identity).distinct()
-    updated = landed_ids.join(before.select(*identity), identity, "left_semi").count()
     store.commit(version, state.unionByName(old), touched)
-    return Outcome(version, inserted, updated, rejects, refetch)
+    return Outcome(version, *store.counted(version), rejects, refetch)

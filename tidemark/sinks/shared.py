@@ -27,8 +27,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidemark-landed/{name}-{uuid.uuid4().hex}"
 
 
-def land(pages: DataFrame, name: str, *folders: str) -> str:
-    """Write (page, value) as one text file a page, below ``folders`` (columns) and ``page=<page>``; the path."""
-    path = new_folder(pages.sparkSession, name)
-    pages.select(*folders, "page", "value").repartition("page").write.partitionBy(*folders, "page").text(path)
+def land(pages: DataFrame, name: str, *folders: str, path: str | None = None) -> str:
+    """Write (page, value) as one text file a page, below ``folders`` (columns) and ``page=<page>``, into a new folder or beside what ``path`` has; the path."""
+    path = path or new_folder(pages.sparkSession, name)
+    pages.select(*folders, "page", "value").repartition("page").write.mode("append").partitionBy(*folders, "page").text(path)
     return path

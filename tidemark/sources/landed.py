@@ -2,7 +2,8 @@
 
 A response is one JSON file: an envelope whose key holds a list, a bare list, or
 one object.  Items are kept as their JSON text in ``raw`` beside the declared
-fields, so no field is lost and nothing is inferred.  Files that are no JSON, or
+fields, so no field is lost and nothing is inferred; ``variants`` gives items as
+VARIANT instead.  Files that are no JSON, or
 lack the envelope, give no rows; ``corrupt`` lists the former.  Rows carry
 (page, pos); pages are read in the order of the numbers in their names
 (``reading_order``).
@@ -20,7 +21,7 @@ from tidemark.operators.order import reading_order
 from tidemark.sources import schemas
 
 
-def _files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
     parsed = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
@@ -32,7 +33,7 @@ def corrupt(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, path, T.StructType([T.StructField("none", T.StringType())])).where("_corrupt is not null").select("page").distinct()
 
 
-def items(spark: SparkSession, path: str, key: str, item: T.StructType) -> DataFrame:
+def items(spark: SparkSession, path: str | list[str], key: str, item: T.StructType) -> DataFrame:
     """The items of the envelope ``key``, one row each: fields of ``item``, raw, page, pos."""
     envelope = T.StructType([T.StructField(key, T.ArrayType(T.StringType()))])
     rows = _files(spark, path, envelope).select("page", F.posexplode(key).alias("pos", "raw"))
@@ -53,6 +54,16 @@ def _parsed(rows: DataFrame, item: T.StructType) -> DataFrame:
     return rows.withColumn("item", F.from_json("raw", item)).select("item.*", "raw", "page", "pos")
 
 
+def variants(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(item, page, pos): the items of an envelope as VARIANT.
+
+    Every field keeps the type that the response gave it, also those no schema
+    names, and one that is missing differs from one that is null
+    (``try_variant_get`` gives null for the former, a variant null for the latter).
+    """
+    return items(spark, path, key, schemas.EMPTY).select(F.try_parse_json("raw").alias("item"), "page", "pos")
+
+
 def timeline(spark: SparkSession, path: str) -> DataFrame:
     """All messages of a folder of page files, each id once, the page read last winning."""
     rows = items(spark, path, "messages", schemas.MESSAGE)
@@ -113,8 +124,8 @@ def products(spark: SparkSession, path: str, product_type: str | None = None) ->
 
 
 def single(spark: SparkSession, path: str) -> DataFrame:
-    """Profile, account, member or subscription streak: no row or one."""
-    return bare_list(spark, path, schemas.EMPTY).limit(1)
+    """Profile, account, member or subscription streak: no row or one, the first in page order."""
+    return bare_list(spark, path, schemas.EMPTY).orderBy(*reading_order()).limit(1)
 
 
 def documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -126,3 +126,32 @@ def test_state_join_is_broadcast(spark):
     plan = cursor.after_cursor(m, spark.table("state_table"))._jdf.queryExecution().executedPlan().toString()
     spark.sql("drop table state_table")
     assert "BroadcastHashJoin" in plan
+
+
+def test_page_progress_by_number(spark):
+    """Pages count in the order of their numbers, over ranges of several tasks."""
+    from tidemark.operators.stats import page_progress
+
+    rows = [(p * 10 + k, f"scan/page-{p}.json", k, f"2026-01-{30 - p:02d}") for p in range(1, 13) for k in range(3)]
+    rows += [(p * 10, f"scan/page-{p + 1}.json", 9, "2025") for p in range(1, 12)]  # comes again on the next page
+    df = spark.createDataFrame(rows, "id long, page string, pos int, timestamp string")
+    for n in ("1", "5"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            found = page_progress(df)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            got = {r["page"]: (r["seen"], r["oldest"]) for r in found.collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+        assert got == {f"scan/page-{p}.json": (3 * p, "2025" if p > 1 else "2026-01-29") for p in range(1, 13)}
+        assert "Window [" in plan and "SinglePartition" not in plan.split("Subquery")[0].split("Window [")[1]
+    assert page_progress(df.limit(0)).count() == 0
+
+
+def test_a_missing_flag_is_false_and_a_null_one_is_null(spark):
+    from tidemark.operators.filters import normalize
+
+    raw = ['{"id":1}', '{"id":2,"is_favorite":null}', '{"id":3,"is_favorite":true}', '{"id":4,"is_favorite":false}', '{"id":5,"is_favorite":"odd"}', "no json"]
+    df = spark.createDataFrame([(k, None, "text", "t", None, None, None, x) for k, x in enumerate(raw)], "id long, published_at string, type string, text string, is_favorite boolean, file string, thumbnail string, raw string")
+    assert [r["is_favorite"] for r in normalize(df).orderBy("id").collect()] == [False, None, True, False, None, False]
+    assert [r["is_favorite"] for r in normalize(df.drop("raw")).collect()] == [False] * 6

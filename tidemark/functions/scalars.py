@@ -178,6 +178,12 @@ def favorite(flag: Column | str) -> Column:
     return F.coalesce(_col(flag), F.lit(False))
 
 
+def favorite_in(message: Column | str) -> Column:
+    """F18 on a message as VARIANT: a missing flag is false, one that is null stays null, and so does what is no flag."""
+    flag = F.try_variant_get(_col(message), "$.is_favorite", "variant")
+    return F.when(flag.isNull(), F.lit(False)).otherwise(F.try_variant_get(_col(message), "$.is_favorite", "boolean"))
+
+
 def image_sources(html: Column | str, base: str) -> Column:
     """H7: all image sources of a fragment in order, empty ones skipped, repeats kept."""
     found = F.regexp_extract_all(F.coalesce(_col(html), F.lit("")), F.lit(r"""(?i)<img\b[^>]*?\ssrc\s*=\s*["']([^"']+)["']"""), F.lit(1))

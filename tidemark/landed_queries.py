@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import struct
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions import scalars as S
 from tidemark.operators import filters, stats
 from tidemark.plans import blogs as archive
 from tidemark.plans.sync import sync
@@ -20,8 +21,9 @@ from tidemark.queries import _RAW, _SUBSCRIPTION, _TYPE, _groups, _messages, _sq
 from tidemark.sinks import export
 from tidemark.sinks.shared import land, new_folder
 from tidemark.sinks.store import Store
-from tidemark.sources import html, jsonp, landed, media, schemas
-from tidemark.streaming.sync_stream import start
+from tidemark.sources import files, html, jsonp, landed, media, scan, schemas
+from tidemark.streaming import member_state
+from tidemark.streaming.sync_stream import page_stream, start
 
 BASE = "https://x.example"
 _BROKEN = "{not json"
@@ -256,7 +258,7 @@ def jsonp_site(spark, sf_dir):
     member = F.struct(key.alias("code"), "name", F.when(F.col("id") % 4 == 0, "YES").otherwise("NO").alias("graduation"), _text("/", key, ".jpg").alias("img"))
     people = _suppliers(spark, sf_dir).groupBy(F.floor(F.col("id") / 40).alias("page")).agg(_list(member).alias("items"))
     title = F.when(F.col("copy") == 1, F.col("title")).otherwise("again")
-    post = F.struct(key.alias("code"), title.alias("title"), _text('<img src="/', key, '.png"> ', F.col("name")).alias("text"), F.lit("2026/01/08 20:17:04").alias("date"), F.lit("l").alias("link"), F.col("name"), F.lit("m").alias("arti_code"), _text("/", key, ".jpg").alias("img"))
+    post = F.struct(key.alias("code"), title.alias("title"), _text('<img src="/', key, '.png"> ', F.col("name")).alias("text"), F.lit("2025/11/03 21:09:45").alias("date"), F.lit("l").alias("link"), F.col("name"), F.lit("m").alias("arti_code"), _text("/", key, ".jpg").alias("img"))
     posts = _twice(_posts(spark, sf_dir), 100).groupBy("page").agg(_list(post).alias("items"))
     members = jsonp.members(jsonp.responses(spark, land(_with_broken(_calls(people), "no call"), "jsonp-members")), BASE)
     rows = jsonp.responses(spark, land(_with_broken(_calls(posts), "res({);"), "jsonp-posts"))
@@ -341,33 +343,39 @@ def _movie(width: int, height: int, millis: int, sound: bool) -> bytes:
     shown = box(b"trak", box(b"tkhd", b"\0" * 76 + struct.pack(">II", width << 16, height << 16)), box(b"mdia", box(b"hdlr", b"\0" * 8 + b"vide")))
     heard = box(b"trak", box(b"mdia", box(b"hdlr", b"\0" * 8 + b"soun")))
     head = box(b"mvhd", b"\0" * 12 + struct.pack(">II", 1000, millis) + b"\0" * 80)
-    return box(b"ftyp", b"isom") + box(b"mdat", b"\0" * 99) + box(b"moov", head, shown, *([heard] if sound else []))
+    return box(b"ftyp", b"isom") + box(b"mdat", b"\0" * 200_000) + box(b"moov", head, shown, *([heard] if sound else []))
 
 
 @query("""
-SELECT 'n' || n_nationkey || '.png' AS name, n_nationkey + 1 AS width, 2 * n_nationkey + 1 AS height, NULL AS media_duration, NULL AS is_muted FROM nation
-UNION ALL SELECT 'n' || n_nationkey || '.mp4', n_nationkey + 2, n_nationkey + 3, n_nationkey + 0.5, n_nationkey % 2 = 0 FROM nation
+SELECT 's' || s_suppkey || '.png' AS name, s_suppkey + 1 AS width, 2 * s_suppkey + 1 AS height, NULL AS media_duration, NULL AS is_muted, true AS by_ranges FROM supplier
+UNION ALL SELECT 's' || s_suppkey || '.mp4', s_suppkey + 2, s_suppkey + 3, s_suppkey + 0.5, s_suppkey % 2 = 0, true FROM supplier
 """)
 def media_files(spark, sf_dir):
-    """Sizes, duration and sound of a picture and a video for each nation."""
-    path, store = new_folder(spark, "media"), Store(spark, new_folder(spark, "media"))
-    for r in _table(spark, sf_dir, "nation").collect():  # always 25 rows
-        k = r["n_nationkey"]
-        png = b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + struct.pack(">II", k + 1, 2 * k + 1) + b"\x08\x02\0\0\0"
-        for name, data in ((f"n{k}.png", png), (f"n{k}.mp4", _movie(k + 2, k + 3, 1000 * k + 500, k % 2 == 1))):
-            stream = store._fs.create(store._path(f"{path}/{name}"), True)
-            stream.write(data)
-            stream.close()
-    return media.probe(spark, path).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("width").cast("long"), F.col("height").cast("long"), "media_duration", "is_muted")
+    """Sizes, duration and sound of a picture and a video for each supplier, written by executors; of a video's 200 kB the reader takes a few windows."""
+    path = new_folder(spark, "media")
+
+    def write(batches):
+        for batch in batches:
+            for k in batch.column(0).to_pylist():
+                png = b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR" + struct.pack(">II", k + 1, 2 * k + 1) + b"\x08\x02\0\0\0"
+                for name, data in ((f"s{k}.png", png), (f"s{k}.mp4", _movie(k + 2, k + 3, 1000 * k + 500, k % 2 == 1))):
+                    files.write_bytes(f"{path}/{k % 16}/{name}", data)
+            yield batch
+
+    keys = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("long").alias("key"))
+    keys.mapInArrow(write, "key long").write.format("noop").mode("overwrite").save()
+    name = F.regexp_extract("path", r"([^/]+)$", 1).alias("name")
+    ranges = media.headers(spark, path).select("path", (F.col("bytes_read") <= 8 * media.WINDOW).alias("by_ranges"))
+    return media.probe(spark, path).join(ranges, "path").select(name, F.col("width").cast("long"), F.col("height").cast("long"), "media_duration", "is_muted", "by_ranges")
 
 
 @query(f"""
 WITH pages AS (SELECT event_id // 500 AS page, event_id, ts FROM events UNION ALL SELECT event_id // 500 + 1, event_id, ts FROM events),
 firsts AS (SELECT event_id, min(page) AS page FROM pages GROUP BY event_id), fresh AS (SELECT page, count(*) AS n FROM firsts GROUP BY page)
-SELECT p.page, CAST((SELECT sum(n) FROM fresh AS f WHERE f.page <= p.page) AS BIGINT) AS seen, {_sql_ts('arg_max(ts, event_id)')} AS oldest FROM pages AS p GROUP BY p.page""")
+SELECT 'scan/page-' || p.page || '.json' AS page, CAST((SELECT sum(n) FROM fresh AS f WHERE f.page <= p.page) AS BIGINT) AS seen, {_sql_ts('arg_max(ts, event_id)')} AS oldest FROM pages AS p GROUP BY p.page""")
 def page_progress(spark, sf_dir):
-    """Distinct messages so far and the last instant of every page."""
-    rows = _twice(_messages(spark, sf_dir).select("id", "published_at"), 500).withColumn("pos", F.col("id"))
+    """Distinct messages so far and the last instant of every page, pages named by paths as readers name them."""
+    rows = _twice(_messages(spark, sf_dir).select("id", "published_at"), 500).withColumn("pos", F.col("id")).withColumn("page", _text("scan/page-", F.col("page"), ".json"))
     return stats.page_progress(rows, ts="published_at").withColumn("oldest", _ts("oldest"))
 
 
@@ -387,3 +395,116 @@ def media_outstanding(spark, sf_dir):
     stored = filters.normalize(_messages(spark, sf_dir)).withColumn("group_id", F.lit(1).cast("long"))
     there = _messages(spark, sf_dir).where("type = 'image' and id % 2 = 0").select(_text("m/", F.col("member_id"), "/picture/", F.col("id"), ".png").alias("path"))
     return media_queue(stored, there, _text("m/", F.col("member_id"))).select("id", "raw_type", "path")
+
+
+@query(f"""
+WITH cursors AS (SELECT user_id, CASE WHEN user_id % 4 = 0 THEN min(ts) ELSE max(ts) END AS cursor FROM events WHERE event_id % 3 > 0 GROUP BY user_id)
+SELECT e.user_id AS member_id, max(event_id) AS last_message_id, count(*) AS total_messages, {_sql_ts('max(ts)')} AS newest, true AS released
+FROM events AS e LEFT JOIN cursors AS c ON c.user_id = e.user_id WHERE event_id % 3 > 0 OR c.cursor IS NULL OR ts >= c.cursor GROUP BY e.user_id""")
+def member_states(spark, sf_dir):
+    """T2-T4, T7 as keyed streaming state: a first run with a reject for every fourth member, which holds its cursor; a second that mends it and releases the cursor."""
+    rows = _raw_messages(spark, sf_dir).drop("page", "pos")
+    first = rows.where("id % 3 > 0")
+    oldest = first.where("member_id % 4 = 0").groupBy("group_id", "member_id").agg(F.min(F.struct(F.try_to_timestamp("published_at"), "published_at")).alias("x"))
+    poison = oldest.select("group_id", "member_id", F.col("x.published_at").alias("published_at"))
+    item = F.struct("id", "member_id", "published_at", "type", "text", "file", "thumbnail")
+    path, store, checkpoint = new_folder(spark, "states"), new_folder(spark, "states"), new_folder(spark, "checkpoint")
+    for n, run in enumerate((first.unionByName(poison, allowMissingColumns=True), rows)):
+        placed = _twice(run.where("id is not null"), 500).unionByName(run.where("id is null").withColumn("page", F.lit(0)), allowMissingColumns=True)
+        pages = _envelopes(placed.select((F.col("page") + n * 10_000_000).cast("long").alias("page"), item.alias("item")), "messages")
+        land(pages.withColumn("group", F.lit(1)), "states", "group", path=path)
+        member_state.start(page_stream(spark, path, 1_000_000), store, checkpoint).awaitTermination()
+    found = member_state.state(spark, store)
+    there = member_state.messages(spark, store).groupBy("member_id").agg(F.count("*").alias("stored"))
+    shown = found.join(there, "member_id").where("stored = total_messages")
+    return shown.select("member_id", "last_message_id", "total_messages", _ts(F.col("newest")).alias("newest"), F.expr("held is null and cursor = newest").alias("released"))
+
+
+_SCANNED = """
+WITH r AS (
+  SELECT user_id % 5 AS g, event_id, ts, row_number() OVER (PARTITION BY user_id % 5 ORDER BY ts DESC, event_id DESC) - 1 AS rn, count(*) OVER (PARTITION BY user_id % 5) AS n FROM events
+), c AS (SELECT g, ts AS cursor FROM r WHERE rn = n // 2), p AS (SELECT g, rn // 200 AS page, min(ts) AS oldest FROM r GROUP BY ALL),
+stop AS (SELECT p.g, min(page) AS stop FROM p JOIN c USING (g) WHERE oldest <= cursor GROUP BY p.g)
+"""
+
+
+def _timeline(spark, sf_dir) -> tuple[str, dict[int, str]]:
+    """Five timelines, newest page first, with their zone map, and a cursor in the middle of each."""
+    rows = _raw_messages(spark, sf_dir).drop("page", "pos").withColumn("group_id", (F.col("member_id") % 5).cast("long"))
+    newest = Window.partitionBy("group_id").orderBy(F.desc("published_at"), F.desc("id"))
+    ranked = rows.withColumns({"rn": F.row_number().over(newest) - 1, "n": F.count("*").over(Window.partitionBy("group_id"))}).withColumn("page", F.floor(F.col("rn") / 200))
+    item = F.struct("rn", F.struct("id", "member_id", "published_at", "type", "text").alias("m"))
+    pages = ranked.groupBy(F.col("group_id").alias("group"), "page").agg(F.to_json(F.struct(F.transform(_list(item), lambda x: x["m"]).alias("messages"))).alias("value"))
+    path = land(pages, "timeline", "group")
+    scan.write_zones(ranked, path)
+    cursors = {r["group_id"]: r["published_at"] for r in ranked.where("rn = floor(n / 2)").select("group_id", "published_at").collect()}  # always five
+    return path, cursors
+
+
+@query(_SCANNED + "SELECT g AS group_id, count(*) FILTER (ts >= cursor) AS messages, max(stop) + 1 AS pages, 1 AS times FROM r JOIN c USING (g) JOIN stop USING (g) GROUP BY g")
+def timeline_scan(spark, sf_dir):
+    """Timelines read page by page until their cursors by a source with offsets of its own; stopped after the first batch and taken up again, no page is read twice."""
+    path, cursors = _timeline(spark, sf_dir)
+    out, checkpoint, position = new_folder(spark, "scan"), new_folder(spark, "checkpoint"), f"{new_folder(spark, 'scan')}/position"
+    per_batch = max(1, _table(spark, sf_dir, "events").count() // 8000)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    def begin(**trigger):
+        rows = scan.stream(spark, path, position, cursors, per_batch)
+        return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+    begin(availableNow=True).awaitTermination()
+    rest = begin(processingTime="0 seconds")
+    rest.processAllAvailable()
+    rest.stop()
+    rows = spark.read.parquet(out).withColumn("at", F.try_to_timestamp("published_at"))
+    known = spark.createDataFrame(list(cursors.items()), "group_id long, cursor string").withColumn("cursor", F.try_to_timestamp("cursor"))
+    times = rows.groupBy("group_id", "page", "pos").agg(F.count("*").alias("times"), F.first("at").alias("at")).join(F.broadcast(known), "group_id")
+    return times.groupBy("group_id").agg(F.count_if(F.col("at") >= F.col("cursor")).alias("messages"), F.countDistinct("page").alias("pages"), F.max("times").cast("int").alias("times"))
+
+
+@query(_SCANNED + """
+SELECT 'until' AS kind, g AS group_id, count(DISTINCT rn // 200) AS pages, count(*) AS messages FROM r JOIN stop USING (g) WHERE rn // 200 <= stop GROUP BY g
+UNION ALL SELECT 'capped', g, count(DISTINCT rn // 200), count(*) FROM r JOIN stop USING (g) WHERE rn // 200 <= stop AND rn // 200 < 3 GROUP BY g""")
+def zone_map(spark, sf_dir):
+    """The zone map decides which pages are opened: those up to the cursor, and at most three of them."""
+    path, cursors = _timeline(spark, sf_dir)
+    known = spark.createDataFrame(list(cursors.items()), "group_id long, cursor string").withColumn("cursor", F.try_to_timestamp("cursor"))
+    zones, out = scan.zones(spark, path).join(F.broadcast(known), "group_id"), None
+    for kind, cap in (("until", None), ("capped", 3)):
+        wanted = scan.pages_until(zones, ["group_id"], F.col("oldest") <= F.col("cursor"), cap)
+        part = scan.read_pages(spark, path, wanted).groupBy("group_id").agg(F.countDistinct("page").alias("pages"), F.count("*").alias("messages")).select(F.lit(kind).alias("kind"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("SELECT event_id AS id, CASE event_id % 3 WHEN 0 THEN false WHEN 2 THEN value > 10 END AS is_favorite, event_id % 3 = 1 AS said_null, user_id AS extra FROM events")
+def favorite_flags(spark, sf_dir):
+    """A flag that is missing is false, one that is null stays null; a field that no schema names keeps its type in VARIANT."""
+    key = F.col("event_id")
+    flag = F.when(key % 3 == 0, "").when(key % 3 == 1, ',"is_favorite":null').otherwise(F.concat(F.lit(',"is_favorite":'), (F.col("value") > 10).cast("string")))
+    item = F.concat(F.lit('{"id":'), key.cast("string"), flag, F.lit(',"extra":{"member":'), F.col("user_id").cast("string"), F.lit("}}"))
+    pages = _table(spark, sf_dir, "events").groupBy(F.floor(key / 500).alias("page")).agg(F.concat(F.lit('{"messages":['), F.array_join(F.collect_list(item), ","), F.lit("]}")).alias("value"))
+    path = land(pages, "favorites")
+    rows = filters.normalize(landed.past_messages(spark, path)).select("id", "is_favorite")
+    get = lambda place, kind: F.try_variant_get("item", place, kind)
+    raw = landed.variants(spark, path, "messages").select(get("$.id", "long").alias("id"), F.is_variant_null(get("$.is_favorite", "variant")).alias("said_null"), get("$.extra.member", "long").alias("extra"))
+    return rows.join(raw, "id").select("id", "is_favorite", F.coalesce("said_null", F.lit(False)).alias("said_null"), "extra")
+
+
+@query("SELECT site, CAST(p_partkey AS VARCHAR) AS id FROM part, (VALUES ('A'), ('C')) AS s(site) WHERE p_partkey // 100 < 12")
+def page_cap(spark, sf_dir):
+    """O3, O1: the posts of the first twelve list pages, in the order of their numbers."""
+    out = None
+    for name, item in (("A", _A_ITEM), ("C", _C_ITEM)):
+        part = html.blog_list(_lists(spark, sf_dir, item, f"cap-{name}"), html.site(name, BASE), max_pages=12).select(F.lit(name).alias("site"), "id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("SELECT event_id AS id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS exported_at FROM events")
+def export_clock(spark, sf_dir):
+    """instants as the export writes them."""
+    return _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), S.export_clock(F.col("ts").cast("timestamp")).alias("exported_at"))

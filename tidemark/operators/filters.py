@@ -51,7 +51,10 @@ def filled(*columns: Column) -> Column:
 
 
 def normalize(messages: DataFrame) -> DataFrame:
-    """P10: raw messages as stored ones; rows without id keep a null id for ``split_rejects``."""
+    """P10: raw messages as stored ones; rows without id keep a null id for ``split_rejects``.
+
+    Where the message's JSON text is there (``raw``), a missing flag and one that is null are told apart (F18).
+    """
     media = S.first_filled("file", "thumbnail")
     passed = [c for c in ("group_id", "member_id", "page", "pos") if c in messages.columns]
     return messages.select(
@@ -59,7 +62,7 @@ def normalize(messages: DataFrame) -> DataFrame:
         "id",
         F.col("published_at").alias("timestamp"),
         S.message_type("type").alias("type"),
-        S.favorite("is_favorite").alias("is_favorite"),
+        (S.favorite_in(F.try_parse_json("raw")) if "raw" in messages.columns else S.favorite("is_favorite")).alias("is_favorite"),
         F.col("text").alias("content"),
         F.col("type").alias("raw_type"),
         media.alias("media_url"),

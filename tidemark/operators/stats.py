@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.order import reading_order
+from tidemark.sinks.shared import new_folder
+
 # The counted types, in the order of the stored document.
 COUNTED = ("text", "video", "picture", "voice")
 
@@ -29,12 +32,24 @@ def observed(messages: DataFrame, name: str, ok: Column | None = None) -> tuple[
 def page_progress(messages: DataFrame, page: str = "page", message_id: str = "id", ts: str = "timestamp", pos: str = "pos") -> DataFrame:
     """(page, seen, oldest): how many messages were met by the end of each page, and the instant of its last one.
 
-    Messages are combined to one row a page first; only those rows are summed in order.
+    Messages are combined to one row a page first.  Pages count in the order of
+    the numbers in their names.  Their sums are added up in two steps: within
+    ranges of pages, each in a task of its own, and over the totals of the ranges,
+    of which there are as many as shuffle partitions.  The ranges are written to
+    the shared folder, so that a repeated task finds the same ones.
     """
-    fresh = messages.groupBy(message_id).agg(F.min(page).alias(page)).groupBy(page).agg(F.count("*").alias("new"))
-    last = messages.groupBy(page).agg(F.max_by(ts, pos).alias("oldest"))
-    so_far = F.sum(F.coalesce("new", F.lit(0))).over(Window.orderBy(page).rowsBetween(Window.unboundedPreceding, 0))
-    return last.join(fresh, page, "left").select(page, so_far.alias("seen"), "oldest")
+    place = F.struct(*reading_order(page, page)[:2])
+    first = messages.groupBy(message_id).agg(F.min(place).alias("__first")).groupBy(F.col(f"__first.{page}").alias(page)).agg(F.count("*").alias("new"))
+    pages = messages.groupBy(page).agg(F.max_by(ts, pos).alias("oldest")).join(first, page, "left").withColumn("new", F.coalesce("new", F.lit(0)))
+    order = [c.alias(n) for c, n in zip(reading_order(page, page)[:2], ("__number", "__name"), strict=True)]
+    ranged = pages.select("*", *order).repartitionByRange("__number", "__name").withColumn("__range", F.spark_partition_id())
+    path = new_folder(messages.sparkSession, "page-progress")
+    ranged.write.parquet(path)
+    ranged = messages.sparkSession.read.schema(ranged.schema).parquet(path)
+    totals = ranged.groupBy("__range").agg(F.sum("new").alias("n")).agg(F.collect_list(F.struct("__range", "n")).alias("all"))
+    before = F.aggregate(F.filter(totals.scalar(), lambda x: x["__range"] < F.col("__range")), F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    within = F.sum("new").over(Window.partitionBy("__range").orderBy("__number", "__name").rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.select(page, (within + before).alias("seen"), "oldest")
 
 
 def first_image(images: Column) -> Column:

@@ -47,9 +47,10 @@ def page_progress(messages: DataFrame, page: str = "page", message_id: str = "id
     ranged.write.parquet(path)
     ranged = messages.sparkSession.read.schema(ranged.schema).parquet(path)
     totals = ranged.groupBy("__range").agg(F.sum("new").alias("n")).agg(F.collect_list(F.struct("__range", "n")).alias("all"))
-    before = F.aggregate(F.filter(totals.scalar(), lambda x: x["__range"] < F.col("__range")), F.lit(0).cast("long"), lambda n, x: n + x["n"])
+    earlier = lambda x: F.aggregate(F.filter("all", lambda y: y["__range"] < x["__range"]), F.lit(0).cast("long"), lambda n, y: n + y["n"])
+    before = totals.select(F.explode(F.transform("all", lambda x: F.struct(x["__range"].alias("__range"), earlier(x).alias("__before")))).alias("x")).select("x.*")
     within = F.sum("new").over(Window.partitionBy("__range").orderBy("__number", "__name").rowsBetween(Window.unboundedPreceding, 0))
-    return ranged.select(page, (within + before).alias("seen"), "oldest")
+    return ranged.withColumn("__within", within).join(before, "__range").select(page, (F.col("__within") + F.col("__before")).alias("seen"), "oldest")
 
 
 def first_image(images: Column) -> Column:

@@ -117,3 +117,26 @@ def test_only_wanted_pages_are_opened(spark, timeline, tmp_path):
     assert scan.read_pages(spark, path, wanted.limit(0)).count() == 0
     zone = scan.zones(spark, path).where("group_id = 1 and page = 2").first()
     assert (zone["newest"].minute, zone["oldest"].minute, zone["rows"]) == (54, 53, 2)
+
+
+def test_live_counts(spark, timeline, tmp_path):
+    """A listener counts the rows of each batch while a scan runs."""
+    import time
+
+    from tidemark.streaming.progress import listen
+
+    path, told = timeline(g1=5), []
+    seen = listen(spark, lambda query, batch, rows: told.append((batch, rows)))
+    try:
+        rows = scan.stream(spark, path, str(tmp_path / "p"), pages_per_batch=2)
+        query = rows.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(processingTime="0 seconds").start()
+        query.processAllAvailable()
+        name = str(query.id)
+        query.stop()
+        for _ in range(100):
+            if name in seen.ended:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(seen)
+    assert told == [(0, 4), (1, 8), (2, 10)] and seen.rows(name) == 10 and seen.batches(name) == 3 and seen.ended[name] is None

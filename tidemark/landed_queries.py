@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
-from tidemark.operators import filters, stats
+from tidemark.operators import filters, joins, membership, stats
 from tidemark.plans import blogs as archive
 from tidemark.plans.sync import sync
 from tidemark.queries import _RAW, _SUBSCRIPTION, _TYPE, _groups, _messages, _sql_ts, _table, _ts, query
@@ -508,3 +508,18 @@ def page_cap(spark, sf_dir):
 def export_clock(spark, sf_dir):
     """instants as the export writes them."""
     return _table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), S.export_clock(F.col("ts").cast("timestamp")).alias("exported_at"))
+
+
+@query("""
+SELECT 'unseen' AS kind, event_id AS id FROM events WHERE event_id % 3 > 0 UNION ALL SELECT 'within', event_id FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT 'queue', event_id FROM events WHERE event_type = 'view' AND event_id % 2 = 1""")
+def seen_messages(spark, sf_dir):
+    """Messages whose ids were seen before or not, and media that no file holds yet, by a membership filter before the exact join."""
+    rows = _messages(spark, sf_dir)
+    seen = rows.where("id % 3 = 0").select("id")
+    stored = filters.normalize(rows).withColumn("group_id", F.lit(1).cast("long"))
+    place = _text("m/", F.col("member_id"))
+    there = rows.where("type = 'image' and id % 2 = 0").select(F.concat(place, F.lit("/picture/"), F.col("id").cast("string"), F.lit(".png")).alias("path"))
+    parts = {"unseen": membership.unseen(rows, seen, ["id"]), "within": membership.within(rows, seen, ["id"]), "queue": joins.media_queue(stored, there, place, filtered=True)}
+    found = [part.select(F.lit(kind).alias("kind"), "id") for kind, part in parts.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])

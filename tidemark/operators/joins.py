@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
+from tidemark.operators.membership import unseen
 
 
-def media_queue(messages: DataFrame, present: DataFrame, member_dir) -> DataFrame:
-    """The media of messages whose file is not among ``present`` (path)."""
+def media_queue(messages: DataFrame, present: DataFrame, member_dir, filtered: bool = False) -> DataFrame:
+    """The media of messages whose file is not among ``present`` (path).
+
+    With ``filtered`` a membership filter of the present paths goes first, so that
+    new media, most of a run's, are not dealt out to be joined.
+    """
     wanted = messages.where(F.coalesce("media_url", F.lit("")) != "")
     extension = S.media_extension("media_url", "raw_type")
     paths = wanted.withColumn("path", S.media_path(member_dir, "raw_type", "id", extension))
+    if filtered:
+        return unseen(paths, present.select("path"), ["path"]).select("path", *(c for c in paths.columns if c != "path"))
     return paths.join(present.select("path"), "path", "left_anti")
 
 

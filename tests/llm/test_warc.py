@@ -100,3 +100,9 @@ def test_damage_is_noticed(spark, tmp_path):
 
 def test_empty(spark):
     assert w.warc(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_ids_of_other_types(spark):
+    rows = [("a b", "u", "x"), ("page:é>/%41", "u", "x"), ("", "u", "y"), ("0", "u", "y"), (None, "u", "x"), ("", "u", "z")]
+    found = w.warc(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(plain(rows), key=str)

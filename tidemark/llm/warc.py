@@ -20,8 +20,9 @@ Defined results: a null html is the empty payload; very long ones are stored
 whole; rows that repeat the largest page id with the same payload are all
 responses; where every page id of a group is null, all are responses; line breaks
 in a url are percent-encoded in the header; a null url gives no WARC-Target-URI;
-repeated rows give repeated records; an empty table gives an empty archive; other
-columns play no role.
+repeated rows give repeated records; page ids may be of any type that has an
+order and a text; an empty table gives an empty archive; other columns play no
+role.
 """
 
 from __future__ import annotations
@@ -45,7 +46,8 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def record_id(page: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit(">"))
+    """The id as text, percent-encoded where it is no number or plain name."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(F.url_encode(page.cast("string")), F.lit("none")), F.lit(">"))
 
 
 def header(page: Column, url: Column, kind: Column, target: Column, sha1: Column, n_bytes: Column, date: str) -> Column:
@@ -71,7 +73,7 @@ def header(page: Column, url: Column, kind: Column, target: Column, sha1: Column
 def archive(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES, date: str = "1970-01-01T00:00:00Z") -> None:
     """Write ``pages`` as ``path/payloads`` and ``path/headers``."""
     payload = F.coalesce(F.col(html).cast("string"), F.lit(""))
-    rows = pages.select(F.col(page_id).cast("long").alias("page"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
+    rows = pages.select(F.col(page_id).alias("page"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha256", F.unhex(F.sha2("payload", 256)))
     blobs = rows.groupBy("sha256").agg(F.first("payload").alias("payload"))
     blobs.withColumn("payload", F.encode("payload", "utf-8")).write.option("compression", "zstd").parquet(f"{path}/payloads")
@@ -122,8 +124,8 @@ def parsed(found: DataFrame) -> DataFrame:
     whole = F.octet_length("block") == _field("head", "Content-Length").cast("long")
     same = (kind == "revisit") & (F.col("payload") == "") | (F.octet_length("payload") == stated) & (base32_sha1(F.col("payload")) == digest)
     checked = F.when(whole & same, digest).otherwise(F.raise_error(F.concat(F.lit("a record does not match its header: "), "head")))
-    refers = F.regexp_extract(_field("head", "WARC-Refers-To"), "^<urn:page:(-?[0-9]+)>$", 1)
-    return own.select("page_id", stated.alias("payload_bytes"), checked.alias("payload_digest"), kind.alias("record_type"), F.nullif(refers, F.lit("")).cast("long").alias("refers_to"))
+    refers = F.url_decode(F.regexp_extract(_field("head", "WARC-Refers-To"), "^<urn:page:(.*)>$", 1)).cast(dict(found.dtypes)["page_id"])
+    return own.select("page_id", stated.alias("payload_bytes"), checked.alias("payload_digest"), kind.alias("record_type"), F.when(kind == "revisit", refers).alias("refers_to"))
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:

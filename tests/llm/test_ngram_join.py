@@ -129,6 +129,15 @@ def test_join_against_all_pairs(spark, words):
         assert found == plain_components(rows)
 
 
+def test_one_of_each_by_id_and_text(spark, words):
+    """An id with several texts keeps those of them that no smaller id has; only rows that go or repeat are dealt out."""
+    x, y, z = (" ".join(words(30)) for _ in range(3))
+    rows = [(1, x), (5, x), (5, y), (5, y), (7, y), (8, z), (9, None), (9, None), (9, ""), (None, x), (None, z)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'own' as key")
+    kept = sorted((tuple(r) for r in n.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, x, "own"), (5, y, "own"), (8, z, "own"), (9, None, "own"), (9, "", "own")], key=str)
+
+
 def test_odd_rows(odd, none):
     rows = [(r["doc_id"], r["text"]) for r in odd.collect()]
     found = sorted(((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["n_links"]) for r in n.ngram_join(odd).collect()))

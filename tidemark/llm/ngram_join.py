@@ -59,6 +59,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import FILTER_BITS, binary, bitmap, may_have, staged, whole_text
 from tidemark.llm.components import components
 from tidemark.llm.words import chunks, mix, shingle_sets
+from tidemark.operators.membership import may_belong, membership
 
 WIDTH, PERCENT = 3, 90
 BLOCK, COLUMNS = 128, 4096
@@ -525,11 +526,21 @@ def ngram_join(docs: DataFrame, **options) -> DataFrame:
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of every component, that of the smallest id; repeated rows are one.
 
-    A component whose documents all have no id keeps one row of each text.
+    A document is its id and text: of an id with several texts, those that are not
+    the smallest of their component go.  A component whose documents all have no
+    id keeps one row of each text.  Only rows that go, or whose id and text repeat,
+    are dealt out (and the few others that a filter of their keys lets pass).
     """
     found = staged(linked(docs, **options), "ngram-found")
-    stay = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    pairs = found.where("doc_id is not null").groupBy("doc_id", F.col("key").alias("__tm_key")).agg(F.count("*").alias("n"), F.min((F.col("doc_id") != F.col("component_id")).cast("int")).alias("goes"))
+    touched = staged(pairs.where("goes = 1 or n > 1").select("doc_id", "__tm_key", "goes"), "ngram-touched")
+    keyed = docs.withColumn("__tm_key", F.expr("substring(unhex(sha2(coalesce(text, ''), 256)), 1, 16)"))
+    named = keyed.where("doc_id is not null")
+    sought = membership(touched, "doc_id", "__tm_key")
+    marked = named.withColumn("__tm_maybe", F.lit(True) if sought is None else may_belong(named, sought, "doc_id", "__tm_key"))
+    others = marked.where("__tm_maybe").join(touched.where("goes = 1").select("doc_id", "__tm_key"), ["doc_id", "__tm_key"], "left_anti").dropDuplicates(["doc_id", "text"])
+    names = [f"`{c}`" for c in docs.columns]
+    kept = marked.where("not __tm_maybe").select(names).unionByName(others.select(names))
     lone = found.where("doc_id is null and component_id is null").select(F.col("key").alias("__tm_key")).distinct()
-    nameless = docs.where("doc_id is null").withColumn("__tm_key", F.expr("substring(unhex(sha2(coalesce(text, ''), 256)), 1, 16)")).join(lone, "__tm_key", "left_semi").drop("__tm_key").dropDuplicates(["text"])
-    return named.unionByName(nameless)
+    nameless = keyed.where("doc_id is null").join(lone, "__tm_key", "left_semi").dropDuplicates(["text"])
+    return kept.unionByName(nameless.select(names))

@@ -12,7 +12,8 @@ the number of links, over all texts, between the same two ids.
    their sums per id pair.  The rows are staged.
 2. The sums of a stripe, combined within blocks already, are added by
    ``np.add.at`` into the stripe's dense matrix of ``WIDTH`` B ids by all A ids;
-   where they are many, in two steps, so no task reads all of a stripe.
+   where they are many, in parts and then their results, so no task reads all of
+   a stripe.
 3. Links are dealt by stripe, stripes of many bytes in several parts, and the
    stripe's counts go first to each part: a task rebuilds the matrix, its row
    maxima give each B id's highest count, and the links that follow are scored
@@ -58,7 +59,7 @@ from tidemark.llm.common import staged, whole_text
 WIDTH = 256  # B ids of a stripe: a matrix of 256 x 50,257 counts has 103 MB
 BLOCK = 1 << 21  # characters encoded at once
 WORDS, WORD_CHARS = 1 << 18, 1 << 23  # words, and characters in them, that a worker remembers
-PART = 16 << 20  # bytes of links in one part of a stripe
+PART, FAN = 16 << 20, 16  # bytes of links, or of sums, in one part of a stripe; partial sums added at once
 
 _SPACES = " \t\n\x0b\x0c"
 #: White space by any definition of it, beside _SPACES.
@@ -350,25 +351,33 @@ def _encode(a_path: str, b_path: str, digest: bool):
 
 
 def _add(cells: int):
-    """The sums of one stripe's rows, or of a part of them, added up in its dense matrix."""
+    """The sums of one part of a stripe, added up in the stripe's dense matrix."""
 
     def run(table: pa.Table) -> pa.Table:
         matrix = np.zeros(cells, np.int64)
         for keys, totals in zip(table.column("keys"), table.column("totals"), strict=True):
             np.add.at(matrix, _unpack(keys.as_py()), _unpack(totals.as_py()))
         keys = np.flatnonzero(matrix)
-        return pa.table({"stripe": table.column("stripe")[:1].cast(pa.int32()), "keys": pa.array([_pack(keys)], pa.binary()), "totals": pa.array([_pack(matrix[keys])], pa.binary())})
+        same = [table.column(c)[:1].cast(pa.int32()) for c in ("stripe", "part")]
+        return pa.table([*same, pa.array([_pack(keys)], pa.binary()), pa.array([_pack(matrix[keys])], pa.binary())], names=["stripe", "part", "keys", "totals"])
 
     return run
 
 
 def _summed(links: DataFrame, cells: int, size: int) -> DataFrame:
-    """(stripe, keys, totals): one row a stripe.  ``size`` is the bytes of the largest stripe's sums."""
-    schema = "stripe int, keys binary, totals binary"
-    sums = links.select("stripe", "keys", "totals", F.pmod("batch", F.lit(max(1, math.isqrt(size // PART)))).alias("part"))
-    if size > PART:
-        sums = sums.groupBy("stripe", "part").applyInArrow(_add(cells), schema)
-    return sums.groupBy("stripe").applyInArrow(_add(cells), schema)
+    """(stripe, keys, totals): one row a stripe.  ``size`` is the bytes of the largest stripe's sums.
+
+    Sums are added in parts of about ``PART`` bytes, and their results ``FAN`` at a
+    time, which the vocabularies bound, so a task's share doesn't grow with the input.
+    """
+    parts = max(1, math.ceil(size / PART))
+    sums = links.select("stripe", "keys", "totals", F.pmod(F.hash("batch"), F.lit(parts)).alias("part"))
+    while True:
+        sums = sums.groupBy("stripe", "part").applyInArrow(_add(cells), "stripe int, part int, keys binary, totals binary")
+        if parts == 1:
+            return sums.drop("part")
+        parts = math.ceil(parts / FAN)
+        sums = sums.withColumn("part", F.floor(F.col("part") / FAN).cast("int"))
 
 
 def _score(n_a: int):

@@ -55,6 +55,14 @@ def test_odd_rows(odd, none, spark):
     assert out.columns == odd.columns and sorted(map(str, out.collect())) == sorted(map(str, odd.collect()))
 
 
+def test_every_kind_is_counted_by_itself(spark):
+    texts = ["a@b.c 1.2.3.4 5.6.7.8 4111 1111 1111 1111 +1 (017) 555-7713", "1.2.3.4 a@b.c d@e.f", "4111 1111 1111 1111", "+1 (017) 555-7713, +1 (017) 555-7714", "none", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find(rows).collect():
+        base = plain_base(texts[r["doc_id"]] or "")
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == [sum(kind == k for _, kind, _ in base) for k in range(4)], texts[r["doc_id"]]
+
+
 def test_patterns_find_unseen_identifiers(spark):
     rng = random.Random(2)
     rows = []

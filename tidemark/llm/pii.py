@@ -398,12 +398,17 @@ def _label(span):
     return F.concat(F.element_at(F.array(*map(F.lit, KINDS)), span["rank"] + 1), F.lit(":"), span["start"].cast("string"), F.lit(":"), span["stop"].cast("string"))
 
 
+def _of_kind(kind: int):
+    """The number of base spans of a kind; the lambda has one parameter, since Spark gives a second one the element's index."""
+    return F.size(F.filter("__tm_base", lambda x: x["rank"] == kind)).cast("long")
+
+
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **graph) -> DataFrame:
     """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     accepted = patterns(rows, "text", **graph)
     spans = _all_spans(_analysed(rows, "text", False, accepted), accepted)
-    counts = [F.size(F.filter("__tm_base", lambda x, k=k: x["rank"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
+    counts = [_of_kind(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS[:4])]
     return spans.select("doc_id", *counts, F.col("__tm_sha").alias("base_sha256"), F.array_join(F.transform("__tm_all", _label), ",").alias("spans"))
 
 

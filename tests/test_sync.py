@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,6 +137,30 @@ def test_stream_equals_batch(spark, tmp_path):
     assert stored(batch) == stored(store) and state(batch) == state(store)
 
 
+def test_a_run_of_several_batches_loses_no_older_page(spark, tmp_path):
+    pages = tmp_path / "pages" / "group=1"
+    pages.mkdir(parents=True)
+
+    def page(name, *days, at=None):
+        rows = [{"id": d, "member_id": 1, "published_at": f"2024-01-{d:02d}T00:00:00Z", "type": "text", "text": "x"} for d in days]
+        (pages / name).write_text(json.dumps({"messages": rows}))
+        if at is not None:
+            os.utime(pages / name, (at, at))
+
+    go = lambda: start(spark, str(tmp_path / "pages"), str(tmp_path / "store"), str(tmp_path / "checkpoint"), 1).awaitTermination()
+    page("p0.json", 9, 8, at=NOW)  # newest first, a batch a file
+    page("p1.json", 7, 6, at=NOW + 10)
+    page("p2.json", 5, at=NOW + 20)
+    go()
+    store = Store(spark, str(tmp_path / "store"))
+    assert [r[1] for r in stored(store)] == [5, 6, 7, 8, 9] and state(store)[1] == (9, "2024-01-09T00:00:00", 5)
+    time.sleep(0.05)
+    page("p3.json", 10, 9)
+    page("p4.json", 4)  # before the cursor at which the second run begins
+    go()
+    assert [r[1] for r in stored(store)] == [5, 6, 7, 8, 9, 10]
+
+
 def test_a_batch_writes_only_its_members_buckets(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     run(store, *(message(k, member=k) for k in range(1, 30)))

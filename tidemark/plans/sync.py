@@ -20,6 +20,7 @@ merge says of each row whether it is new, so that nothing is read again to count
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -62,12 +63,15 @@ def _counted(stored: DataFrame, new: DataFrame, landed: DataFrame) -> DataFrame:
     return merged.where("__whole").withColumns(flags).drop("__rank", "__had", "__landed", "__whole")
 
 
-def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None, touched: set[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(merged messages, rejects, keys that need a full fetch) for ``landed`` raw messages with group_id, page and pos, over the buckets ``touched``."""
+def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None, touched: set[str] | None = None, cursors: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(merged messages, rejects, keys that need a full fetch) for ``landed`` raw messages with group_id, page and pos, over the buckets ``touched``.
+
+    ``cursors`` (KEYS, last_sync_ts, and ``__run`` as the rows have it) stand in for those of the state.
+    """
     stored, state = store.messages(touched), _within(store.state(), touched)
     refetch = lost_rows(state, stored).where("needs_full_refetch").select(*KEYS).unionByName(_keys(store, corrupt)).distinct()
-    trusted = state.join(refetch, KEYS, "left_anti")
-    fresh = after_cursor(landed, trusted)
+    trusted = (state if cursors is None else cursors).join(refetch, KEYS, "left_anti")
+    fresh = after_cursor(landed, trusted) if cursors is None else after_cursor(landed, trusted, [*KEYS, "__run"]).drop("__run")
     good, rejects = split_rejects(normalize(fresh))
     kept = good.where(not_empty(F.col("type"), F.col("content"), F.col("media_url")))
     unique = last_wins(kept, ["group_id", "member_id", "id"], reading_order()).drop("page", "pos")
@@ -92,9 +96,11 @@ def new_state(messages: DataFrame, rejects: DataFrame, now: Column) -> DataFrame
     return clamped.select(*KEYS, "last_message_id", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("last_sync_ts"), "total_messages", S.export_clock(now).alias("last_sync"))
 
 
-def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None, verify: bool = False) -> Outcome:
+def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None, verify: bool = False, cursors: Callable[[DataFrame], DataFrame] | None = None) -> Outcome:
     """One run over ``landed``; the store's version changes only if everything was written.
 
+    A batch of a run that takes several gets its ``cursors`` from the staged batch.
+
     With ``verify`` the touched buckets are held against the manifest's sums first
     (T6): the members of one that differs are corrupt.
     """
@@ -107,7 +113,7 @@ def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete:
     if verify:
         damaged = store.altered(touched)
         corrupt = _keys(store, corrupt).unionByName(_within(store.state(), damaged).select(*KEYS)).distinct() if damaged else corrupt
-    merged, rejects, refetch = plan(store, batch, corrupt, touched)
+    merged, rejects, refetch = plan(store, batch, corrupt, touched, cursors(batch) if cursors is not None else None)
     version = store.stage(merged, expected)
     written = store.staged(version)
     held = _keys(store, incomplete)

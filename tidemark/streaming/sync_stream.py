@@ -5,15 +5,25 @@ read once, a restart goes on where the last commit ended, and a batch that is
 replayed changes nothing, since the merge is idempotent.  There is no watermark:
 a cursor may be held back by a reject, and rows at the cursor's own instant must
 come through, which a watermark forbids.
+
+A run may take several micro-batches, and takes its files in no order of instants.
+So rows are held against the cursors that stood when their run began, not against
+those that an earlier batch of the run has moved.  ``start`` keeps these cursors in
+``<checkpoint>/runs``, with a mark whose time is the run's; a file belongs to the
+first run that began after it was landed, also where a restart reads it.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.cursor import KEYS
 from tidemark.plans.sync import sync
 from tidemark.sinks.store import Store
 from tidemark.sources import schemas
@@ -21,16 +31,52 @@ from tidemark.sources import schemas
 
 def page_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """(group_id, message fields, page, pos) from files ``<path>/group=<id>/*.json``."""
+    return _page_stream(spark, path, files_per_batch).drop("__landed_at")
+
+
+def _page_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+    """``page_stream`` with the time at which the page was landed, in milliseconds."""
     envelope = T.StructType([T.StructField("messages", T.ArrayType(schemas.MESSAGE)), T.StructField("continuation", T.StringType())])
     files = spark.readStream.schema(envelope).option("multiLine", True).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", True).json(path)
     group = F.regexp_extract("_metadata.file_path", r"/group=(\d+)/", 1).try_cast("long")
-    return files.select(group.alias("group_id"), F.col("_metadata.file_path").alias("page"), F.posexplode("messages").alias("pos", "message")).select("group_id", "message.*", "page", "pos")
+    landed_at = F.unix_millis("_metadata.file_modification_time").alias("__landed_at")
+    return files.select(group.alias("group_id"), F.col("_metadata.file_path").alias("page"), landed_at, F.posexplode("messages").alias("pos", "message")).select("group_id", "message.*", "page", "pos", "__landed_at")
+
+
+def _begin(store: Store, checkpoint: str) -> list[tuple[int, str]]:
+    """Keep the cursors that stand now as those of a new run; (time, folder) of this and all earlier runs."""
+    jvm, conf = store.spark.sparkContext._jvm, store.spark.sparkContext._jsc.hadoopConfiguration()
+    place = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join((checkpoint.rstrip("/"), "runs", *parts)))
+    fs = place().getFileSystem(conf)
+    name = uuid.uuid4().hex
+    store.state().select(*KEYS, "last_sync_ts").write.parquet(str(place(name, "cursors")))
+    fs.create(place(f"{name}.mark"), True).close()
+    found = [(x.getModificationTime(), x.getPath().getName()) for x in fs.listStatus(place())]
+    return sorted((at, str(place(mark.removesuffix(".mark"), "cursors"))) for at, mark in found if mark.endswith(".mark"))
+
+
+def _cursors(runs: list[tuple[int, str]]) -> Callable[[DataFrame], DataFrame]:
+    """The cursors of the runs that a batch has files of."""
+
+    def of(batch: DataFrame) -> DataFrame:
+        spark = batch.sparkSession
+        wanted = {r["__run"] for r in batch.select("__run").distinct().collect()}
+        out = spark.createDataFrame([], "group_id long, member_id long, last_sync_ts string, __run long")
+        for at, path in runs:
+            if at in wanted:
+                out = out.unionByName(spark.read.schema("group_id long, member_id long, last_sync_ts string").parquet(path).withColumn("__run", F.lit(at).cast("long")))
+        return out
+
+    return of
 
 
 def start(spark: SparkSession, path: str, store_path: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
     """Sync all files that are there, then stop; run it again for later ones."""
+    runs = _begin(Store(spark, store_path), checkpoint)
+    times = F.lit([at for at, _ in runs]).cast("array<long>")
+    run = F.coalesce(F.array_min(F.filter(times, lambda at: at >= F.col("__landed_at"))), F.lit(runs[-1][0]))
 
     def merge(batch: DataFrame, _: int) -> None:
-        sync(Store(batch.sparkSession, store_path), batch)
+        sync(Store(batch.sparkSession, store_path), batch.withColumn("__run", run.cast("long")).drop("__landed_at"), cursors=_cursors(runs))
 
-    return page_stream(spark, path, files_per_batch).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return _page_stream(spark, path, files_per_batch).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -19,7 +19,7 @@ from tidemark.plans import blogs as archive
 from tidemark.plans.sync import sync
 from tidemark.queries import _RAW, _SUBSCRIPTION, _TYPE, _groups, _messages, _sql_ts, _table, _ts, query
 from tidemark.sinks import export
-from tidemark.sinks.shared import land, new_folder
+from tidemark.sinks.shared import by_page, land, new_folder
 from tidemark.sinks.store import Store
 from tidemark.sources import files, html, jsonp, landed, media, scan, schemas
 from tidemark.streaming import member_state
@@ -36,7 +36,7 @@ def _list(item: Column) -> Column:
 
 def _envelopes(rows: DataFrame, key: str) -> DataFrame:
     """(page, value) of rows (page, item)."""
-    return rows.groupBy("page").agg(F.to_json(F.struct(_list(F.col("item")).alias(key))).alias("value"))
+    return by_page(rows).groupBy("page").agg(F.to_json(F.struct(_list(F.col("item")).alias(key))).alias("value"))
 
 
 def _twice(rows: DataFrame, per_page: int) -> DataFrame:
@@ -63,7 +63,7 @@ def landed_timeline(spark, sf_dir):
 def landed_groups(spark, sf_dir):
     """S2 with P1."""
     rows = _groups(spark, sf_dir).select(F.floor(F.col("id") / 2000).alias("page"), F.struct("id", "state", F.struct(F.col("subscription").alias("state")).alias("subscription")).alias("item"))
-    path = land(rows.groupBy("page").agg(F.to_json(_list(F.col("item"))).alias("value")), "groups")
+    path = land(by_page(rows).groupBy("page").agg(F.to_json(_list(F.col("item"))).alias("value")), "groups")
     return landed.groups(spark, path).select(F.lit("visible").alias("kind"), "id").unionByName(landed.groups(spark, path, True).select(F.lit("any").alias("kind"), "id"))
 
 
@@ -139,7 +139,7 @@ def _text(*parts) -> Column:
 def _pages(rows: DataFrame, markup: Column, per_page: int, id_: str = "id") -> DataFrame:
     """(page, value): the markup of all rows of a page in the order of their ids."""
     placed = rows if "page" in rows.columns else rows.withColumn("page", F.floor(F.col(id_) / per_page))
-    return placed.groupBy("page").agg(F.array_join(F.transform(_list(F.struct(F.col(id_), markup.alias("m"))), lambda x: x["m"]), "").alias("value"))
+    return by_page(placed).groupBy("page").agg(F.array_join(F.transform(_list(F.struct(F.col(id_), markup.alias("m"))), lambda x: x["m"]), "").alias("value"))
 
 
 def _suppliers(spark, sf_dir) -> DataFrame:
@@ -259,7 +259,7 @@ def jsonp_site(spark, sf_dir):
     people = _suppliers(spark, sf_dir).groupBy(F.floor(F.col("id") / 40).alias("page")).agg(_list(member).alias("items"))
     title = F.when(F.col("copy") == 1, F.col("title")).otherwise("again")
     post = F.struct(key.alias("code"), title.alias("title"), _text('<img src="/', key, '.png"> ', F.col("name")).alias("text"), F.lit("2025/11/03 21:09:45").alias("date"), F.lit("l").alias("link"), F.col("name"), F.lit("m").alias("arti_code"), _text("/", key, ".jpg").alias("img"))
-    posts = _twice(_posts(spark, sf_dir), 100).groupBy("page").agg(_list(post).alias("items"))
+    posts = by_page(_twice(_posts(spark, sf_dir), 100)).groupBy("page").agg(_list(post).alias("items"))
     members = jsonp.members(jsonp.responses(spark, land(_with_broken(_calls(people), "no call"), "jsonp-members")), BASE)
     rows = jsonp.responses(spark, land(_with_broken(_calls(posts), "res({);"), "jsonp-posts"))
     where = html.site("B", BASE)

@@ -223,9 +223,9 @@ def html_details(spark, sf_dir):
     out = None
     for name in ("A", "C"):
         rows, where = _details(spark, sf_dir, name), html.site(name, BASE)
-        found = html.blog_details(rows, where).select("id", "outcome", "content")
-        known = html.detail_metadata(rows, where).select("id", "title", F.col("thumbnail").alias("image"))
-        part = found.join(known, "id").select(F.lit(name).alias("site"), "id", "outcome", "title", "content", "image")
+        found = html.blog_details(rows, where)
+        known = html.metadata_of(found, "outcome", "content")  # a page is taken apart once for both
+        part = known.select(F.lit(name).alias("site"), "id", "outcome", "title", "content", F.col("thumbnail").alias("image"))
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -233,7 +233,16 @@ def blog_details(rows: DataFrame, where: Site) -> DataFrame:
     return found.unionByName(routed.where("outcome <> 'ok'").select("id", "outcome"), allowMissingColumns=True)
 
 
+def metadata_of(found: DataFrame, *others: str) -> DataFrame:
+    """(id, thumbnail, published_at, title), null where unknown, and ``others`` of ``blog_details``."""
+    return found.select("id", F.get("images", F.lit(0)).alias("thumbnail"), "published_at", F.nullif("title", F.lit("")).alias("title"), *others)
+
+
 def detail_metadata(rows: DataFrame, where: Site) -> DataFrame:
-    """(id, thumbnail, published_at, title), null where unknown."""
-    found = blog_details(rows, where)
-    return found.select("id", F.get("images", F.lit(0)).alias("thumbnail"), "published_at", F.nullif("title", F.lit("")).alias("title"))
+    """``metadata_of`` detail pages (id, status, html)."""
+    return metadata_of(blog_details(rows, where))
+
+
+def outcomes(rows: DataFrame) -> DataFrame:
+    """(id, outcome) of detail pages (id, status); nothing is extracted, since every page that is ok gives one row."""
+    return rows.select("id", route(F.col("status")).alias("outcome"))

@@ -18,9 +18,20 @@ from pyspark.sql import types as T
 from tidemark.operators.dedup import last_wins
 from tidemark.operators.filters import group_visible
 from tidemark.operators.order import reading_order
+from tidemark.sinks.shared import tasks_for
 from tidemark.sources import schemas
 
 
+TASK_BYTES = 8 << 20  # of page files, for a task that compares their items
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    """The length of all files below ``path``, or of those that it matches."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sum(system.getContentSummary(x.getPath()).getLength() for x in system.globStatus(target) or ())
+
+
 def _files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
@@ -65,9 +76,12 @@ def variants(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def timeline(spark: SparkSession, path: str) -> DataFrame:
-    """All messages of a folder of page files, each id once, the page read last winning."""
+    """All messages of a folder of page files, each id once, the page read last winning.
+
+    Ids are dealt out to a number of tasks that grows with the files, so that what one task sorts does not.
+    """
     rows = items(spark, path, "messages", schemas.MESSAGE)
-    return last_wins(rows, ["id"], reading_order())
+    return last_wins(rows.repartition(tasks_for(spark, _bytes(spark, path), TASK_BYTES), "id"), ["id"], reading_order())
 
 
 def past_messages(spark: SparkSession, path: str) -> DataFrame:

@@ -16,6 +16,7 @@ A run reads and writes only the store's buckets that its batch touches: those of
 the members that it has rows of, or that are said to be corrupt.  The batch is
 written to the shared folder first, so that its source is read once, and the
 merge says of each row whether it is new, so that nothing is read again to count.
+Tasks grow in number with the rows of batch and buckets, not in what one sorts.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from tidemark.operators.cursor import KEYS, after_cursor, clamp, earliest_failed
 from tidemark.operators.dedup import last_wins, upsert
 from tidemark.operators.filters import normalize, not_empty, split_rejects
 from tidemark.operators.order import reading_order
-from tidemark.sinks.shared import new_folder
+from tidemark.sinks.shared import ROWS, many_tasks, new_folder
 from tidemark.sinks.store import Store, bucket_name
 from tidemark.sources import schemas
 
@@ -105,7 +106,7 @@ def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete:
     (T6): the members of one that differs are corrupt.
     """
     path = new_folder(store.spark, "sync-batch")
-    landed.write.parquet(path)
+    landed.write.option("maxRecordsPerFile", ROWS).parquet(path)
     batch = store.spark.read.schema(landed.schema).parquet(path)
     named = batch.select(*KEYS).unionByName(_keys(store, corrupt))
     expected = store.expected(named)
@@ -113,12 +114,13 @@ def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete:
     if verify:
         damaged = store.altered(touched)
         corrupt = _keys(store, corrupt).unionByName(_within(store.state(), damaged).select(*KEYS)).distinct() if damaged else corrupt
-    merged, rejects, refetch = plan(store, batch, corrupt, touched, cursors(batch) if cursors is not None else None)
-    version = store.stage(merged, expected)
-    written = store.staged(version)
-    held = _keys(store, incomplete)
-    state = new_state(written, rejects, now if now is not None else F.current_timestamp()).join(refetch, KEYS, "left_anti").join(held, KEYS, "left_anti")
-    known = store.state()
-    old = _within(known, touched).join(held, KEYS, "left_semi").join(refetch, KEYS, "left_anti").unionByName(_within(known, touched, False))
-    store.commit(version, state.unionByName(old), touched)
+    with many_tasks(store.spark, sum(expected.values())):
+        merged, rejects, refetch = plan(store, batch, corrupt, touched, cursors(batch) if cursors is not None else None)
+        version = store.stage(merged, expected)
+        written = store.staged(version)
+        held = _keys(store, incomplete)
+        state = new_state(written, rejects, now if now is not None else F.current_timestamp()).join(refetch, KEYS, "left_anti").join(held, KEYS, "left_anti")
+        known = store.state()
+        old = _within(known, touched).join(held, KEYS, "left_semi").join(refetch, KEYS, "left_anti").unionByName(_within(known, touched, False))
+        store.commit(version, state.unionByName(old), touched)
     return Outcome(version, *store.counted(version), rejects, refetch)

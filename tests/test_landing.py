@@ -12,6 +12,8 @@ from tidemark.plans import sync as plan
 from tidemark.sinks import shared
 from tidemark.sinks.store import Store
 from tidemark.sources import html, landed, markup
+from tidemark.streaming import member_state
+from tidemark.streaming.sync_stream import page_stream
 
 
 def plan_of(df):
@@ -65,3 +67,16 @@ def test_a_sync_shuffles_by_the_rows_it_has(spark, monkeypatch, tmp_path):
     before, store = spark.conf.get(key), Store(spark, str(tmp_path))
     assert plan.sync(store, rows).inserted == 95 and store.messages().count() == 95
     assert seen == [10] and spark.conf.get(key) == before
+
+
+def test_page_files_are_listed_by_few_tasks(spark, tmp_path):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    pages = spark.range(100).select(F.lit(1).alias("group"), F.col("id").alias("page"), F.concat(F.lit('{"messages": [{"id": '), "id", F.lit(', "member_id": 7, "type": "text", "text": "x"}]}')).alias("value"))
+    path, before = shared.land(pages, "pages", "group"), spark.conf.get(key)
+    with shared.few_listings(spark):
+        query = member_state.start(page_stream(spark, path), str(tmp_path / "store"), str(tmp_path / "checkpoint"))
+        query.awaitTermination()
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup(str(query.runId)) for s in status.getJobInfo(j).stageIds]
+    assert stages and max(x.numTasks for x in stages if x) <= 4 * spark.sparkContext.defaultParallelism
+    assert spark.conf.get(key) == before and member_state.state(spark, str(tmp_path / "store")).first()["total_messages"] == 100

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import json
 import shutil
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 
+from tidemark.operators.cursor import KEYS
 from tidemark.streaming import member_state as M
 from tidemark.streaming.sync_stream import page_stream
 
@@ -110,3 +113,35 @@ def test_a_lost_folder_of_a_failed_batch_is_written_anew(spark, run):
         p.unlink()
     shutil.rmtree(f"{run.store}/batch={last}")
     assert run() == found
+
+
+def test_a_member_costs_one_read_one_write_and_one_frame_a_batch():
+    calls, kept = [], {}
+    value = SimpleNamespace(get=lambda: calls.append("get") or kept.get(0), update=lambda x: calls.append("update") or kept.update({0: x}))
+    member = M.MemberState()
+    member.init(SimpleNamespace(getValueState=lambda name, schema: value))  # no other state
+
+    def take(*batches):
+        frames = [pd.DataFrame([(1, 7, k, at, bad, f"text {k}") for k, at, bad in rows], columns=[*KEYS, "id", "at", "bad", "packed"]) for rows in batches]
+        calls.clear()
+        return list(member.handleInputRows((1, 7), iter(frames), None))
+
+    (only,) = take([(1, 10, False), (0, 15, True), (2, 20, False), (2, 20, False)])
+    assert calls == ["get", "update"] and only["kind"].tolist() == ["new", "reject", "new", "again", "state"] and only["packed"][2] == "text 2"
+    assert json.loads(only["packed"][4]) == {"group_id": 1, "member_id": 7, "cursor": 15, "newest": 20, "held": 15, "last_message_id": 2, "total_messages": 2}
+    assert kept[0] == (15, 20, 2, 2, [2], [20], [15])
+    first, second_, third = take([(3, 12, False), (4, 25, False)], [(5, 15, False)], [(2, 20, False)])
+    assert calls == ["get", "update"] and [x["kind"].tolist() for x in (first, second_, third)] == [["new"], ["new"], ["again", "state"]]
+    assert kept[0] == (25, 25, 5, 4, [4], [25], [])
+
+
+def test_rows_come_back_as_they_were(spark, run):
+    texts = {1: 'a "b" \\ c', 2: "line\nline\r\t", 3: "\u0000\u2028\U0001f600 {}", 4: "null", 5: " "}
+    poison = {"member_id": 7, "published_at": "2026-01-01T00:00:15Z", "type": "text", "text": texts[1]}
+    run(1, *(message(k, 10 + k, text=t) for k, t in texts.items()), message(6, 16, type="image", text=None, file="x.png"), poison)
+    rows = {r["id"]: r for r in M.messages(spark, run.store).collect()}
+    assert {k: rows[k]["content"] for k in texts} == texts
+    assert (rows[6]["content"], rows[6]["media_url"], rows[6]["type"], rows[6]["raw_type"]) == (None, "x.png", "picture", "image")
+    assert rows[1]["timestamp"] == "2026-01-01T00:00:11Z"
+    (bad,) = M.rejects(spark, run.store).collect()
+    assert (bad["id"], bad["content"], bad["pos"], bad["batch"]) == (None, texts[1], 6, 0) and bad["page"].endswith("page-1.json")

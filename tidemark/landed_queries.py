@@ -19,7 +19,7 @@ from tidemark.plans import blogs as archive
 from tidemark.plans.sync import sync
 from tidemark.queries import _RAW, _SUBSCRIPTION, _TYPE, _groups, _messages, _sql_ts, _table, _ts, query
 from tidemark.sinks import export
-from tidemark.sinks.shared import by_page, land, new_folder
+from tidemark.sinks.shared import by_page, few_listings, land, new_folder
 from tidemark.sinks.store import Store
 from tidemark.sources import files, html, jsonp, landed, media, scan, schemas
 from tidemark.streaming import member_state
@@ -413,7 +413,8 @@ def member_states(spark, sf_dir):
         placed = _twice(run.where("id is not null"), 500).unionByName(run.where("id is null").withColumn("page", F.lit(0)), allowMissingColumns=True)
         pages = _envelopes(placed.select((F.col("page") + n * 10_000_000).cast("long").alias("page"), item.alias("item")), "messages")
         land(pages.withColumn("group", F.lit(1)), "states", "group", path=path)
-        member_state.start(page_stream(spark, path, 1_000_000), store, checkpoint).awaitTermination()
+        with few_listings(spark):
+            member_state.start(page_stream(spark, path, 1_000_000), store, checkpoint).awaitTermination()
     found = member_state.state(spark, store)
     there = member_state.messages(spark, store).groupBy("member_id").agg(F.count("*").alias("stored"))
     shown = found.join(there, "member_id").where("stored = total_messages")

@@ -44,12 +44,7 @@ def tasks_for(spark: SparkSession, rows: int, per_task: int = ROWS) -> int:
 
 
 @contextlib.contextmanager
-def many_tasks(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs that run in here read small splits, and shuffle into ``tasks_for`` partitions, which are not put together by their compressed size."""
-    if rows <= ROWS:
-        yield
-        return
-    settings = {"spark.sql.shuffle.partitions": str(tasks_for(spark, rows)), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "8m"}
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     before = {k: spark.conf.get(k, None) for k in settings}
     try:
         for k, v in settings.items():
@@ -60,6 +55,22 @@ def many_tasks(spark: SparkSession, rows: int) -> Iterator[None]:
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
+@contextlib.contextmanager
+def many_tasks(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run in here read small splits, and shuffle into ``tasks_for`` partitions, which are not put together by their compressed size."""
+    if rows <= ROWS:
+        yield
+        return
+    settings = {"spark.sql.shuffle.partitions": str(tasks_for(spark, rows)), "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "8m"}
+    with _settings(spark, settings):
+        yield
+
+
+def few_listings(spark: SparkSession) -> contextlib.AbstractContextManager[None]:
+    """Files are listed in here by four tasks a core; Spark starts one for each folder or file, up to 10,000, and starting them takes longer than the listing."""
+    return _settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)})
+
+
 def by_page(rows: DataFrame, per_task: int = 100_000) -> DataFrame:
     """``rows`` (page, ...) dealt out by page to a number of tasks that grows with them; grouping by page shuffles nothing more."""
     return rows.repartition(tasks_for(rows.sparkSession, rows.count(), per_task), "page")

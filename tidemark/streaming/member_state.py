@@ -18,11 +18,16 @@ lost or counted twice.  ``messages`` and ``state`` read what all batches left.
 
 A member's batch is bounded by the files of a trigger; its ids are held while it
 is taken in (8 bytes and a set entry each), afterwards only those from the
-cursor on.  Rows without group or member belong to no state and are left out.
+cursor on.  Of its rows one Arrow batch is held.  Rows without group or member
+belong to no state and are left out.
+
+Where pages are many, start and finish a run in ``sinks.shared.few_listings``:
+a file stream lists by the settings that its session has while the query runs.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -40,31 +45,38 @@ NONE = -(1 << 62)
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _ROW = "id long, at long, timestamp string, type string, is_favorite boolean, content string, raw_type string, media_url string, page string, pos int"
 _STATE = "cursor long, newest long, held long, last_message_id long, total_messages long"
-CHANGES = f"kind string, group_id long, member_id long, {_ROW}, {_STATE}"
+_UNPACKED = f"group_id long, member_id long, {_ROW}, {_STATE}"
+CHANGES = f"kind string, {_UNPACKED}"
 _ROW_NAMES = [c.split()[0] for c in _ROW.split(", ")]
+_SUMMARY = "cursor long, newest long, last_message_id long, total_messages long, open array<long>, open_at array<long>, failed array<long>"
 
 
 class MemberState(StatefulProcessor):
-    """New and repeated messages, rejects, and the state that a run leaves, for one member."""
+    """New and repeated messages, rejects, and the state that a run leaves, for one member.
+
+    Calls, frames and their columns, not rows, are what many small members cost: so
+    a member's state is read once and written once, the state row goes out with the
+    last messages, and a row passes as one JSON text.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.summary = handle.getValueState("summary", "cursor long, newest long, last_message_id long, total_messages long")
-        self.open = handle.getListState("open", "id long, at long")
-        self.failed = handle.getListState("failed", "at long")
+        self.summary = handle.getValueState("summary", _SUMMARY)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        cursor, newest, last, total = self.summary.get() if self.summary.exists() else (NONE, NONE, 0, 0)
-        known = dict(self.open.get()) if self.open.exists() else {}
-        waiting = {x[0] for x in self.failed.get()} if self.failed.exists() else set()
+        cursor, newest, last, total, ids, ats, failed_before = self.summary.get() or (NONE, NONE, 0, 0, [], [], [])
+        known, waiting = dict(zip(ids, ats, strict=True)), set(failed_before)
         failed, mended = set(), set()
+        kinds, texts = [], []
         for batch in rows:
-            if cursor != NONE:
-                batch = batch[batch["at"] >= cursor]
-            bad = batch["bad"].to_numpy(bool)
-            failed.update(batch["at"][bad].tolist())
-            kinds, ats = [], batch["at"].tolist()
-            for broken, message, at in zip(bad.tolist(), batch["id"].tolist(), ats, strict=True):
+            if kinds:
+                yield pd.DataFrame({"kind": kinds, "packed": texts})
+                kinds, texts = [], []
+            for *_, message, at, broken, text in batch.to_numpy(object).tolist():
+                if cursor != NONE and at < cursor:
+                    continue
+                texts.append(text)
                 if broken:
+                    failed.add(at)
                     kinds.append("reject")
                     continue
                 mended.add(at)
@@ -72,45 +84,32 @@ class MemberState(StatefulProcessor):
                 total += message not in known
                 known[message] = max(at, known.get(message, NONE))
                 newest, last = max(newest, at), max(last, message)
-            if len(batch):
-                out = batch[_ROW_NAMES].copy()
-                out["id"] = out["id"].astype("Int64").mask(bad)
-                out.insert(0, "kind", kinds)
-                yield self._shaped(key, out)
         waiting = sorted(x for x in (waiting - mended) | failed if x != NONE)
         held = waiting[0] if waiting else NONE
         cursor = min(newest, held) if NONE not in (newest, held) else newest
-        self.summary.update((cursor, newest, last, total))
-        _put(self.open, [(k, at) for k, at in known.items() if cursor == NONE or at >= cursor])
-        _put(self.failed, [(x,) for x in waiting])
-        yield self._shaped(key, pd.DataFrame({"kind": ["state"], "cursor": [cursor], "newest": [newest], "held": [held], "last_message_id": [last], "total_messages": [total]}))
-
-    @staticmethod
-    def _shaped(key, rows: pd.DataFrame) -> pd.DataFrame:
-        kinds = dict(c.split() for c in CHANGES.split(", "))
-        return rows.assign(group_id=key[0], member_id=key[1]).reindex(columns=list(kinds)).astype({c: "Int64" if k in ("long", "int") else object for c, k in kinds.items()})
+        still = {k: at for k, at in known.items() if cursor == NONE or at >= cursor}
+        self.summary.update((cursor, newest, last, total, list(still), list(still.values()), waiting))
+        state = {"group_id": key[0], "member_id": key[1], "cursor": cursor, "newest": newest, "held": held, "last_message_id": last, "total_messages": total}
+        yield pd.DataFrame({"kind": [*kinds, "state"], "packed": [*texts, json.dumps(state)]})
 
     def close(self) -> None:
         pass
 
 
-def _put(state, rows: list[tuple]) -> None:
-    if rows:
-        state.put(rows)
-    else:
-        state.clear()
-
-
 def changes(pages: DataFrame) -> DataFrame:
     """``CHANGES`` of a stream of raw messages with group_id, page and pos."""
     rows = normalize(pages).where("group_id is not null and member_id is not null")
     kept = rows.where(F.col("id").isNull() | not_empty(F.col("type"), F.col("content"), F.col("media_url")))
-    shaped = kept.withColumns({
-        "bad": F.col("id").isNull(),
-        "id": F.coalesce("id", F.lit(0).cast("long")),
-        "at": F.coalesce(F.unix_micros(instant(F.col("timestamp"))), F.lit(NONE).cast("long")),
-    })
-    return shaped.groupBy(*KEYS).transformWithStateInPandas(MemberState(), outputStructType=CHANGES, outputMode="Update", timeMode="None")
+    at = F.coalesce(F.unix_micros(instant(F.col("timestamp"))), F.lit(NONE).cast("long")).alias("at")
+    shaped = kept.withColumn("at", at).select(
+        *KEYS,
+        F.coalesce("id", F.lit(0).cast("long")).alias("id"),
+        "at",
+        F.col("id").isNull().alias("bad"),
+        F.to_json(F.struct(*KEYS, *_ROW_NAMES)).alias("packed"),
+    )
+    found = shaped.groupBy(*KEYS).transformWithStateInPandas(MemberState(), outputStructType="kind string, packed string", outputMode="Update", timeMode="None")
+    return found.select("kind", F.from_json("packed", _UNPACKED).alias("x")).select("kind", "x.*")
 
 
 def start(pages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -11,7 +11,7 @@ from tidemark.plans import blogs
 from tidemark.plans import sync as plan
 from tidemark.sinks import shared
 from tidemark.sinks.store import Store
-from tidemark.sources import html, landed, markup
+from tidemark.sources import html, jsonp, landed, markup, schemas
 from tidemark.streaming import member_state
 from tidemark.streaming.sync_stream import page_stream
 
@@ -69,6 +69,20 @@ def test_a_sync_shuffles_by_the_rows_it_has(spark, monkeypatch, tmp_path):
     assert seen == [10] and spark.conf.get(key) == before
 
 
+def test_landed_files_are_listed_by_few_tasks(spark):
+    pages = spark.range(100).select(F.col("id").alias("page"), F.lit('{"messages": [{"id": 1}]}').alias("value"))
+    path, sc = shared.land(pages, "pages"), spark.sparkContext
+    sc.setJobGroup("listed", "listed")
+    try:
+        found = landed.items(spark, path, "messages", schemas.MESSAGE), html.pages(spark, path), jsonp.responses(spark, path)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    status = sc.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("listed") for s in status.getJobInfo(j).stageIds]
+    assert len(stages) >= 3 and max(x.numTasks for x in stages) <= 4 * sc.defaultParallelism
+    assert [x.count() for x in found] == [100, 100, 100]
+
+
 def test_page_files_are_listed_by_few_tasks(spark, tmp_path):
     key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     pages = spark.range(100).select(F.lit(1).alias("group"), F.col("id").alias("page"), F.concat(F.lit('{"messages": [{"id": '), "id", F.lit(', "member_id": 7, "type": "text", "text": "x"}]}')).alias("value"))

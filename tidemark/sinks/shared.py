@@ -71,6 +71,12 @@ def few_listings(spark: SparkSession) -> contextlib.AbstractContextManager[None]
     return _settings(spark, {"spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism)})
 
 
+def whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(value): the text of every file below ``path``; they are listed here, once."""
+    with few_listings(spark):
+        return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+
+
 def by_page(rows: DataFrame, per_task: int = 100_000) -> DataFrame:
     """``rows`` (page, ...) dealt out by page to a number of tasks that grows with them; grouping by page shuffles nothing more."""
     return rows.repartition(tasks_for(rows.sparkSession, rows.count(), per_task), "page")

@@ -20,6 +20,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators.dedup import first_wins, ordered_union
 from tidemark.operators.filters import filled, no_group_account, route, same_author
 from tidemark.operators.order import natural, reading_order
+from tidemark.sinks.shared import whole_files
 from tidemark.sources import jsonp
 from tidemark.sources.markup import Element, parse
 
@@ -122,7 +123,7 @@ def c_detail(root: Element) -> Iterator[dict]:
 
 def pages(spark: SparkSession, path: str) -> DataFrame:
     """(page, status, html) of landed files; a file on disk was answered with 200."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    rows = whole_files(spark, path)
     return rows.select(F.col("_metadata.file_path").alias("page"), F.lit(200).alias("status"), F.col("value").alias("html"))
 
 

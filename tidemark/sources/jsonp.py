@@ -14,12 +14,13 @@ from tidemark.functions import scalars as S
 from tidemark.operators.dedup import first_wins, with_main_image
 from tidemark.operators.filters import active_member
 from tidemark.operators.order import reading_order
+from tidemark.sinks.shared import whole_files
 from tidemark.sources import schemas
 
 
 def responses(spark: SparkSession, path: str) -> DataFrame:
     """(page, value) of landed response files."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("page"), "value")
+    return whole_files(spark, path).select(F.col("_metadata.file_path").alias("page"), "value")
 
 
 def parse(rows: DataFrame, item: T.StructType, callback: str = "res") -> tuple[DataFrame, DataFrame]:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemark.operators.dedup import last_wins
 from tidemark.operators.filters import group_visible
 from tidemark.operators.order import reading_order
-from tidemark.sinks.shared import tasks_for
+from tidemark.sinks.shared import tasks_for, whole_files
 from tidemark.sources import schemas
 
 
@@ -34,7 +34,7 @@ def _bytes(spark: SparkSession, path: str) -> int:
 
 def _files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    rows = whole_files(spark, path)
     parsed = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
     return rows.select(F.col("_metadata.file_path").alias("page"), parsed.alias("file")).select("file.*", "page")
 
@@ -53,7 +53,7 @@ def items(spark: SparkSession, path: str | list[str], key: str, item: T.StructTy
 
 def bare_list(spark: SparkSession, path: str, item: T.StructType) -> DataFrame:
     """The items of files that hold a list, or one object."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).withColumn("page", F.col("_metadata.file_path"))
+    rows = whole_files(spark, path).withColumn("page", F.col("_metadata.file_path"))
     whole = F.trim("value")
     parsed = F.from_json(F.when(F.startswith(whole, F.lit("[")), whole).otherwise(F.concat(F.lit("["), whole, F.lit("]"))), T.ArrayType(T.StringType()))
     return _parsed(rows.select("page", F.posexplode(parsed).alias("pos", "raw")), item)

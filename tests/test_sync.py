@@ -9,8 +9,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators.order import places
 from tidemark.plans import media as media_plan
-from tidemark.plans.sync import sync
+from tidemark.plans.sync import plan, sync
 from tidemark.sinks import export
 from tidemark.sinks.store import Store
 from tidemark.streaming.sync_stream import start
@@ -161,6 +162,47 @@ def test_a_run_of_several_batches_loses_no_older_page(spark, tmp_path):
     assert [r[1] for r in stored(store)] == [5, 6, 7, 8, 9, 10]
 
 
+def test_a_run_of_several_batches_merges_once(spark, tmp_path, monkeypatch):
+    pages = tmp_path / "pages" / "group=1"
+    pages.mkdir(parents=True)
+
+    def page(name, *rows, at):
+        texts = [{"id": id_, "member_id": 1, "published_at": f"2024-01-{day:02d}T00:00:00Z", "type": "text", "text": "x"} for id_, day in rows]
+        (pages / name).write_text(json.dumps({"messages": texts}))
+        os.utime(pages / name, (at, at))
+
+    go = lambda: start(spark, str(tmp_path / "pages"), str(tmp_path / "a store"), str(tmp_path / "a checkpoint+%41"), 1).awaitTermination()
+    store = Store(spark, str(tmp_path / "a store"))
+    page("p0.json", (None, 5), (9, 9), at=NOW)  # a reject, in a batch of its own
+    page("p1.json", (7, 7), at=NOW + 10)
+    monkeypatch.setattr(Store, "_replace", lambda *_: False)
+    with pytest.raises(OSError):
+        go()
+    monkeypatch.undo()
+    assert store.current() is None
+    page("p2.json", (4, 4), at=NOW + 20)
+    go()  # what the failed run has staged, and the later page
+    assert [r[1] for r in stored(store)] == [4, 7, 9] and state(store)[1] == (9, "2024-01-05T00:00:00", 3)
+    merges = len(list((tmp_path / "a store").glob("v=*/MANIFEST")))
+    page("p3.json", (10, 10), at=NOW + 30)
+    page("p4.json", (11, 11), at=NOW + 40)
+    page("p5.json", (12, 12), at=NOW + 50)
+    go()
+    assert len(stored(store)) == 6 and len(list((tmp_path / "a store").glob("v=*/MANIFEST"))) == merges + 1
+    assert not (tmp_path / "a checkpoint+%41" / "staged").exists()
+
+
+def test_page_names_are_taken_apart_once_a_page(spark, tmp_path):
+    names = ["q/page-10", "q/page-2", "q/page-02", None, "q/page-1", "q/page-2"]
+    found = places(spark.createDataFrame([(x,) for x in names], "page string"))
+    assert [r["page"] for r in found.orderBy("__place").collect()] == ["q/page-1", "q/page-02", "q/page-2", "q/page-10"]
+    store = Store(spark, str(tmp_path))
+    landed = spark.createDataFrame([message(1, text=str(k), page=x) for k, x in enumerate(names[:2])], FIELDS)
+    assert "0+(" not in plan(store, landed)[0]._jdf.queryExecution().toString()
+    run(store, *(message(1, text=str(k), page=x) for k, x in enumerate(names)), message(2, text="a", page="q/page-1", pos=3), message(2, text="b", page="q/page-1", pos=2))
+    assert stored(store) == [(1, 1, "0"), (1, 2, "a")]
+
+
 def test_a_batch_writes_only_its_members_buckets(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     run(store, *(message(k, member=k) for k in range(1, 30)))

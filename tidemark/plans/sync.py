@@ -14,7 +14,8 @@ merged with what is stored, written, counted, and only then the new cursors.
 
 A run reads and writes only the store's buckets that its batch touches: those of
 the members that it has rows of, or that are said to be corrupt.  The batch is
-written to the shared folder first, so that its source is read once, and the
+written to the shared folder first, unless it is read from files that stay, so
+that its source is read once; its pages are numbered in reading order there; and the
 merge says of each row whether it is new, so that nothing is read again to count.
 Tasks grow in number with the rows of batch and buckets, not in what one sorts.
 """
@@ -31,7 +32,7 @@ from tidemark.functions import scalars as S
 from tidemark.operators.cursor import KEYS, after_cursor, clamp, earliest_failed, instant, lost_rows
 from tidemark.operators.dedup import last_wins, upsert
 from tidemark.operators.filters import normalize, not_empty, split_rejects
-from tidemark.operators.order import reading_order
+from tidemark.operators.order import places
 from tidemark.sinks.shared import ROWS, many_tasks, new_folder
 from tidemark.sinks.store import Store, bucket_name
 from tidemark.sources import schemas
@@ -75,7 +76,8 @@ def plan(store: Store, landed: DataFrame, corrupt: DataFrame | None = None, touc
     fresh = after_cursor(landed, trusted) if cursors is None else after_cursor(landed, trusted, [*KEYS, "__run"]).drop("__run")
     good, rejects = split_rejects(normalize(fresh))
     kept = good.where(not_empty(F.col("type"), F.col("content"), F.col("media_url")))
-    unique = last_wins(kept, ["group_id", "member_id", "id"], reading_order()).drop("page", "pos")
+    placed = kept.join(places(landed), "page", "left").drop("page")
+    unique = last_wins(placed, IDENTITY, ["__place", "pos"]).drop("__place", "pos")
     sized = unique.withColumn("media_file", F.when(F.col("media_url").isNotNull(), S.media_path(F.lit(""), "raw_type", "id", S.media_extension("media_url", "raw_type"))))
     new = sized.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schemas.MEDIA.fields if f.name != "media_file"})
     return _counted(stored, new, landed), rejects, refetch
@@ -97,17 +99,20 @@ def new_state(messages: DataFrame, rejects: DataFrame, now: Column) -> DataFrame
     return clamped.select(*KEYS, "last_message_id", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("last_sync_ts"), "total_messages", S.export_clock(now).alias("last_sync"))
 
 
-def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None, verify: bool = False, cursors: Callable[[DataFrame], DataFrame] | None = None) -> Outcome:
+def sync(store: Store, landed: DataFrame, now: Column | None = None, incomplete: DataFrame | None = None, corrupt: DataFrame | None = None, verify: bool = False, cursors: Callable[[DataFrame], DataFrame] | None = None, staged: bool = False) -> Outcome:
     """One run over ``landed``; the store's version changes only if everything was written.
 
-    A batch of a run that takes several gets its ``cursors`` from the staged batch.
+    Files that several runs landed get their ``cursors`` from the staged batch.  With
+    ``staged``, ``landed`` is read from files that stay as they are, and not written again.
 
     With ``verify`` the touched buckets are held against the manifest's sums first
     (T6): the members of one that differs are corrupt.
     """
-    path = new_folder(store.spark, "sync-batch")
-    landed.write.option("maxRecordsPerFile", ROWS).parquet(path)
-    batch = store.spark.read.schema(landed.schema).parquet(path)
+    batch = landed
+    if not staged:
+        path = new_folder(store.spark, "sync-batch")
+        landed.write.option("maxRecordsPerFile", ROWS).parquet(path)
+        batch = store.spark.read.schema(landed.schema).parquet(path)
     named = batch.select(*KEYS).unionByName(_keys(store, corrupt))
     expected = store.expected(named)
     touched = set(expected)

@@ -6,11 +6,17 @@ replayed changes nothing, since the merge is idempotent.  There is no watermark:
 a cursor may be held back by a reject, and rows at the cursor's own instant must
 come through, which a watermark forbids.
 
-A run may take several micro-batches, and takes its files in no order of instants.
-So rows are held against the cursors that stood when their run began, not against
-those that an earlier batch of the run has moved.  ``start`` keeps these cursors in
-``<checkpoint>/runs``, with a mark whose time is the run's; a file belongs to the
-first run that began after it was landed, also where a restart reads it.
+A run may take several micro-batches, but merges once: a merge reads and writes the
+whole buckets of its members, so one for each micro-batch would cost the square of
+the files.  The micro-batches only write their rows to ``<checkpoint>/staged``.  When
+the stream has ended, all that is staged is merged as one batch; then the number of
+the last one is kept in ``<checkpoint>/merged``, and the staged rows are removed.
+What a run that failed has staged, the next one merges with its own.
+
+Rows are held against the cursors that stood when their run began, also where a
+later run merges them.  ``start`` keeps these cursors in ``<checkpoint>/runs``, with
+a mark whose time is the run's; a file belongs to the first run that began after it
+was landed.
 """
 
 from __future__ import annotations
@@ -43,16 +49,32 @@ def _page_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFr
     return files.select(group.alias("group_id"), F.col("_metadata.file_path").alias("page"), landed_at, F.posexplode("messages").alias("pos", "message")).select("group_id", "message.*", "page", "pos", "__landed_at")
 
 
-def _begin(store: Store, checkpoint: str) -> list[tuple[int, str]]:
+class _Folder:
+    """What a checkpoint holds beside what Spark keeps there."""
+
+    def __init__(self, spark: SparkSession, checkpoint: str):
+        self.path = checkpoint.rstrip("/")
+        self._hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._hadoop(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def mark(self, place: str) -> None:
+        self._fs.create(self._hadoop(f"{self.path}/{place}"), True).close()
+
+    def found(self, place: str) -> list[tuple[int, str]]:
+        """(time, name) of what lies there."""
+        path = self._hadoop(f"{self.path}/{place}")
+        return [(x.getModificationTime(), x.getPath().getName()) for x in self._fs.listStatus(path)] if self._fs.exists(path) else []
+
+    def remove(self, place: str) -> None:
+        self._fs.delete(self._hadoop(f"{self.path}/{place}"), True)
+
+
+def _begin(store: Store, folder: _Folder) -> list[tuple[int, str]]:
     """Keep the cursors that stand now as those of a new run; (time, folder) of this and all earlier runs."""
-    jvm, conf = store.spark.sparkContext._jvm, store.spark.sparkContext._jsc.hadoopConfiguration()
-    place = lambda *parts: jvm.org.apache.hadoop.fs.Path("/".join((checkpoint.rstrip("/"), "runs", *parts)))
-    fs = place().getFileSystem(conf)
     name = uuid.uuid4().hex
-    store.state().select(*KEYS, "last_sync_ts").write.parquet(str(place(name, "cursors")))
-    fs.create(place(f"{name}.mark"), True).close()
-    found = [(x.getModificationTime(), x.getPath().getName()) for x in fs.listStatus(place())]
-    return sorted((at, str(place(mark.removesuffix(".mark"), "cursors"))) for at, mark in found if mark.endswith(".mark"))
+    store.state().select(*KEYS, "last_sync_ts").write.parquet(f"{folder.path}/runs/{name}/cursors")
+    folder.mark(f"runs/{name}.mark")
+    return sorted((at, f"{folder.path}/runs/{mark.removesuffix('.mark')}/cursors") for at, mark in folder.found("runs") if mark.endswith(".mark"))
 
 
 def _cursors(runs: list[tuple[int, str]]) -> Callable[[DataFrame], DataFrame]:
@@ -70,13 +92,28 @@ def _cursors(runs: list[tuple[int, str]]) -> Callable[[DataFrame], DataFrame]:
     return of
 
 
+def _merge(store: Store, folder: _Folder, runs: list[tuple[int, str]], schema: T.StructType) -> None:
+    """One sync of all batches that are staged and not merged yet."""
+    done = max((int(name) for _, name in folder.found("merged")), default=-1)
+    waiting = sorted(n for n in (int(name.removeprefix("batch=")) for _, name in folder.found("staged")) if n > done)
+    if waiting:
+        rows = store.spark.read.schema(schema).parquet(*(f"{folder.path}/staged/batch={n}" for n in waiting))
+        times = F.lit([at for at, _ in runs]).cast("array<long>")
+        run = F.coalesce(F.array_min(F.filter(times, lambda at: at >= F.col("__landed_at"))), F.lit(runs[-1][0]))
+        sync(store, rows.withColumn("__run", run.cast("long")).drop("__landed_at"), cursors=_cursors(runs), staged=True)
+        folder.mark(f"merged/{waiting[-1]}")
+    folder.remove("staged")
+
+
 def start(spark: SparkSession, path: str, store_path: str, checkpoint: str, files_per_batch: int = 1000) -> StreamingQuery:
-    """Sync all files that are there, then stop; run it again for later ones."""
-    runs = _begin(Store(spark, store_path), checkpoint)
-    times = F.lit([at for at, _ in runs]).cast("array<long>")
-    run = F.coalesce(F.array_min(F.filter(times, lambda at: at >= F.col("__landed_at"))), F.lit(runs[-1][0]))
+    """Sync all files that are there, and return the stream that read them, ended; run it again for later ones."""
+    store, folder = Store(spark, store_path), _Folder(spark, checkpoint)
+    runs, pages = _begin(store, folder), _page_stream(spark, path, files_per_batch)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        sync(Store(batch.sparkSession, store_path), batch.withColumn("__run", run.cast("long")).drop("__landed_at"), cursors=_cursors(runs))
+    def stage(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder.path}/staged/batch={number}")  # a replay replaces its own
 
-    return _page_stream(spark, path, files_per_batch).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = pages.writeStream.foreachBatch(stage).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    _merge(store, folder, runs, pages.schema)
+    return query
